@@ -151,45 +151,39 @@ def typed_literal(value: object, dtype: T.DataType | str, now=None) -> Column:
 
 
 # --- the same rules as Column expressions over a table of texts ---------------
+# These take trimmed text (``trim_column``). Keep it in a column of its own, and
+# the lists too: an expression used many times over is then worked out once.
 
 
 def trim_column(text: Column) -> Column:
     return F.regexp_replace(text, TRIM, "")
 
 
+def inner_column(text: Column) -> Column:
+    """What stands between the first and the last character."""
+    return F.substr(text, F.lit(2), F.length(text) - 2)
+
+
 def list_column(text: Column, separator: str = ",") -> Column:
-    """Array of the values of a list text, NULL where the text is bad."""
-    t = trim_column(text)
-    inner = F.substr(t, F.lit(2), F.length(t) - 2)
-    items = F.transform(F.split(inner, re.escape(separator), -1), trim_column)
-    items = F.filter(items, lambda item: item != "")
-    many = F.when(t.rlike(r"(?s)^\(.*\)$") & (F.size(items) > 0), items)
-    return F.when(t.startswith("("), many).when(t != "", F.array(t))
-
-
-def range_columns(text: Column) -> dict[str, Column]:
-    """``ok, lower, upper, include_lower, include_upper`` of a range text."""
-    t = trim_column(text)
-    inner = F.substr(t, F.lit(2), F.length(t) - 2)
-    parts = F.split(inner, RANGE_SEPARATOR, -1)
-
-    def end(i: int) -> Column:
-        part = trim_column(F.get(parts, F.lit(i)))
-        return F.when(~part.isin("", "*"), part)
-
-    ok = (
-        (F.length(t) >= SHORTEST_RANGE)
-        & t.rlike(r"(?s)^[\[(].*[\])]$")
-        & (F.size(parts) == 2)
-        & (F.get(parts, F.lit(1)) != "")
+    """Array of the values of a list text, empty where the text is bad."""
+    many = F.when(
+        text.rlike(r"(?s)^\(.*\)$"), F.split(inner_column(text), re.escape(separator), -1)
     )
-    return {
-        "ok": F.coalesce(ok, F.lit(False)),
-        "lower": end(0),
-        "upper": end(1),
-        "include_lower": t.startswith("["),
-        "include_upper": t.endswith("]"),
-    }
+    items = F.when(text.startswith("("), many).otherwise(F.array(text))
+    return F.filter(F.transform(items, trim_column), lambda item: item != "")
+
+
+def range_parts_column(text: Column) -> Column:
+    """The two end texts of a range text, NULL where the text is bad."""
+    parts = F.split(inner_column(text), RANGE_SEPARATOR, -1)
+    shape = (F.length(text) >= SHORTEST_RANGE) & text.rlike(r"(?s)^[\[(].*[\])]$")
+    good = F.filter(F.array(parts), lambda p: (F.size(p) == 2) & (p[1] != ""))
+    return F.transform(F.when(shape, F.get(good, F.lit(0))), trim_column)
+
+
+def end_column(parts: Column, index: int) -> Column:
+    """One end of ``range_parts_column``, NULL where it is open."""
+    return F.nullif(F.nullif(F.get(parts, F.lit(index)), F.lit("*")), F.lit(""))
 
 
 def mask_number_column(text: Column) -> Column:
@@ -211,11 +205,12 @@ def mask_number_column(text: Column) -> Column:
     )
 
 
-def mask_column(text: Column) -> Column:
-    """OR of every number of a list text, NULL where any of it is bad."""
-    numbers = F.transform(list_column(text), mask_number_column)
-    merged = F.aggregate(numbers, F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b))
-    return F.when(F.size(numbers) > 0, merged)
+def mask_column(items: Column) -> Column:
+    """OR of every number of a list, NULL where any of them is bad or there is none."""
+    merged = F.aggregate(
+        F.transform(items, mask_number_column), F.lit(0).cast("bigint"), lambda a, b: a.bitwiseOR(b)
+    )
+    return F.when(F.size(items) > 0, merged)
 
 
 def typed_column(text: Column, dtype: T.DataType) -> Column:

@@ -32,12 +32,14 @@ from ..functions.resolve import FRACTIONAL, Expr, resolve, type_of
 from ..functions.scalars import long_value
 from ..functions.values import (
     check_comparable,
+    end_column,
     list_column,
     mask_column,
-    range_columns,
+    range_parts_column,
     trim_column,
     typed_column,
 )
+from ..sources.shared import materialize
 
 OPS = ("in", "range", "bit", "cbit")
 #: Largest rule set that is broadcast.
@@ -63,38 +65,40 @@ class RuleSet:
 def parse_rules(rules: DataFrame, dtype: T.DataType) -> RuleSet:
     """Read the rule texts for a column of type ``dtype``."""
     check_comparable(dtype, "rule matching")
-    text = trim_column(F.col("value_text"))
-    ends = range_columns(F.col("value_text"))
-    values = F.transform(list_column(F.col("value_text")), lambda v: typed_column(v, dtype))
-    numeric = isinstance(dtype, (T.NumericType, T.BooleanType, T.TimestampType, T.TimestampNTZType))
+    op, shown = F.col("op"), dtype.simpleString()
+    is_mask = op.isin("bit", "cbit")
     negated = F.coalesce(F.col("not"), F.lit(False)) if "not" in rules.columns else F.lit(False)
-    read = rules.select(
-        "rule_id", "op", "value_text", negated.alias("negated"),
-        F.when(F.col("op") == "in", values).alias("listed"),
-        F.when(F.col("op") == "range", ends["ok"]).alias("range_ok"),
-        F.when(F.col("op") == "range", ends["lower"]).alias("lower_text"),
-        F.when(F.col("op") == "range", ends["upper"]).alias("upper_text"),
-        ends["include_lower"].alias("include_lower"),
-        ends["include_upper"].alias("include_upper"),
-        F.when(F.col("op").isin("bit", "cbit"), mask_column(F.col("value_text"))).alias("mask"),
-    ).withColumns({
-        "lower": typed_column(F.col("lower_text"), dtype),
-        "upper": typed_column(F.col("upper_text"), dtype),
-    })
+    read = (
+        rules.select("rule_id", "op", "value_text", negated.alias("negated"),
+                     F.coalesce(trim_column(F.col("value_text")), F.lit("")).alias("text"))
+        .withColumns({
+            "items": F.when(op != "range", list_column(F.col("text"))),
+            "parts": F.when(op == "range", range_parts_column(F.col("text"))),
+        })
+        .withColumns({
+            "listed": F.when(op == "in", F.transform("items", lambda v: typed_column(v, dtype))),
+            "mask": F.when(is_mask, mask_column(F.col("items"))),
+            "lower_text": end_column(F.col("parts"), 0),
+            "upper_text": end_column(F.col("parts"), 1),
+        })
+        .withColumns({
+            "lower": typed_column(F.col("lower_text"), dtype),
+            "upper": typed_column(F.col("upper_text"), dtype),
+        })
+    )
     bad_end = (
         (F.col("lower_text").isNotNull() & F.col("lower").isNull())
         | (F.col("upper_text").isNotNull() & F.col("upper").isNull())
     )
     error = (
-        F.when(~F.coalesce(F.col("op").isin(*OPS), F.lit(False)), "unknown filter")
-        .when(F.coalesce(text, F.lit("")) == "", "value is missing or blank")
-        .when((F.col("op") == "in") & F.col("listed").isNull(), "not a value list")
-        .when((F.col("op") == "in") & F.exists("listed", lambda v: v.isNull()),
-              f"a value is not a {dtype.simpleString()}")
-        .when((F.col("op") == "range") & ~F.col("range_ok"), "not a range")
-        .when((F.col("op") == "range") & bad_end, f"an end is not a {dtype.simpleString()}")
-        .when(F.col("op").isin("bit", "cbit") & F.lit(not numeric), "masks need a numeric column")
-        .when(F.col("op").isin("bit", "cbit") & F.col("mask").isNull(), "not a list of mask numbers")
+        F.when(~F.coalesce(op.isin(*OPS), F.lit(False)), "unknown filter")
+        .when(F.col("text") == "", "value is missing or blank")
+        .when((op == "in") & (F.size("listed") <= 0), "not a value list")
+        .when((op == "in") & F.exists("listed", lambda v: v.isNull()), f"a value is not a {shown}")
+        .when((op == "range") & F.col("parts").isNull(), "not a range")
+        .when((op == "range") & bad_end, f"an end is not a {shown}")
+        .when(is_mask & F.lit(not _has_bits(dtype)), "masks need a numeric column")
+        .when(is_mask & F.col("mask").isNull(), "not a list of mask numbers")
     )
     read = read.withColumn("error", error)
     rejects = read.filter("error is not null").select(
@@ -102,11 +106,17 @@ def parse_rules(rules: DataFrame, dtype: T.DataType) -> RuleSet:
     )
     valid = read.filter("error is null").select(
         "rule_id", "op", "negated", F.array_distinct("listed").alias("listed"), "lower", "upper",
-        "include_lower", "include_upper", "mask", F.length("value_text").alias("text_size"),
+        F.col("text").startswith("[").alias("include_lower"),
+        F.col("text").endswith("]").alias("include_upper"),
+        "mask", F.length("value_text").alias("text_size"),
     )
     return RuleSet(valid, rejects)
 
 
+def _has_bits(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.NumericType, T.BooleanType, T.TimestampType, T.TimestampNTZType))
+
+
 def match_rules(
     df: DataFrame, key: str | Sequence[str], col: Expr, rules: DataFrame,
     broadcast_rules: int = BROADCAST_RULES,
@@ -114,18 +124,18 @@ def match_rules(
     """``key, rule_id`` for every row and rule that fit. Rules that cannot be
     read match nothing; ``parse_rules`` lists them with the reason.
 
-    Runs one small aggregate over the rules to choose the plan.
+    The rules are parsed once and stored, and a small aggregate over them
+    chooses the plan; the rows are not touched before the result is read.
     """
     column = resolve(df, col)
     dtype = type_of(df, column)
     valid = parse_rules(rules, dtype).valid
+    valid = materialize(valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype)))
     keys = [key] if isinstance(key, str) else list(key)
-    masked = isinstance(dtype, (T.NumericType, T.BooleanType, T.TimestampType, T.TimestampNTZType))
     rows = df.select(
         *keys, column.alias("__v"),
-        (long_value(column, dtype) if masked else F.lit(0).cast("bigint")).alias("__bits"),
+        (long_value(column, dtype) if _has_bits(dtype) else F.lit(0).cast("bigint")).alias("__bits"),
     )
-    valid = valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype))
     # widths number a few dozen at most: they are exponents of double values
     size = valid.agg(
         F.count("*").alias("n"),
@@ -135,9 +145,7 @@ def match_rules(
     ).first()
     small = size["n"] <= broadcast_rules and size["bytes"] <= BROADCAST_TEXT_BYTES
     chunks = 1 if small else max(1, math.ceil(size["n"] / max(broadcast_rules, 1)))
-    out = [rows.join(valid.select("rule_id").limit(0), F.lit(False), "inner").select(*keys, "rule_id")]
-    if size["kinds"]:
-        out = []
+    out = []
     if "value" in size["kinds"]:
         listed = valid.filter("kind = 'value'").select("rule_id", F.explode("listed").alias("__r_value"))
         out.append(_join(rows, listed, [("__v", "__r_value")], small))
@@ -145,6 +153,8 @@ def match_rules(
         out.append(_join_bins(rows, valid.filter("kind = 'bin'"), dtype, sorted(size["widths"]), small))
     if "test" in size["kinds"]:
         out.append(_join_tests(rows, valid.filter("kind = 'test'"), dtype, small, chunks))
+    if not out:
+        return rows.filter(F.lit(False)).select(*keys, F.lit(None).cast(valid.schema["rule_id"].dataType).alias("rule_id"))
     return reduce(DataFrame.unionAll, [part.select(*keys, "rule_id") for part in out])
 
 
@@ -240,7 +250,8 @@ def _join_tests(rows, rules, dtype, small, chunks) -> DataFrame:
     if small:
         return rows.join(F.broadcast(rules), _fits(dtype), "inner")
     cut = rules.withColumn("__r_chunk", F.pmod(F.xxhash64("rule_id"), F.lit(chunks)))
-    visits = rows.withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).cast("bigint"))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))
+    visits = rows.withColumn("__chunk", F.explode(every))
     return _join(visits, cut, [("__chunk", "__r_chunk")], small=False).filter(_fits(dtype))
 
 

@@ -22,7 +22,7 @@ def find_hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
         raise ValueError("share must lie in (0, 1]")
     most = min(int(1 / share) + 1, SKETCH_SIZE)
     row = df.filter(F.col(key).isNotNull()).agg(
-        F.approx_top_k(F.col(key), most, SKETCH_SIZE).alias("top"), F.count("*").alias("n")
+        F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(SKETCH_SIZE)).alias("top"), F.count("*").alias("n")
     ).first()
     return [item["item"] for item in row["top"] or () if item["count"] >= share * row["n"]]
 

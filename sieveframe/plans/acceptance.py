@@ -567,7 +567,7 @@ def g_request_params(spark, d):
     return request_params(pages, "q", as_rows=True).select("page_id", "k", "v")
 
 
-@query("select page_id, len(list_distinct(list_filter(kvs, x -> strpos(x,'=')>1 and strpos(x,'=')<length(x)))) as n_keys from"
+@query("select page_id, len(list_distinct(list_filter(kvs, lambda x: strpos(x,'=')>1 and strpos(x,'=')<length(x)))) as n_keys from"
        " (select page_id, string_split(regexp_extract(url,'[?]([^#]*)',1),'&') as kvs from pages)")
 def g_request_params_map(spark, d):
     pages = table(spark, d, "pages").select("page_id", F.regexp_extract("url", "[?]([^#]*)", 1).alias("q"))

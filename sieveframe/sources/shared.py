@@ -27,6 +27,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(target) and fs.getFileStatus(target).isFile()
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the complete versions under ``path``, in order. A version
     counts once Spark has marked its write as successful."""

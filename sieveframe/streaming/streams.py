@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..operators.logs import DEFAULT_HISTORY, DEFAULT_THRESHOLD, at_or_above, log_history
 from ..operators.lookup import first_per_key
 from ..operators.writes import upsert_latest
-from ..sources.shared import version_path, versions, write_version
+from ..sources.shared import is_file, version_path, versions, write_version
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -27,10 +27,14 @@ def read_stream(
     spark: SparkSession, path: str, schema: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Parquet files under ``path`` as a stream."""
+    """Parquet files in the folder ``path`` as a stream; or one parquet file."""
     reader = spark.readStream.schema(schema or spark.read.parquet(path).schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if is_file(spark, path):
+        # a stream watches folders, so a single file is picked out of its folder
+        path, _, name = path.rpartition("/")
+        reader = reader.option("pathGlobFilter", name)
     return reader.parquet(path)
 
 
