@@ -1,19 +1,21 @@
 """Matching a table of filter rules to a table of rows.
 
 Rules are rows ``rule_id, op, value_text, not``. Their texts are read with
-Column expressions, so any number of rules is parsed as a Spark job. Matching
-is by equality joins as far as the rules allow it:
+Column expressions, so any number of rules is parsed as a Spark job. Rows and
+rules then meet in places, through one equality join over one scan of the rows:
 
-* ``in`` rules join on the listed value.
-* ``range`` rules with two ends join on a bin. A rule is filed under a bin
-  width of at least its own span, so it falls into very few bins; a row is filed
-  once per width in use. The exact test follows the join.
+* ``in`` rules wait at the hash of each listed value.
+* ``range`` rules with two ends wait at bins. A rule is filed under a bin width
+  of at least its own span, so it takes very few bins; a row looks into one bin
+  per width in use.
 * the rest (masks, open ranges, complements) hold for a good part of all rows
-  whatever the plan, so each row is tested against each such rule.
+  whatever the plan. They wait in shared places that every row visits.
 
-Rules are broadcast only after their number and text size were measured. Beyond
-the bound the same joins run shuffled: rows are dealt out over salts, and rules
-are copied to every salt, so that no value, bin or rule gathers in one task.
+The exact test is the condition of the join. Rules are broadcast only after
+their number and text size were measured. Beyond that bound the same join runs
+shuffled: rows are dealt out over salts, rules are copied to every salt, and the
+shared place is cut into chunks, so that no value, bin or rule gathers in one
+task.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +46,11 @@ OPS = ("in", "range", "bit", "cbit")
 #: Largest rule set that is broadcast.
 BROADCAST_RULES = 10_000
 BROADCAST_TEXT_BYTES = 8 * 1024 * 1024
-#: Spread of the shuffled joins.
+#: Spread of the shuffled join.
 SALTS = 32
+#: Kinds of rules. Outside the range of bin widths, so they serve as place names too.
+VALUE, BINNED, SHARED = -10_000, -10_001, -10_002
+PLACES = "array<struct<width:int,bin:bigint,salt:int>>"
 #: Bin widths are powers of 2 ** WIDTH_STEP, to keep the number of widths low.
 WIDTH_STEP = 2
 #: Bins narrower than this share of the ends' size would exceed double precision.
@@ -131,39 +135,85 @@ def match_rules(
     dtype = type_of(df, column)
     valid = parse_rules(rules, dtype).valid
     valid = materialize(valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype)))
-    keys = [key] if isinstance(key, str) else list(key)
-    rows = df.select(
-        *keys, column.alias("__v"),
-        (long_value(column, dtype) if _has_bits(dtype) else F.lit(0).cast("bigint")).alias("__bits"),
-    )
     # widths number a few dozen at most: they are exponents of double values
     size = valid.agg(
         F.count("*").alias("n"),
+        F.count(F.when(F.col("kind") == SHARED, 1)).alias("shared"),
         F.coalesce(F.sum("text_size"), F.lit(0)).alias("bytes"),
-        F.collect_set("kind").alias("kinds"),
-        F.collect_set(F.when(F.col("kind") == "bin", F.col("width"))).alias("widths"),
+        F.collect_set("width").alias("widths"),
     ).first()
     small = size["n"] <= broadcast_rules and size["bytes"] <= BROADCAST_TEXT_BYTES
-    chunks = 1 if small else max(1, math.ceil(size["n"] / max(broadcast_rules, 1)))
-    out = []
-    if "value" in size["kinds"]:
-        listed = valid.filter("kind = 'value'").select("rule_id", F.explode("listed").alias("__r_value"))
-        out.append(_join(rows, listed, [("__v", "__r_value")], small))
-    if "bin" in size["kinds"]:
-        out.append(_join_bins(rows, valid.filter("kind = 'bin'"), dtype, sorted(size["widths"]), small))
-    if "test" in size["kinds"]:
-        out.append(_join_tests(rows, valid.filter("kind = 'test'"), dtype, small, chunks))
-    if not out:
-        return rows.filter(F.lit(False)).select(*keys, F.lit(None).cast(valid.schema["rule_id"].dataType).alias("rule_id"))
-    return reduce(DataFrame.unionAll, [part.select(*keys, "rule_id") for part in out])
+    chunks = 1 if small else max(1, math.ceil(size["shared"] / max(broadcast_rules, 1)))
+    salts = 1 if small else SALTS
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # few shared places must still make work for all tasks
+    shared_salts = 1 if small else max(SALTS, math.ceil(tasks / chunks))
+
+    keys = [key] if isinstance(key, str) else list(key)
+    bits = long_value(column, dtype) if _has_bits(dtype) else F.lit(0).cast("bigint")
+    rows = df.select(*keys, _plain_zero(column, dtype).alias("__v"), bits.alias("__bits"))
+    salt = _salt(keys, salts)
+    visited = [_place(VALUE, F.xxhash64("__v"), salt)] + [
+        _place(w, _bin(_position(F.col("__v"), dtype), w), salt) for w in sorted(size["widths"])
+    ]
+    visited = F.when(F.col("__v").isNotNull(), F.array(*visited)).otherwise(F.array().cast(PLACES))
+    if size["shared"]:
+        shared_salt = _salt(keys, shared_salts)
+        if chunks == 1:
+            everywhere = F.array(_place(SHARED, F.lit(0), shared_salt))
+        else:
+            everywhere = F.transform(
+                F.sequence(F.lit(0), F.lit(chunks - 1)), lambda c: _place(SHARED, c, shared_salt)
+            )
+        visited = F.concat(visited, everywhere)
+    visits = rows.withColumn("__at", F.explode(visited))
+
+    waiting = _waiting(valid, dtype, chunks, salts, shared_salts)
+    if small:
+        waiting = F.broadcast(waiting)
+    same = [F.col(f"__at.{part}") == F.col(f"__r_{part}") for part in ("width", "bin", "salt")]
+    return visits.join(waiting, [*same, _fits(dtype)], "inner").select(*keys, "rule_id")
+
+
+def _salt(keys: list[str], ways: int) -> Column:
+    return F.lit(0) if ways == 1 else F.pmod(F.xxhash64(*keys, "__v"), F.lit(ways))
+
+
+def _place(width: int | Column, bin_: Column, salt: Column) -> Column:
+    width = F.lit(width) if isinstance(width, int) else width
+    return F.struct(
+        width.cast("int").alias("width"), bin_.cast("bigint").alias("bin"), salt.cast("int").alias("salt")
+    )
+
+
+def _waiting(rules: DataFrame, dtype: T.DataType, chunks: int, salts: int, shared_salts: int) -> DataFrame:
+    """Rules with the places they wait at; ``in`` rules once per listed value."""
+    # the lone NULL keeps rules that list nothing
+    rules = rules.withColumn("__r_value", F.explode(
+        F.when(F.col("kind") == VALUE, F.col("listed")).otherwise(F.array(F.lit(None).cast(dtype)))
+    ))
+    # a listed value needs its list no longer; a copy per value would grow with its square
+    rules = rules.withColumn("listed", F.when(F.col("kind") == SHARED, F.col("listed")))
+    chunk = F.array(F.pmod(F.xxhash64("rule_id"), F.lit(chunks)).cast("bigint"))
+    bins = F.when(F.col("kind") == VALUE, F.array(F.xxhash64("__r_value"))).otherwise(chunk)
+    if _has_position(dtype):
+        low, high = _position(F.col("lower"), dtype), _position(F.col("upper"), dtype)
+        spanned = F.when(low <= high, F.sequence(_bin(low, F.col("width")), _bin(high, F.col("width"))))
+        bins = F.when(F.col("kind") == BINNED, spanned).otherwise(bins)
+    width = F.when(F.col("kind") == BINNED, F.col("width")).otherwise(F.col("kind"))
+    last_salt = F.when(F.col("kind") == SHARED, F.lit(shared_salts - 1)).otherwise(F.lit(salts - 1))
+    return (
+        rules.withColumns({"__r_width": width, "__r_bin": F.explode(bins)})
+        .withColumn("__r_salt", F.explode(F.sequence(F.lit(0), last_salt)))
+    )
 
 
 def _kind(dtype: T.DataType) -> Column:
     two_ends = F.col("lower").isNotNull() & F.col("upper").isNotNull() & ~F.col("negated")
-    kind = F.when((F.col("op") == "in") & ~F.col("negated"), "value")
+    kind = F.when((F.col("op") == "in") & ~F.col("negated"), F.lit(VALUE))
     if _has_position(dtype):
-        kind = kind.when((F.col("op") == "range") & two_ends, "bin")
-    return kind.otherwise("test")
+        kind = kind.when((F.col("op") == "range") & two_ends, F.lit(BINNED))
+    return kind.otherwise(F.lit(SHARED))
 
 
 def _has_position(dtype: T.DataType) -> bool:
@@ -180,14 +230,15 @@ def _position(value: Column, dtype: T.DataType) -> Column:
 
 
 def _width(dtype: T.DataType) -> Column:
-    """Exponent of the bin width of a rule."""
+    """Exponent of the bin width of a binned rule."""
     if not _has_position(dtype):
-        return F.lit(0)
+        return F.lit(None).cast("int")
     low, high = _position(F.col("lower"), dtype), _position(F.col("upper"), dtype)
     smallest = F.greatest(F.abs(low), F.abs(high)) / F.lit(2.0**PRECISION_BITS)
     span = F.greatest(high - low, smallest, F.lit(2.0**-PRECISION_BITS))
     span = F.when(F.isnan(span) | (span > 2.0**1000), F.lit(2.0**1000)).otherwise(span)
-    return (F.ceil(F.log2(span) / WIDTH_STEP) * WIDTH_STEP).cast("int")
+    width = (F.ceil(F.log2(span) / WIDTH_STEP) * WIDTH_STEP).cast("int")
+    return F.when(F.col("kind") == BINNED, width)
 
 
 def _bin(position: Column, width: Column | int) -> Column:
@@ -195,22 +246,6 @@ def _bin(position: Column, width: Column | int) -> Column:
     return F.floor(F.greatest(F.least(position / scale, F.lit(2.0**60)), F.lit(-(2.0**60))))
 
 
-def _join_bins(rows, rules, dtype, widths, small) -> DataFrame:
-    low, high = _position(F.col("lower"), dtype), _position(F.col("upper"), dtype)
-    filed = rules.filter(low <= high).withColumn(
-        "__r_bin", F.explode(F.sequence(_bin(low, F.col("width")), _bin(high, F.col("width"))))
-    )
-    position = _position(F.col("__v"), dtype)
-    places = F.array(*[
-        F.struct(F.lit(w).alias("width"), _bin(position, w).alias("bin")) for w in widths
-    ])
-    binned = rows.filter(F.col("__v").isNotNull()).withColumn("__place", F.explode(places))
-    binned = binned.withColumns({"__width": F.col("__place.width"), "__bin": F.col("__place.bin")})
-    renamed = filed.withColumnRenamed("width", "__r_width")
-    pairs = _join(binned, renamed, [("__width", "__r_width"), ("__bin", "__r_bin")], small)
-    return pairs.filter(_in_range(dtype))
-
-
 def _in_range(dtype: T.DataType) -> Column:
     v, low, high = F.col("__v"), F.col("lower"), F.col("upper")
     above = low.isNull() | (v > low) | (F.col("include_lower") & (v == low))
@@ -223,37 +258,18 @@ def _in_range(dtype: T.DataType) -> Column:
 
 
 def _fits(dtype: T.DataType) -> Column:
-    bits = F.col("__bits").bitwiseAND(F.col("mask"))
+    v, mask = F.col("__v"), F.col("mask")
+    bits = F.col("__bits").bitwiseAND(mask)
     fits = (
-        F.when(F.col("op") == "in", F.coalesce(F.array_contains("listed", F.col("__v")), F.lit(False)))
+        F.when(F.col("op") == "in", F.coalesce(F.array_contains("listed", v), F.lit(False)))
         .when(F.col("op") == "range", _in_range(dtype))
         .when(F.col("op") == "bit", bits != 0)
-        .otherwise(bits == F.col("mask"))
+        .otherwise(bits == mask)
     )
-    return fits != F.col("negated")
-
-
-def _join(rows: DataFrame, rules: DataFrame, on: list[tuple[str, str]], small: bool) -> DataFrame:
-    """Equality join; rows without a value join nothing."""
-    same = [F.col(left) == F.col(right) for left, right in on]
-    if small:
-        return rows.join(F.broadcast(rules), same, "inner")
-    dealt = rows.withColumn("__salt", _deal(rows, SALTS))
-    copied = rules.withColumn("__r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(copied, [*same, F.col("__salt") == F.col("__r_salt")], "inner")
-
-
-def _join_tests(rows, rules, dtype, small, chunks) -> DataFrame:
-    """Every row against every rule that no equality can find. Small rule sets
-    go to each task; larger ones are cut into chunks, and each row visits every
-    chunk in one of the salted places."""
-    if small:
-        return rows.join(F.broadcast(rules), _fits(dtype), "inner")
-    cut = rules.withColumn("__r_chunk", F.pmod(F.xxhash64("rule_id"), F.lit(chunks)))
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))
-    visits = rows.withColumn("__chunk", F.explode(every))
-    return _join(visits, cut, [("__chunk", "__r_chunk")], small=False).filter(_fits(dtype))
+    # hashes may collide, so the value itself decides
+    return F.when(F.col("kind") == VALUE, v == F.col("__r_value")).otherwise(fits != F.col("negated"))
 
 
-def _deal(rows: DataFrame, ways: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != "__place"]), F.lit(ways)).cast("int")
+def _plain_zero(column: Column, dtype: T.DataType) -> Column:
+    """Adding zero turns -0.0 into 0.0, so that both hash alike."""
+    return column + F.lit(0).cast(dtype) if isinstance(dtype, FRACTIONAL) else column
