@@ -2,19 +2,19 @@
 
 ``NOW`` or an ISO instant (``1995-12-31T23:59:59Z``), followed by any number of
 ``+n UNIT`` / ``-n UNIT`` shifts and ``/UNIT`` roundings, as in
-``NOW/DAY-3MONTHS``. Everything is worked out on zone-free timestamps that hold
-UTC wall-clock time, so the session zone never matters.
+``NOW/DAY-3MONTHS``. The work is done on microseconds since 1970 and on plain
+dates, so the session zone never matters.
 """
 
 from __future__ import annotations
 
 import re
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unit names of the date grammar, coarse to fine.
+# Unit names of the date grammar, and lengths in microseconds or months.
 UNITS = {
     "YEAR": ("YEAR", "YEARS"),
     "MONTH": ("MONTH", "MONTHS"),
@@ -24,11 +24,17 @@ UNITS = {
     "SECOND": ("SECOND", "SECONDS"),
     "MILLI": ("MILLI", "MILLIS", "MILLISECOND", "MILLISECONDS"),
 }
-ORDER = list(UNITS)
+MICROS = {
+    "DAY": 86_400_000_000, "HOUR": 3_600_000_000, "MINUTE": 60_000_000,
+    "SECOND": 1_000_000, "MILLI": 1_000,
+}
+MONTHS = {"YEAR": 12, "MONTH": 1}
 NAMES = {name: unit for unit, names in UNITS.items() for name in names}
 INSTANT_TEXT = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]{1,6})?Z"
 STEP = "(?:[+-][0-9]+|/)(?:" + "|".join(sorted(NAMES, key=len, reverse=True)) + ")"
 WHOLE = f"^(NOW|{INSTANT_TEXT})((?:{STEP})*)$"
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def date_math(text: str, now: datetime | None = None, ntz: bool = False) -> Column:
@@ -46,39 +52,65 @@ def date_math(text: str, now: datetime | None = None, ntz: bool = False) -> Colu
         value = _now(now)
     else:
         try:
-            datetime.fromisoformat(start[:-1])
+            value = _micros(datetime.fromisoformat(start))
         except ValueError:
             raise ValueError(f"not a date: {text!r}") from None
-        value = F.lit(start[:-1]).cast("timestamp_ntz")
     for step in re.findall(STEP, steps):
-        unit = F.lit(NAMES[re.search("[A-Z]+$", step).group()])
+        unit = NAMES[re.search("[A-Z]+$", step).group()]
         if step[0] == "/":
-            value = _floor(value, unit)
+            value = _floor_months(value, unit) if unit in MONTHS else _floor_micros(value, F.lit(MICROS[unit]))
         else:
             amount = int(re.match("[+-][0-9]+", step).group())
             if abs(amount) >= 1 << 31:
                 raise ValueError(f"shift too large in {text!r}")
-            value = _shift(value, F.lit(amount), unit)
-    return value if ntz else utc_instant(value)
+            if unit in MONTHS:
+                value = _shift_months(value, F.lit(amount * MONTHS[unit]))
+            else:
+                value = value + F.lit(amount * MICROS[unit])
+    return _instant(value, ntz)
 
 
 def instant_column(text: Column, now: datetime | None = None, ntz: bool = False) -> Column:
     """Date math over a column of texts; NULL where the text is bad."""
-    start = F.regexp_extract(text, WHOLE, 1)
-    steps = F.regexp_extract_all(F.regexp_extract(text, WHOLE, 2), F.lit(f"({STEP})"), F.lit(1))
-    first = F.when(start == "NOW", _now(now)).otherwise(
-        F.regexp_replace(start, "Z$", "").try_cast("timestamp_ntz")
-    )
+    lengths = _lengths()
+
+    def read_step(step: Column) -> Column:
+        return F.struct(
+            step.startswith("/").alias("floor"),
+            # a failed try_cast costs an exception, so roundings get a number too
+            F.when(step.startswith("/"), F.lit(1))
+            .otherwise(F.translate(step, LETTERS, "").try_cast("int")).alias("amount"),
+            lengths[F.translate(step, "/+-0123456789", "")].alias("unit"),
+        )
 
     def apply(value: Column, step: Column) -> Column:
-        unit = _unit_of(F.regexp_extract(step, "[A-Z]+$", 0))
-        amount = F.regexp_extract(step, "^[+-][0-9]+", 0).try_cast("int")
-        return F.when(step.startswith("/"), _floor(value, unit)).otherwise(
-            _shift(value, amount, unit)
+        micros, months = step["unit"]["micros"], step["unit"]["months"]
+        moved = F.when(micros > 0, value + step["amount"] * micros).otherwise(
+            _shift_months(value, step["amount"] * months)
         )
+        floored = (
+            F.when(micros > 0, _floor_micros(value, micros))
+            .when(months == 1, _floor_months(value, "MONTH"))
+            .otherwise(_floor_months(value, "YEAR"))
+        )
+        return F.when(step["floor"], floored).otherwise(moved)
+
+    def evaluate(parts: Column) -> Column:
+        start, steps = parts[0], parts[1]
+        first = F.when(start == "NOW", _now(now)).otherwise(F.unix_micros(start.try_cast("timestamp")))
+        listed = F.transform(F.split(steps, r"(?=[+/-])"), read_step)
+        # most texts carry no math; those never enter the fold
+        return F.when(steps == "", first).otherwise(F.aggregate(listed, first, apply))
 
-    value = F.when(text.rlike(WHOLE), F.aggregate(steps, first, apply))
-    return value if ntz else utc_instant(value)
+    # one pass of the grammar per text: start and steps, or the text unchanged if it does not fit
+    marked = F.regexp_replace(text, WHOLE, "$1|$2")
+    value = _let(marked, lambda m: F.when(m != text, _let(F.split(m, r"\|", 2), evaluate)))
+    return _instant(value, ntz)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def utc_instant(value: Column) -> Column:
@@ -89,50 +121,52 @@ def utc_instant(value: Column) -> Column:
     )
 
 
-def utc_clock(value: Column) -> Column:
-    """UTC wall-clock time of the instant ``value``, zone-free."""
-    seconds = (F.unix_micros(value) / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+def _micros(moment: datetime) -> Column:
+    return F.lit((moment - EPOCH) // timedelta(microseconds=1)).cast("bigint")
 
 
 def _now(now: datetime | None) -> Column:
     if now is None:
-        return utc_clock(F.current_timestamp())
-    if now.tzinfo is not None:
-        now = now.astimezone(timezone.utc).replace(tzinfo=None)
-    return F.lit(now.isoformat()).cast("timestamp_ntz")
+        return F.unix_micros(F.current_timestamp())
+    return _micros(now if now.tzinfo else now.replace(tzinfo=timezone.utc))
 
 
-def _unit_of(name: Column) -> Column:
-    unit = F.lit(None).cast("string")
-    for canonical, names in UNITS.items():
-        unit = F.when(name.isin(*names), F.lit(canonical)).otherwise(unit)
-    return unit
+def _instant(micros: Column, ntz: bool) -> Column:
+    if not ntz:
+        return F.timestamp_micros(micros)
+    since = F.make_dt_interval(secs=F.lit(0.000001).cast("decimal(18,6)")) * micros
+    return F.lit("1970-01-01").cast("timestamp_ntz") + since
 
 
-def _shift(value: Column, amount: Column, unit: Column) -> Column:
-    def part(name: str) -> Column:
-        return F.when(unit == name, amount).otherwise(F.lit(0))
+def _lengths() -> Column:
+    """Map from unit name to its length, in microseconds or months."""
+    pairs = []
+    for name, unit in NAMES.items():
+        length = F.struct(
+            F.lit(MICROS.get(unit, 0)).cast("bigint").alias("micros"),
+            F.lit(MONTHS.get(unit, 0)).alias("months"),
+        )
+        pairs += [F.lit(name), length]
+    return F.create_map(*pairs)
 
-    seconds = part("SECOND") + part("MILLI").cast("decimal(18,6)") / F.lit(1000)
-    return value + F.make_interval(
-        years=part("YEAR"), months=part("MONTH"), days=part("DAY"),
-        hours=part("HOUR"), mins=part("MINUTE"), secs=seconds.cast("decimal(18,6)"),
-    )
 
+def _floor_micros(value: Column, length: Column) -> Column:
+    return value - F.pmod(value, length)
 
-def _floor(value: Column, unit: Column) -> Column:
-    def keep(name: str, part: Column, lowest: int) -> Column:
-        finer = ORDER[ORDER.index(name):]
-        return F.when(unit.isin(*finer), part).otherwise(F.lit(lowest))
-
-    second = F.extract(F.lit("SECOND"), value)
-    whole = F.when(unit == "MILLI", F.floor(second * 1000) / F.lit(1000)).otherwise(F.floor(second))
-    return F.make_timestamp_ntz(
-        F.year(value),
-        keep("MONTH", F.month(value), 1),
-        keep("DAY", F.dayofmonth(value), 1),
-        keep("HOUR", F.hour(value), 0),
-        keep("MINUTE", F.minute(value), 0),
-        F.when(unit.isin("SECOND", "MILLI"), whole).otherwise(F.lit(0)).cast("decimal(16,6)"),
-    )
+
+def _date(value: Column) -> Column:
+    days = (value - F.pmod(value, F.lit(MICROS["DAY"]))) / F.lit(MICROS["DAY"])
+    return F.date_from_unix_date(F.round(days).cast("int"))
+
+
+def _midnight(date: Column) -> Column:
+    return F.unix_date(date).cast("bigint") * F.lit(MICROS["DAY"])
+
+
+def _shift_months(value: Column, months: Column) -> Column:
+    """Same day of the month and time of day, or the month's last day."""
+    return _midnight(F.add_months(_date(value), months)) + F.pmod(value, F.lit(MICROS["DAY"]))
+
+
+def _floor_months(value: Column, unit: str) -> Column:
+    return _midnight(F.trunc(_date(value), unit))

@@ -155,23 +155,26 @@ def parse_request_log(df: DataFrame, col: str) -> DataFrame:
     Fields a line lacks are NULL. ``tip`` is the note on lines for requests
     that timed out or were rejected.
     """
-    line = F.col(col)
+    # parameter values may hold braces and blanks, so the fields are looked for
+    # in front of the first brace and behind the last one only
+    brace = F.instr(F.col(col), "{")
+    text = df.withColumns({
+        "__head": F.when(brace > 0, F.substring_index(F.col(col), "{", 1)).otherwise(F.col(col)),
+        "__tail": F.when(brace > 0, F.substring_index(F.col(col), "}", -1)).otherwise(F.col(col)),
+    })
 
-    def pick(pattern: str, kind: str = "string") -> Column:
-        return F.regexp_extract(line, pattern, 1) if kind == "text" else F.nullif(
-            F.regexp_extract(line, pattern, 1), F.lit("")
-        ).try_cast(kind)
+    def pick(source: str, pattern: str, kind: str = "string") -> Column:
+        return F.nullif(F.regexp_extract(F.col(source), pattern, 1), F.lit("")).try_cast(kind)
+
+    def labelled(source: str, label: str, kind: str) -> Column:
+        return pick(source, rf"(?:^| ){re.escape(label)}=(\S+)", kind)
 
-    head, tail = r"^[^{]*?\b", r"[} ]"
     out = {
-        "time": pick(r"^([0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}) "),
-        "thread": pick(r"^\S+ \[([^\]]*)\]"),
+        "time": pick("__head", r"^([0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}) "),
+        "thread": pick("__head", r"^\S+ \[([^\]]*)\]"),
+        **{name: labelled("__head", *field) for name, field in REQUEST_FIELDS.items()},
+        "tip": labelled("__head", "tip", "string"),
+        "params": pick(col, r"params=\{(.*)\}"),
+        **{name: labelled("__tail", *field) for name, field in RESULT_FIELDS.items()},
     }
-    for column, (label, kind) in REQUEST_FIELDS.items():
-        out[column] = pick(rf"{head}{re.escape(label)}=(\S+)", kind)
-    out["tip"] = pick(head + r"tip=(\S+)")
-    # greedy up to the last brace, since parameter values may hold braces
-    out["params"] = pick(r"\bparams=\{(.*)\}")
-    for column, (label, kind) in RESULT_FIELDS.items():
-        out[column] = pick(rf"(?:.*{tail}|^){re.escape(label)}=(-?[0-9]+)(?=\s|$)", kind)
-    return df.withColumns(out)
+    return text.withColumns(out).drop("__head", "__tail")

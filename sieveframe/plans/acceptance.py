@@ -510,7 +510,8 @@ def e_named_functions(spark, d):
 @query("select term, count(distinct doc_id) as doc_freq from (select doc_id,"
        " unnest(regexp_extract_all(lower(text),'[a-z]+')) as term from documents) group by term")
 def t_terms_doc_freq(spark, d):
-    return terms_doc_freq(table(spark, d, "documents"), "doc_id", "text")
+    # doc_id is the unique key of the collection
+    return terms_doc_freq(table(spark, d, "documents"), "doc_id", "text", unique_key=True)
 
 
 @query("select term, count(distinct conv_id) as doc_freq from (select conv_id,"
