@@ -104,6 +104,9 @@ def range_filter(
         elif tests and isinstance(dtype, FRACTIONAL):
             # Spark sorts NaN above every number; an upper end already shuts it out
             tests.append(~F.isnan(column))
+        if isinstance(dtype, FRACTIONAL) and any(_is_nan(e) for e in (ends.lower, ends.upper)):
+            # nothing compares with NaN
+            tests = [F.lit(False)]
         if not tests:
             return column.isNull() if negated else column.isNotNull()
         inside = reduce(Column.__and__, tests)
@@ -112,6 +115,10 @@ def range_filter(
     return ValueFilter("range", value, build, not_)
 
 
+def _is_nan(end) -> bool:
+    return end is not None and "nan" in str(end).lower()
+
+
 def _mask_filter(name: str, value: Expr, mask_text, not_: bool, test) -> ValueFilter:
     mask = parse_mask(mask_text)
 

@@ -55,6 +55,7 @@ PLACES = "array<struct<width:int,bin:bigint,salt:int>>"
 WIDTH_STEP = 2
 #: Bins narrower than this share of the ends' size would exceed double precision.
 PRECISION_BITS = 50
+LARGEST_BITS = 900
 
 
 @dataclass(frozen=True)
@@ -212,7 +213,9 @@ def _kind(dtype: T.DataType) -> Column:
     two_ends = F.col("lower").isNotNull() & F.col("upper").isNotNull() & ~F.col("negated")
     kind = F.when((F.col("op") == "in") & ~F.col("negated"), F.lit(VALUE))
     if _has_position(dtype):
-        kind = kind.when((F.col("op") == "range") & two_ends, F.lit(BINNED))
+        # infinite, NaN or astronomic ends cannot be cut into a few bins
+        near = F.greatest(*[F.abs(_position(F.col(c), dtype)) for c in ("lower", "upper")]) < 2.0**LARGEST_BITS
+        kind = kind.when((F.col("op") == "range") & two_ends & near, F.lit(BINNED))
     return kind.otherwise(F.lit(SHARED))
 
 
@@ -236,7 +239,6 @@ def _width(dtype: T.DataType) -> Column:
     low, high = _position(F.col("lower"), dtype), _position(F.col("upper"), dtype)
     smallest = F.greatest(F.abs(low), F.abs(high)) / F.lit(2.0**PRECISION_BITS)
     span = F.greatest(high - low, smallest, F.lit(2.0**-PRECISION_BITS))
-    span = F.when(F.isnan(span) | (span > 2.0**1000), F.lit(2.0**1000)).otherwise(span)
     width = (F.ceil(F.log2(span) / WIDTH_STEP) * WIDTH_STEP).cast("int")
     return F.when(F.col("kind") == BINNED, width)
 
@@ -252,8 +254,9 @@ def _in_range(dtype: T.DataType) -> Column:
     below = high.isNull() | (v < high) | (F.col("include_upper") & (v == high))
     inside = v.isNotNull() & above & below
     if isinstance(dtype, FRACTIONAL):
-        # NaN sorts above all numbers; it lies in no range that has an end
-        inside = inside & (~F.isnan(v) | (low.isNull() & high.isNull()))
+        # Spark sorts NaN above all numbers; it lies in no range that has an end, and ends none
+        numbers = ~F.isnan(v) & ~F.isnan(low) & ~F.isnan(high)
+        inside = inside & (numbers | (low.isNull() & high.isNull()))
     return F.coalesce(inside, F.lit(False))
 
 

@@ -116,6 +116,8 @@ def test_float_literals_and_nan(spark):
     assert ids(apply_filters(df, ~range_filter("f", "[5 TO *]"))) == [2, 3, 4]
     assert ids(apply_filters(df, ~range_filter("f", "[* TO 5]"))) == [1, 2, 4]
     assert ids(apply_filters(df, range_filter("f", "[* TO *]"))) == [1, 2, 3]
+    assert ids(apply_filters(df, range_filter("f", "[0 TO NaN]"))) == []
+    assert ids(apply_filters(df, ~range_filter("f", "[NaN TO *]"))) == [1, 2, 3, 4]
 
 
 def test_bits_of_fractions_and_extremes(spark):

@@ -1,0 +1,93 @@
+import pytest
+from pyspark.sql import functions as F
+
+from sieveframe import (
+    HistorySink, UpsertTable, apply_filters, in_filter, log_history, lookup, read_stream, run_available, upsert_latest,
+)
+
+SCHEMA = "id int, user int, ts int, level string, v int"
+
+
+def batch(spark, start, n):
+    return spark.range(start, start + n).selectExpr(
+        "cast(id as int) id", "cast(id * 31 % 17 as int) user", "cast(id * 7 % 101 as int) ts",
+        "case when id % 3 = 0 then 'ERROR' when id % 3 = 1 then 'INFO' else 'WARN' end level", "cast(id % 5 as int) v")
+
+
+@pytest.fixture()
+def folder(spark, tmp_path):
+    for start in (0, 100, 200):
+        batch(spark, start, 100).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return tmp_path
+
+
+def source(spark, folder):
+    return read_stream(spark, str(folder / "in"), max_files_per_trigger=1)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_filters_and_lookups_on_a_stream(spark, folder):
+    names = spark.createDataFrame([(i, f"u{i}") for i in range(0, 17, 2)], "user int, name string")
+
+    def work(df):
+        return lookup(apply_filters(df, ~in_filter("v", "(1, 2)")), names, "user", "name", hot_keys=[2]).select("id", "name")
+
+    run_available(work(source(spark, folder)), str(folder / "out"), str(folder / "cp"))
+    got = rows(spark.read.parquet(str(folder / "out")))
+    assert got == rows(work(spark.read.parquet(str(folder / "in")))) and len(got) == 180
+
+
+def test_single_file(spark, folder):
+    one = next(p for p in (folder / "in").iterdir() if p.suffix == ".parquet")
+    run_available(read_stream(spark, str(one)), str(folder / "out"), str(folder / "cp"))
+    assert spark.read.parquet(str(folder / "out")).count() == 100
+
+
+def test_history(spark, folder):
+    sink = HistorySink(str(folder / "h"), "ts", "level", "id", size=20)
+    with pytest.raises(LookupError):
+        sink.read(spark)
+    run_available(source(spark, folder), sink.write_batch, str(folder / "cp"))
+    whole = spark.read.parquet(str(folder / "in"))
+    expected = rows(log_history(whole, "ts", "level", size=20, id_col="id"))
+    assert rows(sink.read(spark)) == expected
+    # a batch that is run again, and one that brings known events, change nothing
+    sink.write_batch(batch(spark, 200, 100), 3)
+    sink.write_batch(batch(spark, 200, 100), 3)
+    assert rows(sink.read(spark)) == expected
+    assert rows(sink.read(spark, since=99)) == [r for r in expected if r[2] > 99]
+
+
+def test_upserts(spark, folder):
+    table = UpsertTable(str(folder / "t"), "user", ["ts", "id"])
+    with pytest.raises(LookupError):
+        table.read(spark)
+    run_available(source(spark, folder), table.write_batch, str(folder / "cp"))
+    whole = spark.read.parquet(str(folder / "in"))
+    expected = rows(upsert_latest(whole.limit(0), whole, "user", ["ts", "id"]))
+    assert rows(table.read(spark)) == expected and len(expected) == 17
+    last = batch(spark, 900, 30)
+    table.write_batch(last, 7)
+    after = rows(upsert_latest(whole, last, "user", ["ts", "id"]))
+    assert rows(table.read(spark)) == after
+    table.write_batch(last, 7)
+    assert rows(table.read(spark)) == after
+    table.compact(spark)
+    table.compact(spark)
+    assert rows(table.read(spark)) == after
+    table.write_batch(last, 7)
+    assert rows(table.read(spark)) == after
+    table.write_batch(spark.createDataFrame([(5000, 3, 1000, "WARN", 1)], SCHEMA), 8)
+    assert rows(table.read(spark)) == sorted([r for r in after if r[1] != 3] + [(5000, 3, 1000, "WARN", 1)])
+
+
+def test_later_batch_wins_at_equal_order(spark, tmp_path):
+    table = UpsertTable(str(tmp_path / "t"), "user", "ts")
+    for i, v in enumerate([1, 2, 3]):
+        table.write_batch(spark.createDataFrame([(1, 1, 5, "x", v)], SCHEMA), i)
+        if i == 1:
+            table.compact(spark)
+        assert [r.v for r in table.read(spark).collect()] == [v]
