@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,7 @@ from ..functions.values import (
     parse_range,
     typed_literal,
 )
+from .skew import AUTO, keyed_join
 
 #: Builds the predicate of a filter from the column, its type and the complement flag.
 Predicate = Callable[[Column, T.DataType, bool], Column]
@@ -197,32 +198,26 @@ def filter_in(
 ) -> DataFrame:
     """``in`` for lists of any length. Short lists stay a scan predicate. Longer
     ones, and lists held in the first column of a DataFrame, become a semi join
-    (anti join for the complement), which Spark broadcasts only if the list is
-    small enough by its own measure."""
+    (anti join for the complement). Spark broadcasts the list only if it is
+    small enough by its own measure; otherwise frequent and missing values of
+    ``df`` are spread over many tasks."""
     if not isinstance(values, DataFrame):
         items = parse_list(values) if isinstance(values, str) else list(values)
         if len(items) <= LITERAL_LIST_LIMIT:
             return df.filter(in_filter(value, items, not_)(df))
-        column = resolve(df, value)
-        dtype = type_of(df, column)
-        check_comparable(dtype, "in")
-        kind = "string" if all(isinstance(item, str) for item in items) else dtype
-        rows = df.sparkSession.createDataFrame(
-            [Row(v=item) for item in items], T.StructType([T.StructField("v", _as_type(kind))])
-        )
-        values = rows.select(F.col("v").cast(dtype).alias("__listed"))
+    column = resolve(df, value)
+    dtype = type_of(df, column)
+    check_comparable(dtype, "in")
+    if isinstance(values, DataFrame):
+        listed = values.select(F.col(values.columns[0]).cast(dtype).alias("__listed"))
     else:
-        column = resolve(df, value)
-        dtype = type_of(df, column)
-        check_comparable(dtype, "in")
-        values = values.select(F.col(values.columns[0]).cast(dtype).alias("__listed"))
+        kind = T.StringType() if all(isinstance(item, str) for item in items) else dtype
+        rows = df.sparkSession.createDataFrame([(item,) for item in items], T.StructType().add("v", kind))
+        listed = rows.select(F.col("v").cast(dtype).alias("__listed"))
+    # distinct first: each task sends a repeated value once
+    listed = listed.filter(F.col("__listed").isNotNull()).distinct()
     how = "left_anti" if not_ else "left_semi"
-    keyed = df.withColumn("__value", column)
-    return keyed.join(values, keyed["__value"] == values["__listed"], how).drop("__value")
-
-
-def _as_type(kind: T.DataType | str) -> T.DataType:
-    return T.StringType() if kind == "string" else kind
+    return keyed_join(df.withColumn("__value", column), "__value", listed, "__listed", how, AUTO).drop("__value")
 
 
 def with_constant_score(df: DataFrame, score: float = 1.0) -> DataFrame:

@@ -16,15 +16,14 @@ from pyspark.sql import types as T
 
 from ..functions.resolve import type_of
 from ..functions.scalars import long_value
-from .skew import copies, spread
+from .skew import AUTO, keyed_join
 
 if TYPE_CHECKING:
     from ..sources.catalog import Catalog
 
 MODES = ("object", "numeric", "exists")
-SPREAD_WAYS = 64
 
-_KEY, _VALUE, _HIT, _SALT = "__key", "__value", "__hit", "__salt"
+_KEY, _VALUE, _HIT = "__key", "__value", "__hit"
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -50,7 +49,7 @@ def lookup(
     order: Sequence[Column] | None = None,
     name: str | None = None,
     unique: bool = False,
-    hot_keys: list | None = None,
+    hot_keys: list | str | None = AUTO,
 ) -> DataFrame:
     """``main`` with one more column, read from ``target`` by key.
 
@@ -63,8 +62,10 @@ def lookup(
         with the smallest value. Skipped with ``unique=True``, a promise that no
         key repeats.
     ``hot_keys``
-        Keys that hold a large share of ``main`` (see ``find_hot_keys``). Their
-        rows, and rows without a key, are dealt out over many tasks.
+        Keys that hold a large share of ``main``. Their rows, and rows without a
+        key, are dealt out over many tasks. By default they are looked for (one
+        pass over the key column) when ``target`` is too large to broadcast;
+        ``None`` leaves skew to adaptive execution.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -74,18 +75,7 @@ def lookup(
         if column not in frame.columns:
             raise LookupError(f"{what} {column!r} not found")
     found = _first_values(main, target, key, field, mode, target_key, order, unique)
-    if hot_keys is None:
-        joined = main.join(found, main[key] == found[_KEY], "left")
-    else:
-        salted = main.withColumn(_SALT, spread(main, F.col(key), hot_keys, SPREAD_WAYS))
-        found = found.withColumn(
-            "__target_salt", F.explode(copies(F.col(_KEY), hot_keys, SPREAD_WAYS))
-        )
-        joined = salted.join(
-            found,
-            (salted[key] == found[_KEY]) & (salted[_SALT] == found["__target_salt"]),
-            "left",
-        ).drop(_SALT, "__target_salt")
+    joined = keyed_join(main, key, found, _KEY, "left", hot_keys)
     hit = F.col(_HIT).isNotNull()
     if mode == "exists":
         value = hit

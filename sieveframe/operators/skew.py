@@ -1,4 +1,10 @@
-"""Finding and spreading hot keys."""
+"""Joins that stay balanced when a few keys hold a large share of the rows.
+
+The right side of these joins has one row per key. Small right sides need no
+care: Spark broadcasts them. For the others the rows of hot keys, and rows
+without a key, are dealt out over many tasks, and the right side's rows of
+exactly those keys are copied to them.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +14,18 @@ from pyspark.sql import types as T
 
 #: Counters of the heavy-hitter sketch. It bounds what reaches the driver.
 SKETCH_SIZE = 10_000
+#: Share of the rows from which on a key counts as hot when none is given.
+HOT_SHARE = 0.001
+#: Least number of tasks a hot key is dealt out to.
+LEAST_WAYS = 64
+#: Key types the sketch can count.
+COUNTABLE = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.DateType,
+)
+AUTO = "auto"
 
 
-def find_hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold about ``share`` of the rows or more.
 
     One pass over the key column into a fixed-size sketch per task: no shuffle
@@ -18,16 +33,61 @@ def find_hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     how rows are spread; a key that is missed or reported in error costs time,
     never rows.
     """
-    if not 0 < share <= 1:
-        raise ValueError("share must lie in (0, 1]")
-    most = min(int(1 / share) + 1, SKETCH_SIZE)
-    row = df.filter(F.col(key).isNotNull()).agg(
-        F.call_function("approx_top_k", F.col(key), F.lit(most), F.lit(SKETCH_SIZE)).alias("top"), F.count("*").alias("n")
+    return _hot(df, key, share)[0]
+
+
+def _hot(df: DataFrame, key: str, share: float) -> tuple[list, float]:
+    """Hot keys, and the share of rows without a key."""
+    if not 1 / SKETCH_SIZE < share <= 1:
+        raise ValueError(f"share must lie in ({1 / SKETCH_SIZE}, 1]")
+    top = F.call_function("approx_top_k", F.col(key), F.lit(int(1 / share) + 1), F.lit(SKETCH_SIZE))
+    row = df.agg(
+        top.alias("top"), F.count(F.col(key)).alias("keyed"), F.count("*").alias("n")
     ).first()
-    return [item["item"] for item in row["top"] or () if item["count"] >= share * row["n"]]
+    hot = [i["item"] for i in row["top"] or () if i["item"] is not None and i["count"] >= share * row["n"]]
+    return hot, 1 - row["keyed"] / row["n"] if row["n"] else 0.0
+
+
+def keyed_join(
+    main: DataFrame, key: str, found: DataFrame, found_key: str, how: str, hot_keys: list | str | None
+) -> DataFrame:
+    """Join ``main`` with ``found``, which has at most one row per key.
+
+    ``hot_keys`` is a list of keys to spread, ``None`` for a plain join, or
+    ``"auto"``: when ``found`` is too large to broadcast, ``main``'s key column
+    is read once to find the hot keys. ``found_key`` is in the result of a left
+    join; the caller drops it.
+    """
+    if hot_keys == AUTO:
+        hot_keys = _choose(main, key, found)
+    if hot_keys is None:
+        return main.join(found, main[key] == found[found_key], how)
+    tasks = int(main.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = max(LEAST_WAYS, tasks)
+    salted = main.withColumn("__salt", _spread(main, F.col(key), hot_keys, ways))
+    copied = found.withColumn("__found_salt", F.explode(_copies(F.col(found_key), hot_keys, ways)))
+    same = (salted[key] == copied[found_key]) & (salted["__salt"] == copied["__found_salt"])
+    return salted.join(copied, same, how).drop("__salt", "__found_salt")
+
+
+def _choose(main: DataFrame, key: str, found: DataFrame) -> list | None:
+    if main.isStreaming or fits_broadcast(found):
+        return None
+    if not isinstance(main.schema[key].dataType, COUNTABLE):
+        return []
+    hot, missing = _hot(main, key, HOT_SHARE)
+    return hot if hot or missing >= HOT_SHARE else None
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate lets it broadcast ``df``."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    # an unknown size is given as a huge number, which may arrive as a negative one
+    return 0 <= size <= limit
 
 
-def spread(df: DataFrame, key: Column, hot_keys: list, ways: int) -> Column:
+def _spread(df: DataFrame, key: Column, hot_keys: list, ways: int) -> Column:
     """Salt of a row: hot keys and missing keys go ``ways`` ways, others one.
 
     It depends on the row's content only, so a retried task deals its rows out
@@ -39,7 +99,7 @@ def spread(df: DataFrame, key: Column, hot_keys: list, ways: int) -> Column:
     return F.when(hot, dealt).otherwise(F.lit(0))
 
 
-def copies(key: Column, hot_keys: list, ways: int) -> Column:
+def _copies(key: Column, hot_keys: list, ways: int) -> Column:
     """Salts the other side of the join needs for ``key``, as an array."""
     one = F.array(F.lit(0))
     if not hot_keys:

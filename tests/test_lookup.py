@@ -2,7 +2,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from sieveframe import Catalog, desc, find_hot_keys, lookup, lookup_ref, mul, select
+from sieveframe import Catalog, desc, filter_in, find_hot_keys, lookup, lookup_ref, mul, select
 from sieveframe.operators.lookup import split_ref
 
 
@@ -111,8 +111,14 @@ def test_hot_keys(spark):
             got = lookup(wide, target, "k", "v", hot_keys=hot).filter("v = 'hot'")
             return got.groupBy(F.spark_partition_id()).count().count(), got.count()
         assert tasks([]) == (1, 10_000)
-        spread, n = tasks([7, 9])
-        assert spread >= 12 and n == 10_000
+        for hot in ([7, 9], "auto"):
+            spread, n = tasks(hot)
+            assert spread >= 12 and n == 10_000
+        listed = spark.createDataFrame([(7,)] * 500 + [(9,), (None,)], "v bigint")
+        kept = filter_in(wide, "k", listed)
+        assert kept.count() == 12_000
+        assert kept.groupBy(F.spark_partition_id()).count().count() >= 12
+        assert filter_in(wide, "k", listed, not_=True).count() == 18_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
         spark.conf.set("spark.sql.adaptive.enabled", True)
