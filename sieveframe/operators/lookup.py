@@ -50,6 +50,7 @@ def lookup(
     name: str | None = None,
     unique: bool = False,
     hot_keys: list | str | None = AUTO,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """``main`` with one more column, read from ``target`` by key.
 
@@ -66,6 +67,9 @@ def lookup(
         key, are dealt out over many tasks. By default they are looked for (one
         pass over the key column) when ``target`` is too large to broadcast;
         ``None`` leaves skew to adaptive execution.
+    ``spread_by``
+        Columns of ``main`` that tell the rows of one key apart, such as its own
+        unique key. Without it a few narrow columns are used.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -75,7 +79,7 @@ def lookup(
         if column not in frame.columns:
             raise LookupError(f"{what} {column!r} not found")
     found = _first_values(main, target, key, field, mode, target_key, order, unique)
-    joined = keyed_join(main, key, found, _KEY, "left", hot_keys)
+    joined = keyed_join(main, key, found, _KEY, "left", hot_keys, spread_by)
     hit = F.col(_HIT).isNotNull()
     if mode == "exists":
         value = hit

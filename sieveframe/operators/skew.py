@@ -22,6 +22,12 @@ LEAST_WAYS = 64
 COUNTABLE = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.DateType,
 )
+#: Column types to part the rows of a hot key by, best first, and how many to read.
+PARTING = (
+    T.LongType, T.TimestampType, T.TimestampNTZType, T.DoubleType, T.IntegerType, T.FloatType,
+    T.StringType, T.DateType, T.ShortType, T.ByteType,
+)
+PARTING_COLUMNS = 3
 AUTO = "auto"
 
 
@@ -49,13 +55,15 @@ def _hot(df: DataFrame, key: str, share: float) -> tuple[list, float]:
 
 
 def keyed_join(
-    main: DataFrame, key: str, found: DataFrame, found_key: str, how: str, hot_keys: list | str | None
+    main: DataFrame, key: str, found: DataFrame, found_key: str, how: str,
+    hot_keys: list | str | None, spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Join ``main`` with ``found``, which has at most one row per key.
 
     ``hot_keys`` is a list of keys to spread, ``None`` for a plain join, or
     ``"auto"``: when ``found`` is too large to broadcast, ``main``'s key column
-    is read once to find the hot keys. ``found_key`` is in the result of a left
+    is read once to find the hot keys. Rows of a hot key part by the columns
+    ``spread_by``; without it, by a few narrow ones. ``found_key`` is in the result of a left
     join; the caller drops it.
     """
     if hot_keys == AUTO:
@@ -64,7 +72,7 @@ def keyed_join(
         return main.join(found, main[key] == found[found_key], how)
     tasks = int(main.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ways = max(LEAST_WAYS, tasks)
-    salted = main.withColumn("__salt", _spread(main, F.col(key), hot_keys, ways))
+    salted = main.withColumn("__salt", _spread(main, key, hot_keys, ways, spread_by))
     copied = found.withColumn("__found_salt", F.explode(_copies(F.col(found_key), hot_keys, ways)))
     same = (salted[key] == copied[found_key]) & (salted["__salt"] == copied["__found_salt"])
     return salted.join(copied, same, how).drop("__salt", "__found_salt")
@@ -87,16 +95,27 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= limit
 
 
-def _spread(df: DataFrame, key: Column, hot_keys: list, ways: int) -> Column:
+def _spread(df: DataFrame, key: str, hot_keys: list, ways: int, spread_by: list[str] | None) -> Column:
     """Salt of a row: hot keys and missing keys go ``ways`` ways, others one.
 
     It depends on the row's content only, so a retried task deals its rows out
-    the same way and filters above it still move below it.
+    the same way and filters above it still move below it. It reads few columns,
+    since the scan has to deliver them.
     """
-    columns = [F.col(f"`{f.name}`") for f in df.schema if not _has_map(f.dataType)]
-    dealt = F.pmod(F.xxhash64(*columns), F.lit(ways)).cast("int")
-    hot = key.isNull() if not hot_keys else key.isNull() | key.isin(*hot_keys)
-    return F.when(hot, dealt).otherwise(F.lit(0))
+    columns = spread_by or _narrow(df, key)
+    value = F.col(key)
+    hot = value.isNull() if not hot_keys else value.isNull() | value.isin(*hot_keys)
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns or [key]]), F.lit(ways))
+    return F.when(hot, dealt.cast("int")).otherwise(F.lit(0))
+
+
+def _narrow(df: DataFrame, key: str) -> list[str]:
+    """Columns likely to tell rows apart at little cost, best first."""
+    ranked = [
+        (PARTING.index(type(f.dataType)), f.name) for f in df.schema
+        if f.name != key and type(f.dataType) in PARTING
+    ]
+    return [name for _, name in sorted(ranked, key=lambda r: r[0])][:PARTING_COLUMNS]
 
 
 def _copies(key: Column, hot_keys: list, ways: int) -> Column:
@@ -106,12 +125,3 @@ def _copies(key: Column, hot_keys: list, ways: int) -> Column:
         return one
     return F.when(key.isin(*hot_keys), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(one)
 
-
-def _has_map(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.MapType):
-        return True
-    if isinstance(dtype, T.ArrayType):
-        return _has_map(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return any(_has_map(f.dataType) for f in dtype)
-    return False

@@ -294,7 +294,7 @@ def l_lookup_ref_default(spark, d):
 def l_lookup_hot_keys(spark, d):
     items = table(spark, d, "lineitem")
     df = lookup(items, table(spark, d, "part"), "l_partkey", "p_size", target_key="p_partkey",
-                hot_keys=find_hot_keys(items, "l_partkey", share=0.002))
+                hot_keys=find_hot_keys(items, "l_partkey", share=0.002), spread_by=["l_orderkey", "l_linenumber"])
     return df.select("l_orderkey", "l_linenumber", "l_partkey", "p_size")
 
 
