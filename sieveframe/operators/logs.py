@@ -21,6 +21,7 @@ UNKNOWN_CODE = 0
 TIMEOUT_CODE = 408
 OK_CODE = 200
 DEFAULT_TIME_ALLOWED_MS = 2000
+UPDATE_PATH = "/update"
 # Names in front of the fields of a request log line.
 REQUEST_FIELDS = {
     "rid": ("rid", "bigint"),
@@ -147,6 +148,12 @@ def classify_requests(
     return df.withColumn(name, F.when(late, F.lit(TIMEOUT_CODE)).otherwise(F.lit(OK_CODE)))
 
 
+def is_update_request(path: Column | str) -> Column:
+    """Whether a request path is an update: ``/update`` or below it."""
+    path = F.col(path) if isinstance(path, str) else path
+    return F.coalesce((path == UPDATE_PATH) | path.startswith(UPDATE_PATH + "/"), F.lit(False))
+
+
 def parse_request_log(df: DataFrame, col: str) -> DataFrame:
     """Fields of request log lines:
 

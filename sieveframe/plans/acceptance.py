@@ -15,6 +15,7 @@ from ..functions import (
 from ..operators import (
     apply_filters, bit_all_filter, bit_any_filter, build_filter, classify_requests, copy_field,
     delete_by_ids, delete_by_query, export_sorted, filter_in, find_hot_keys, get_by_ids, in_filter,
+    is_update_request,
     log_history, lookup, match_rules, name_tree, normalize_code, parse_request_log, range_filter,
     register_filter, request_params, terms_doc_freq, unknown_code, upsert_latest,
     with_constant_score, with_defaults,
@@ -604,6 +605,16 @@ def g_request_log(spark, d):
     )
 
 
+@query("select event_id, path, path = '/update' or starts_with(path, '/update/') as is_update from"
+       " (select event_id, case when event_type = 'error' then '/update' else '/' || replace(event_type, 'click', 'update/json') end as path from events)")
+def g_update_requests(spark, d):
+    path = F.when(F.col("event_type") == "error", "/update").otherwise(
+        F.concat(F.lit("/"), F.replace("event_type", F.lit("click"), F.lit("update/json")))
+    )
+    events = table(spark, d, "events").select("event_id", path.alias("path"))
+    return events.withColumn("is_update", is_update_request("path"))
+
+
 # --- streams ------------------------------------------------------------------------
 
 

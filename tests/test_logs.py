@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveframe import (
-    classify_requests, log_history, name_tree, normalize_code, parse_request_log, request_params, unknown_code,
+    classify_requests, is_update_request, log_history, name_tree, normalize_code, parse_request_log, request_params, unknown_code,
 )
 
 T0 = datetime(2024, 1, 1)
@@ -93,3 +93,9 @@ def test_request_log(spark):
     assert (r[1].tip, r[1].core, r[1].execute_time, r[1].hits, r[1].params) == ("Timeout_In_Queue", None, None, None, "q=*:* hits=9")
     assert (r[2].thread, r[2].params, r[2].status, r[2].qtime) == ("update 3", None, 0, 1)
     assert all(v is None for v in r[3][2:])
+
+
+def test_update_paths(spark):
+    paths = {"/update": True, "/update/json": True, "/updates": False, "/select": False, "": False, None: False}
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert {r.p: r.u for r in df.select("p", is_update_request("p").alias("u")).collect()} == paths
