@@ -78,6 +78,8 @@ def lookup(
                                 (target, field, "target field")):
         if column not in frame.columns:
             raise LookupError(f"{what} {column!r} not found")
+    if (name or field) in main.columns:
+        raise ValueError(f"there is a column {name or field!r} already; give the result a name")
     found = _first_values(main, target, key, field, mode, target_key, order, unique)
     joined = keyed_join(main, key, found, _KEY, "left", hot_keys, spread_by)
     hit = F.col(_HIT).isNotNull()

@@ -102,19 +102,23 @@ def select(
         added[name] = column
         sorting.append(_directed(F.col(name), type_of(hits, column), item.descending))
     keyed = hits.withColumns(added) if added else hits
-    if rows is not None or start:
-        if key is None:
-            raise ValueError("a page needs the unique key of the collection")
-        sorting += [F.col(k).asc() for k in ([key] if isinstance(key, str) else key)]
-        keyed = _page(keyed, sorting, start, rows)
-    elif sorting:
-        if key is not None:
-            sorting += [F.col(k).asc() for k in ([key] if isinstance(key, str) else key)]
-        keyed = keyed.orderBy(*sorting)
     out = _project(keyed, hits.columns, fields)
     if return_sort_values:
         out += [F.col(name).alias(f"sort_{i + 1}") for i, name in enumerate(added)]
-    return keyed.select(*out)
+    keys = [] if key is None else [key] if isinstance(key, str) else list(key)
+    if rows is None and not start:
+        sorting += [F.col(k).asc() for k in keys] if sorting else []
+        return (keyed.orderBy(*sorting) if sorting else keyed).select(*out)
+    if not keys:
+        raise ValueError("a page needs the unique key of the collection")
+    if rows is not None and start + rows <= TOP_K_LIMIT:
+        ordered = keyed.orderBy(*sorting, *[F.col(k).asc() for k in keys])
+        return (ordered.offset(start) if start else ordered).limit(rows).select(*out)
+    # a deep page is stored on the way, so it carries nothing but fields and sort keys
+    ends = {f"__key_{i}": F.col(k) for i, k in enumerate(keys)}
+    carried = keyed.select(*out, *added, *[c.alias(n) for n, c in ends.items()])
+    sorting += [F.col(n).asc() for n in ends]
+    return deep_page(carried, sorting, start, rows).drop(*added, *ends)
 
 
 def _project(df: DataFrame, columns: list[str], fields) -> list[Column]:
@@ -131,13 +135,6 @@ def _project(df: DataFrame, columns: list[str], fields) -> list[Column]:
     return out
 
 
-def _page(df: DataFrame, sorting: list[Column], start: int, rows: int | None) -> DataFrame:
-    if rows is not None and start + rows <= TOP_K_LIMIT:
-        ordered = df.orderBy(*sorting)
-        return (ordered.offset(start) if start else ordered).limit(rows)
-    return deep_page(df, sorting, start, rows)
-
-
 def deep_page(df: DataFrame, sorting: list[Column], start: int, rows: int | None) -> DataFrame:
     """A page far down the order. The sort is range-partitioned and stored; the
     partitions' row counts then give each row its place, so no task ever holds

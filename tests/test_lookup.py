@@ -74,6 +74,8 @@ def test_checks(main, sub):
             lookup(main, sub, *bad)
     with pytest.raises(ValueError):
         lookup(main, sub, "id", "other_i", mode="text")
+    with pytest.raises(ValueError):
+        lookup(main, sub, "id", "other_i", name="my_i")
 
 
 def test_names(main, sub):

@@ -71,6 +71,11 @@ def test_deep_pages(spark, items, monkeypatch):
     assert values(select(items, order=["n desc"], start=150, rows=17, key="id")) == expected[150:167]
     assert values(select(items, order=["n desc"], start=190, rows=None, key="id")) == expected[190:]
     assert values(select(items, order=["n desc"], start=0, rows=200, key="id")) == expected
+    narrow = select(items, fields=["s", ("m", F.col("n") + 1)], order=["n desc"], start=150, rows=17, key="id", return_sort_values=True)
+    assert narrow.columns == ["s", "m", "sort_1"]
+    assert [r.m for r in narrow.collect()] == [None if r.sort_1 is None else r.sort_1 + 1 for r in narrow.collect()]
+    stored = [p for p in narrow.inputFiles()]
+    assert stored and "id" not in spark.read.parquet(*stored).columns
 
 
 def test_plan_of_a_page(spark, tmp_path):
