@@ -23,7 +23,7 @@ if TYPE_CHECKING:
 
 MODES = ("object", "numeric", "exists")
 
-_KEY, _VALUE, _HIT = "__key", "__value", "__hit"
+_KEY, _HIT = "__key", "__hit"
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -42,18 +42,21 @@ def lookup(
     main: DataFrame,
     target: DataFrame,
     key: str,
-    field: str,
+    field: str | Sequence[str],
     mode: str = "object",
     default=None,
     target_key: str | None = None,
     order: Sequence[Column] | None = None,
-    name: str | None = None,
+    name: str | Sequence[str] | None = None,
     unique: bool = False,
     hot_keys: list | str | None = AUTO,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """``main`` with one more column, read from ``target`` by key.
 
+    ``field``
+        What to read. A list reads several fields of the same row in one join;
+        ``name`` and ``default`` are then lists too.
     ``mode``
         ``object``: the value; ``default`` where no row has the key.
         ``numeric``: the value as a number, 0 without a row or without a value.
@@ -73,29 +76,40 @@ def lookup(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    several = not isinstance(field, str)
+    fields = list(field) if several else [field]
+    names = fields if name is None else list(name) if several else [name]
+    defaults = [None] * len(fields) if default is None else list(default) if several else [default]
+    if not len(fields) == len(names) == len(defaults) > 0:
+        raise ValueError("fields, names and defaults must match")
     target_key = target_key or key
     for frame, column, what in ((main, key, "key"), (target, target_key, "target key"),
-                                (target, field, "target field")):
+                                *((target, f, "target field") for f in fields)):
         if column not in frame.columns:
             raise LookupError(f"{what} {column!r} not found")
-    if (name or field) in main.columns:
-        raise ValueError(f"there is a column {name or field!r} already; give the result a name")
-    found = _first_values(main, target, key, field, mode, target_key, order, unique)
+    for new in names:
+        if new in main.columns:
+            raise ValueError(f"there is a column {new!r} already; give the result a name")
+    found = _first_values(main, target, key, fields, mode, target_key, order, unique)
     joined = keyed_join(main, key, found, _KEY, "left", hot_keys, spread_by)
     hit = F.col(_HIT).isNotNull()
-    if mode == "exists":
-        value = hit
-    elif mode == "numeric":
-        value = F.coalesce(F.col(_VALUE), F.lit(0).cast(found.schema[_VALUE].dataType))
-    elif default is None:
-        value = F.col(_VALUE)
-    else:
-        value = F.when(hit, F.col(_VALUE)).otherwise(F.lit(default).cast(found.schema[_VALUE].dataType))
-    return joined.withColumn(name or field, value).drop(_KEY, _VALUE, _HIT)
-
-
-def _first_values(main, target, key, field, mode, target_key, order, unique) -> DataFrame:
-    """``__key, __value, __hit`` with one row per key."""
+    values = {}
+    for i, (new, missing) in enumerate(zip(names, defaults)):
+        value = hit if mode == "exists" else F.col(_value(i))
+        if mode == "numeric":
+            value = F.coalesce(value, F.lit(0).cast(found.schema[_value(i)].dataType))
+        elif mode == "object" and missing is not None:
+            value = F.when(hit, value).otherwise(F.lit(missing).cast(found.schema[_value(i)].dataType))
+        values[new] = value
+    return joined.withColumns(values).drop(*found.columns)
+
+
+def _value(i: int) -> str:
+    return f"__value_{i}"
+
+
+def _first_values(main, target, key, fields, mode, target_key, order, unique) -> DataFrame:
+    """``__key``, ``__hit`` and the values, with one row per key."""
     target = target.filter(F.col(target_key).isNotNull())
     key_type = main.schema[key].dataType
     keyed = F.col(target_key)
@@ -104,22 +118,23 @@ def _first_values(main, target, key, field, mode, target_key, order, unique) ->
     if mode == "exists":
         rows = target.select(keyed.alias(_KEY), F.lit(True).alias(_HIT))
         return rows if unique else rows.dropDuplicates([_KEY])
+    values = {_value(i): _read(target, f, mode) for i, f in enumerate(fields)}
+    if order is None and len(fields) == 1 and not unique:
+        # the smallest value alone needs no ranking
+        rows = target.select(keyed.alias(_KEY), values[_value(0)].alias(_value(0)))
+        return rows.groupBy(_KEY).agg(F.min(_value(0)).alias(_value(0)), F.lit(True).alias(_HIT))
+    rows = target.withColumns({_KEY: keyed, _HIT: F.lit(True), **values})
+    if not unique:
+        rows = first_per_key(rows, _KEY, order or [F.col(v).asc_nulls_last() for v in values])
+    return rows.select(_KEY, _HIT, *values)
+
+
+def _read(target: DataFrame, field: str, mode: str) -> Column:
     value = F.col(field)
-    if mode == "numeric":
-        dtype = type_of(target, value)
-        if isinstance(dtype, T.BooleanType):
-            pass
-        elif not isinstance(dtype, T.NumericType):
-            value = F.when(value.isNotNull(), long_value(value, dtype))
-    if unique:
-        return target.select(keyed.alias(_KEY), value.alias(_VALUE), F.lit(True).alias(_HIT))
-    if order is None:
-        return (
-            target.select(keyed.alias(_KEY), value.alias(_VALUE))
-            .groupBy(_KEY).agg(F.min(_VALUE).alias(_VALUE)).withColumn(_HIT, F.lit(True))
-        )
-    ranked = target.withColumns({_KEY: keyed, _VALUE: value, _HIT: F.lit(True)})
-    return first_per_key(ranked, _KEY, order).select(_KEY, _VALUE, _HIT)
+    dtype = type_of(target, value)
+    if mode == "numeric" and not isinstance(dtype, (T.BooleanType, T.NumericType)):
+        return F.when(value.isNotNull(), long_value(value, dtype))
+    return value
 
 
 def split_ref(ref: str, prefix: str = "") -> tuple[str, str]:

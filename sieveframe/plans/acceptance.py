@@ -282,6 +282,12 @@ def l_lookup_sort_topk(spark, d):
     return select(df, fields=["doc_id", ("v", mul("quality", 2))], order=[desc(mul("quality", 2))], key="doc_id")
 
 
+@query("select d.doc_id, coalesce(l.quality, 0) as quality, coalesce(l.toxic, 0) as toxic from documents d left join labels l on d.doc_id=l.doc_id")
+def l_lookup_fields(spark, d):
+    df = lookup(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id", ["quality", "toxic"], mode="numeric")
+    return df.select("doc_id", "quality", "toxic")
+
+
 @query("select d.doc_id, d.lang, coalesce(l.quality, case when l.doc_id is null then -1 end) as quality"
        " from documents d left join labels l on d.doc_id=l.doc_id")
 def l_lookup_ref_default(spark, d):

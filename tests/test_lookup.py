@@ -132,3 +132,14 @@ def test_filters_pass_below_a_salted_lookup(spark, main, sub, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "m"))
     plan = plan_of(lookup(stored, sub, "id", "other_i", hot_keys=["1"]).filter("my_i > 60"))
     assert "GreaterThan(my_i,60)" in plan
+
+
+def test_several_fields_come_from_one_row(spark, main):
+    target = spark.createDataFrame([("1", 5, "b"), ("1", 3, "z"), ("2", None, "a"), ("2", 8, "c")], "id string, n int, s string")
+    got = lookup(main, target, "id", ["n", "s"], name=["a", "b"], default=[-1, "none"])
+    assert rows(got, "id", "a", "b") == [("1", 3, "z"), ("2", 8, "c"), ("3", -1, "none")]
+    by_text = lookup(main, target, "id", ["n", "s"], order=[F.col("s").asc()])
+    assert {tuple(r) for r in by_text.select("id", "n", "s").collect()} == {("1", 5, "b"), ("2", None, "a"), ("3", None, None)}
+    assert plan_of(got).count("FileScan") + plan_of(got).count("LocalTableScan") + plan_of(got).count("ExistingRDD") == 2
+    with pytest.raises(ValueError):
+        lookup(main, target, "id", ["n", "s"], name=["a"])
