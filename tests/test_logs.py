@@ -1,7 +1,6 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from sieveframe import (
     classify_requests, is_update_request, log_history, name_tree, normalize_code, parse_request_log, request_params, unknown_code,

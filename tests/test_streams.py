@@ -1,8 +1,8 @@
 import pytest
-from pyspark.sql import functions as F
 
 from sieveframe import (
-    HistorySink, UpsertTable, apply_filters, in_filter, log_history, lookup, read_stream, run_available, upsert_latest,
+    HistorySink, UpsertTable, apply_filters, delete_by_ids, in_filter, log_history, lookup, match_rules, read_stream,
+    run_available, upsert_latest,
 )
 
 SCHEMA = "id int, user int, ts int, level string, v int"
@@ -40,6 +40,18 @@ def test_filters_and_lookups_on_a_stream(spark, folder):
     assert got == rows(work(spark.read.parquet(str(folder / "in")))) and len(got) == 180
 
 
+def test_list_tables_and_rules_on_a_stream(spark, folder):
+    listed = spark.range(0, 300, 2).selectExpr("cast(id as int) id")
+    rules = spark.createDataFrame([(1, "in", "(1, 2)", False), (2, "range", "[2 TO 4)", True)], "rule_id int, op string, value_text string, not boolean")
+
+    def work(df):
+        return match_rules(delete_by_ids(df, listed, "id"), "id", "v", rules)
+
+    run_available(work(source(spark, folder)), str(folder / "out"), str(folder / "cp"))
+    got = rows(spark.read.parquet(str(folder / "out")))
+    assert got == rows(work(spark.read.parquet(str(folder / "in")))) and len(got) > 100
+
+
 def test_single_file(spark, folder):
     one = next(p for p in (folder / "in").iterdir() if p.suffix == ".parquet")
     run_available(read_stream(spark, str(one)), str(folder / "out"), str(folder / "cp"))

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import ids, plan_of
+from conftest import ids
 from pyspark.sql import functions as F
 
 from sieveframe import (
