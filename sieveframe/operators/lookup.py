@@ -160,7 +160,7 @@ def lookup_ref(
     if field not in target.df.columns:
         raise LookupError(f"collection {collection!r} has no field {field!r}")
     if isinstance(main, str):
-        key = key or catalog.collection(main).key
+        key = key or catalog.key(main)
         main = catalog.table(main)
     key = key or target.key
     options.setdefault("default", target.defaults.get(field))

@@ -90,6 +90,8 @@ def test_names(main, sub):
     got = lookup_ref(catalog, "main", "_x_sub.other_i", prefix="_x_", name="v")
     assert rows(got, "id", "v") == [("1", 20), ("2", 80), ("3", 5)]
     assert "sub.other_i" in catalog.lookup("main", "sub.other_i").columns
+    catalog.alias("both", "main,sub")
+    assert catalog.lookup("both", "sub.other_i", name="v").count() == 5
     for bad in ("none.other_i", "sub.nope"):
         with pytest.raises(LookupError):
             catalog.lookup("main", bad)

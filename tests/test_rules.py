@@ -84,6 +84,17 @@ def test_strings_booleans_and_dates(spark):
             assert got == brute(days, rules)
 
 
+def test_decimals_and_days(spark):
+    prices = spark.range(80).selectExpr("cast(id as int) k", "cast((id - 40) * 1.25 as decimal(12, 3)) v")
+    rules = [(1, "range", "[2.5 TO 10)", False), (2, "in", "(1.25, 2.5, 2.50)", False), (3, "range", "(10 TO *]", True), (4, "bit", "4", False), (5, "in", "(1.25)", True)]
+    for got in both_plans(prices, rules, spark):
+        assert got == brute(prices, rules) and len(got) > 100
+    days = spark.range(40).selectExpr("cast(id as int) k", "date_add(date'2024-01-01', cast(id as int)) v")
+    rules = [(1, "range", "[2024-01-05T00:00:00Z TO 2024-01-05T00:00:00Z+1MONTH)", False), (2, "in", "2024-01-31T00:00:00Z/MONTH", False)]
+    for got in both_plans(days, rules, spark):
+        assert got == brute(days, rules) and len(got) == 32
+
+
 def test_rejects(spark):
     rules = [(1, "in", "(1, x)", False), (2, "range", "[10 TO20]", False), (3, "bit", "0b2", False), (4, "near", "5", False), (5, "in", None, False),
              (6, "range", " ", True), (7, "in", "(1, 2)", False), (8, "range", "[1 TO y]", False), (9, None, "1", False), (10, "cbit", "(1, 2", False), (11, "in", "()", None), (12, "bit", "3", None)]
