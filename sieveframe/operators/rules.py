@@ -41,6 +41,7 @@ from ..functions.values import (
     typed_column,
 )
 from ..sources.shared import materialize
+from .skew import COUNTABLE, find_hot_keys
 
 OPS = ("in", "range", "bit", "cbit")
 #: Largest rule set that is broadcast.
@@ -130,7 +131,9 @@ def match_rules(
     read match nothing; ``parse_rules`` lists them with the reason.
 
     The rules are parsed once and stored, and a small aggregate over them
-    chooses the plan; the rows are not touched before the result is read.
+    chooses the plan. The rows are not touched before the result is read, unless
+    the rules are too many to broadcast: then one pass over the column looks for
+    frequent values.
     """
     column = resolve(df, col)
     dtype = type_of(df, column)
@@ -154,7 +157,11 @@ def match_rules(
     bits = long_value(column, dtype) if _has_bits(dtype) else F.lit(0).cast("bigint")
     rows = df.select(*keys, _plain_zero(column, dtype).alias("__v"), bits.alias("__bits"))
     salt = _salt(keys, salts)
-    visited = [_place(VALUE, F.xxhash64("__v"), salt)] + [
+    # listed values are many and mostly rare, so only the frequent ones are salted
+    countable = isinstance(dtype, COUNTABLE) and not df.isStreaming
+    hot = find_hot_keys(rows, "__v") if countable and not small else []
+    value_salt = F.when(F.col("__v").isin(*hot), salt).otherwise(F.lit(0)) if hot else F.lit(0)
+    visited = [_place(VALUE, F.xxhash64("__v"), value_salt)] + [
         _place(w, _bin(_position(F.col("__v"), dtype), w), salt) for w in sorted(size["widths"])
     ]
     visited = F.when(F.col("__v").isNotNull(), F.array(*visited)).otherwise(F.array().cast(PLACES))
@@ -169,7 +176,7 @@ def match_rules(
         visited = F.concat(visited, everywhere)
     visits = rows.withColumn("__at", F.explode(visited))
 
-    waiting = _waiting(valid, dtype, chunks, salts, shared_salts)
+    waiting = _waiting(valid, dtype, chunks, {BINNED: salts, SHARED: shared_salts, VALUE: salts}, hot)
     if small:
         waiting = F.broadcast(waiting)
     same = [F.col(f"__at.{part}") == F.col(f"__r_{part}") for part in ("width", "bin", "salt")]
@@ -187,7 +194,9 @@ def _place(width: int | Column, bin_: Column, salt: Column) -> Column:
     )
 
 
-def _waiting(rules: DataFrame, dtype: T.DataType, chunks: int, salts: int, shared_salts: int) -> DataFrame:
+def _waiting(
+    rules: DataFrame, dtype: T.DataType, chunks: int, salts: dict[int, int], hot: list
+) -> DataFrame:
     """Rules with the places they wait at; ``in`` rules once per listed value."""
     # the lone NULL keeps rules that list nothing
     rules = rules.withColumn("__r_value", F.explode(
@@ -202,7 +211,13 @@ def _waiting(rules: DataFrame, dtype: T.DataType, chunks: int, salts: int, share
         spanned = F.when(low <= high, F.sequence(_bin(low, F.col("width")), _bin(high, F.col("width"))))
         bins = F.when(F.col("kind") == BINNED, spanned).otherwise(bins)
     width = F.when(F.col("kind") == BINNED, F.col("width")).otherwise(F.col("kind"))
-    last_salt = F.when(F.col("kind") == SHARED, F.lit(shared_salts - 1)).otherwise(F.lit(salts - 1))
+    rare = ~F.col("__r_value").isin(*hot) if hot else F.lit(True)
+    last_salt = (
+        F.when((F.col("kind") == VALUE) & rare, F.lit(0))
+        .when(F.col("kind") == SHARED, F.lit(salts[SHARED] - 1))
+        .when(F.col("kind") == BINNED, F.lit(salts[BINNED] - 1))
+        .otherwise(F.lit(salts[VALUE] - 1))
+    )
     return (
         rules.withColumns({"__r_width": width, "__r_bin": F.explode(bins)})
         .withColumn("__r_salt", F.explode(F.sequence(F.lit(0), last_salt)))

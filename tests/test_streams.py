@@ -45,11 +45,13 @@ def test_list_tables_and_rules_on_a_stream(spark, folder):
     rules = spark.createDataFrame([(1, "in", "(1, 2)", False), (2, "range", "[2 TO 4)", True)], "rule_id int, op string, value_text string, not boolean")
 
     def work(df):
-        return match_rules(delete_by_ids(df, listed, "id"), "id", "v", rules)
+        return match_rules(delete_by_ids(df, listed, "id"), "id", "v", rules, broadcast_rules=bound)
 
-    run_available(work(source(spark, folder)), str(folder / "out"), str(folder / "cp"))
-    got = rows(spark.read.parquet(str(folder / "out")))
-    assert got == rows(work(spark.read.parquet(str(folder / "in")))) and len(got) > 100
+    for bound in (10_000, 1):
+        out = str(folder / f"out{bound}")
+        run_available(work(source(spark, folder)), out, str(folder / f"cp{bound}"))
+        got = rows(spark.read.parquet(out))
+        assert got == rows(work(spark.read.parquet(str(folder / "in")))) and len(got) > 100
 
 
 def test_single_file(spark, folder):
