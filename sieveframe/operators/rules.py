@@ -21,7 +21,7 @@ task.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -44,8 +44,11 @@ from ..sources.shared import materialize
 from .skew import COUNTABLE, find_hot_keys
 
 OPS = ("in", "range", "bit", "cbit")
-#: Largest rule set that is broadcast.
+#: Largest rule set that is broadcast: rules, places they take (a listed value
+#: each, at most three bins) per rule, and text.
 BROADCAST_RULES = 10_000
+PLACES_PER_RULE = 20
+BINS_PER_RULE = 3
 BROADCAST_TEXT_BYTES = 8 * 1024 * 1024
 #: Spread of the shuffled join.
 SALTS = 32
@@ -139,23 +142,30 @@ def match_rules(
     dtype = type_of(df, column)
     valid = parse_rules(rules, dtype).valid
     valid = materialize(valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype)))
-    # widths number a few dozen at most: they are exponents of double values
+    # widths are exponents of doubles in steps, so there is a bound to their number too
+    places = F.when(F.col("kind") == VALUE, F.size("listed")).otherwise(F.lit(BINS_PER_RULE))
     size = valid.agg(
         F.count("*").alias("n"),
         F.count(F.when(F.col("kind") == SHARED, 1)).alias("shared"),
         F.coalesce(F.sum("text_size"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(places), F.lit(0)).alias("places"),
         F.collect_set("width").alias("widths"),
     ).first()
-    small = size["n"] <= broadcast_rules and size["bytes"] <= BROADCAST_TEXT_BYTES
+    small = (
+        size["n"] <= broadcast_rules
+        and size["places"] <= broadcast_rules * PLACES_PER_RULE
+        and size["bytes"] <= BROADCAST_TEXT_BYTES
+    )
     chunks = 1 if small else max(1, math.ceil(size["shared"] / max(broadcast_rules, 1)))
     salts = 1 if small else SALTS
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # few shared places must still make work for all tasks
     shared_salts = 1 if small else max(SALTS, math.ceil(tasks / chunks))
 
-    keys = [key] if isinstance(key, str) else list(key)
+    # own names for the keys, so that none is taken for a column of the rules
+    keys = {f"__k_{i}": k for i, k in enumerate([key] if isinstance(key, str) else key)}
     bits = long_value(column, dtype) if _has_bits(dtype) else F.lit(0).cast("bigint")
-    rows = df.select(*keys, _plain_zero(column, dtype).alias("__v"), bits.alias("__bits"))
+    rows = df.select(*[F.col(k).alias(n) for n, k in keys.items()], _plain_zero(column, dtype).alias("__v"), bits.alias("__bits"))
     salt = _salt(keys, salts)
     # listed values are many and mostly rare, so only the frequent ones are salted
     countable = isinstance(dtype, COUNTABLE) and not df.isStreaming
@@ -180,10 +190,11 @@ def match_rules(
     if small:
         waiting = F.broadcast(waiting)
     same = [F.col(f"__at.{part}") == F.col(f"__r_{part}") for part in ("width", "bin", "salt")]
-    return visits.join(waiting, [*same, _fits(dtype)], "inner").select(*keys, "rule_id")
+    pairs = visits.join(waiting, [*same, _fits(dtype)], "inner")
+    return pairs.select(*[F.col(n).alias(k) for n, k in keys.items()], "rule_id")
 
 
-def _salt(keys: list[str], ways: int) -> Column:
+def _salt(keys: Iterable[str], ways: int) -> Column:
     return F.lit(0) if ways == 1 else F.pmod(F.xxhash64(*keys, "__v"), F.lit(ways))
 
 

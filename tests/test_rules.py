@@ -95,6 +95,16 @@ def test_decimals_and_days(spark):
         assert got == brute(days, rules) and len(got) == 32
 
 
+def test_key_names_and_long_lists(spark):
+    df = spark.range(50).selectExpr("id as op", "id % 5 as kind", "cast(id as int) v")
+    many = "(" + ", ".join(str(i) for i in range(20, 400)) + ")"
+    rules = spark.createDataFrame([(1, "in", many, False), (2, "range", "[3 TO 4]", False)], RULES)
+    for bound in (10_000, 5):  # 380 listed values exceed the places five rules may take
+        got = sorted(tuple(r) for r in match_rules(df, ["op", "kind"], "v", rules, broadcast_rules=bound).collect())
+        assert got == sorted([(i, i % 5, 1) for i in range(20, 50)] + [(3, 3, 2), (4, 4, 2)])
+        assert match_rules(df, ["op", "kind"], "v", rules, broadcast_rules=bound).columns == ["op", "kind", "rule_id"]
+
+
 def test_rejects(spark):
     rules = [(1, "in", "(1, x)", False), (2, "range", "[10 TO20]", False), (3, "bit", "0b2", False), (4, "near", "5", False), (5, "in", None, False),
              (6, "range", " ", True), (7, "in", "(1, 2)", False), (8, "range", "[1 TO y]", False), (9, None, "1", False), (10, "cbit", "(1, 2", False), (11, "in", "()", None), (12, "bit", "3", None)]
