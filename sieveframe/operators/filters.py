@@ -210,12 +210,13 @@ def filter_in(
     check_comparable(dtype, "in")
     if isinstance(values, DataFrame):
         listed = values.select(F.col(values.columns[0]).cast(dtype).alias("__listed"))
+        # distinct: each task sends a repeated value once
+        listed = listed.filter(F.col("__listed").isNotNull()).distinct()
     else:
+        items = list(dict.fromkeys(items))
         kind = T.StringType() if all(isinstance(item, str) for item in items) else dtype
         rows = df.sparkSession.createDataFrame([(item,) for item in items], T.StructType().add("v", kind))
         listed = rows.select(F.col("v").cast(dtype).alias("__listed"))
-    # distinct first: each task sends a repeated value once
-    listed = listed.filter(F.col("__listed").isNotNull()).distinct()
     how = "left_anti" if not_ else "left_semi"
     return keyed_join(df.withColumn("__value", column), "__value", listed, "__listed", how, AUTO).drop("__value")
 

@@ -52,3 +52,11 @@ def write_version(df: DataFrame, path: str, version: int) -> DataFrame:
     target = version_path(path, version)
     df.write.mode("overwrite").parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def drop_versions(spark: SparkSession, path: str, numbers: list[int]) -> None:
+    """Delete the given versions under ``path``."""
+    jvm = spark.sparkContext._jvm
+    for number in numbers:
+        target = jvm.org.apache.hadoop.fs.Path(version_path(path, number))
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -18,7 +18,10 @@ from pyspark.sql import types as T
 from ..operators.logs import DEFAULT_HISTORY, DEFAULT_THRESHOLD, at_or_above, log_history
 from ..operators.lookup import first_per_key
 from ..operators.writes import upsert_latest
-from ..sources.shared import is_file, version_path, versions, write_version
+from ..sources.shared import drop_versions, is_file, version_path, versions, write_version
+
+#: Versions of a history that stay readable behind the present one.
+KEPT_VERSIONS = 10
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -76,6 +79,8 @@ class HistorySink:
             kept = spark.read.parquet(version_path(self.path, earlier[-1]))
             rows = self._last(rows.unionByName(kept).dropDuplicates([self.id_col]))
         write_version(rows, self.path, batch_id)
+        # a stream repeats its last batch at most, so the oldest states serve nobody
+        drop_versions(spark, self.path, earlier[:-KEPT_VERSIONS])
 
     def _last(self, df: DataFrame) -> DataFrame:
         return log_history(df, self.ts, self.level, self.threshold, self.size, id_col=self.id_col)
@@ -128,8 +133,17 @@ class UpsertTable:
 
     def compact(self, spark: SparkSession) -> None:
         """Write the present state in full. Batches up to it that are run again
-        later change nothing."""
+        later change nothing. Readers of the old state are not disturbed."""
         pending = versions(spark, self._changes)
         full = versions(spark, self._full)
         if pending and (not full or pending[-1] > full[-1]):
             write_version(self.read(spark), self._full, pending[-1])
+
+    def vacuum(self, spark: SparkSession) -> None:
+        """Delete what the last full state has made needless: older full states
+        and the change sets in it. Run it when no reader uses them any more."""
+        full = versions(spark, self._full)
+        if full:
+            drop_versions(spark, self._full, full[:-1])
+            folded = [v for v in versions(spark, self._changes) if v <= full[-1]]
+            drop_versions(spark, self._changes, folded)

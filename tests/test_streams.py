@@ -72,6 +72,10 @@ def test_history(spark, folder):
     sink.write_batch(batch(spark, 200, 100), 3)
     sink.write_batch(batch(spark, 200, 100), 3)
     assert rows(sink.read(spark)) == expected
+    for i in range(4, 18):
+        sink.write_batch(batch(spark, 200, 10), i)
+    assert rows(sink.read(spark)) == expected
+    assert len(list((folder / "h").glob("v=*"))) == 11
     assert rows(sink.read(spark, since=99)) == [r for r in expected if r[2] > 99]
 
 
@@ -94,6 +98,9 @@ def test_upserts(spark, folder):
     assert rows(table.read(spark)) == after
     table.write_batch(last, 7)
     assert rows(table.read(spark)) == after
+    table.vacuum(spark)
+    assert rows(table.read(spark)) == after
+    assert len(list((folder / "t" / "full").glob("v=*"))) == 1 and not list((folder / "t" / "changes").glob("v=*"))
     table.write_batch(spark.createDataFrame([(5000, 3, 1000, "WARN", 1)], SCHEMA), 8)
     assert rows(table.read(spark)) == sorted([r for r in after if r[1] != 3] + [(5000, 3, 1000, "WARN", 1)])
 
