@@ -125,10 +125,16 @@ def _first_values(main, target, key, fields, mode, target_key, order, unique) ->
         return rows.groupBy(_KEY).agg(F.min(_value(0)).alias(_value(0)), F.lit(True).alias(_HIT))
     rows = target.withColumns({_KEY: keyed, _HIT: F.lit(True), **values})
     if not unique:
-        rows = first_per_key(rows, _KEY, order or [F.col(v).asc_nulls_last() for v in values])
+        # the values end the order, so a retried task settles ties the same way
+        ends = [F.col(v).asc_nulls_last() for v in values if not _is_map(rows, v)]
+        rows = first_per_key(rows, _KEY, [*(order or ()), *ends])
     return rows.select(_KEY, _HIT, *values)
 
 
+def _is_map(df: DataFrame, column: str) -> bool:
+    return "map<" in df.schema[column].dataType.simpleString()
+
+
 def _read(target: DataFrame, field: str, mode: str) -> Column:
     value = F.col(field)
     dtype = type_of(target, value)
