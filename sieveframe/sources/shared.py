@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``. Only a local session that
-    sets none gets a temporary folder of its own."""
+    """A new folder under ``spark.checkpoint.dir``; where that is unset, under the
+    warehouse, which executors share as well."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="sieveframe-")
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
