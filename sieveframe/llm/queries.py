@@ -5,14 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import language, packing, quality
 from .common import table
 
 
+def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op10_cost_packing,)}
+QUERIES = {f.__name__: f for f in (
+    op2_pairwise_quality, op9_cross_parsing, op10_cost_packing,
+)}
 ORACLE: dict[str, str] = {}
