@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, quality
+from . import language, packing, quality, simhash
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.fit(docs))
@@ -25,6 +29,6 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pairwise_quality, op9_cross_parsing, op10_cost_packing,
+    op2_pairwise_quality, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
 )}
 ORACLE: dict[str, str] = {}
