@@ -76,13 +76,17 @@ def segments(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def _signed(bits: int) -> int:
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
+
+
 def signatures(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, slot, value, side): every segment whole and with each bit blanked.
     ``slot`` names segment and bit; ``side`` is the blanked bit."""
     plan = [(first, width, bit) for first, width in segments(radius) for bit in range(-1, width)]
     slots = F.array(*(
-        F.struct(F.lit(slot).alias("slot"), F.lit(first).alias("first"), F.lit((1 << width) - 1).cast("long").alias("mask"),
-                 F.lit(max(bit, 0)).alias("bit"), F.lit(0 if bit < 0 else 1 << bit).cast("long").alias("blank"))
+        F.struct(F.lit(slot).alias("slot"), F.lit(first).alias("first"), F.lit(_signed((1 << width) - 1)).cast("long").alias("mask"),
+                 F.lit(max(bit, 0)).alias("bit"), F.lit(0 if bit < 0 else _signed(1 << bit)).cast("long").alias("blank"))
         for slot, (first, width, bit) in enumerate(plan)
     ))
     rows = prints.select("fp", F.explode(slots).alias("s"))
