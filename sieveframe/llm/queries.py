@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, packing, quality, simhash
+from . import language, mixing, packing, quality, sharding, simhash
 from .common import table
 
 
@@ -14,6 +15,18 @@ def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.partition(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op8_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +42,6 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pairwise_quality, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
+    op2_pairwise_quality, op5_pivotal_mixing, op6_minimax_shards, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
 )}
 ORACLE: dict[str, str] = {}
