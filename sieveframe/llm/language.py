@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialize
 from .common import is_held_out
 
 UNKNOWN = "und"
@@ -178,7 +179,8 @@ def fit(
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")
     ).filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out("id"))
-    held = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # stored, so that Spark knows how small it is and leaves the texts where they are
+    held = materialize(rows.groupBy("lang").agg(F.count("*").alias("n")))
     place = F.xxhash64("id")
     start = F.pmod(place, F.greatest(F.length("text") - window, F.lit(0)) + 1) + 1
     chosen = rows.join(held, "lang").filter(F.pmod(place, F.col("n")) < fit_rows)
