@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, packing, quality, sharding, simhash
+from . import divergence, language, mixing, packing, quality, sharding, simhash
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = divergence.apply_rules(table(spark, sf_dir, "documents"))
+    return judged.drop("char_distance", "word_distance")
+
+
 def op8_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,6 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pairwise_quality, op5_pivotal_mixing, op6_minimax_shards, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
+    op2_pairwise_quality, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
 )}
 ORACLE: dict[str, str] = {}
