@@ -150,3 +150,82 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         base_failed.alias("base_failed"), (~base_failed & ~F.coalesce(strays, F.lit(False))).alias("kept"),
         "char_distance", "word_distance",
     )
+
+
+def oracle_sql(table: str = "documents") -> str:
+    """The same rules in DuckDB's SQL."""
+    nested = [f"regexp_replace(text, '{CLASSES[0]}+', '', 'g')"]
+    for pattern in CLASSES[1:]:
+        nested.append(f"regexp_replace(l{len(nested) - 1}, '{pattern}+', '', 'g')")
+    lefts = "".join(f", {expression} AS l{i}" for i, expression in enumerate(nested))
+    sizes = ["length(text) - length(l0)"] + [f"length(l{i - 1}) - length(l{i})" for i in range(1, len(CLASSES))]
+    counts = ", ".join([*sizes, f"length(l{len(CLASSES) - 1})"])
+
+    def jsd(p: str, q: str) -> str:
+        def part(a: str, b: str) -> str:
+            return f"CASE WHEN {a} > 0 THEN {a} * log2(2 * {a} / ({a} + {b})) ELSE 0 END"
+
+        one, two = f"{p}[i]", f"{q}[i]"
+        terms = f"list_transform(range(1, len({p}) + 1), lambda i: {part(one, two)} + {part(two, one)})"
+        return f"sqrt(greatest(coalesce(list_sum({terms}), 0) / 2, 0))"
+
+    def mean(column: str) -> str:
+        return f"""(SELECT lang, list(m ORDER BY i) AS ref FROM (
+            SELECT lang, i, avg(v) AS m FROM (SELECT lang, unnest({column}) AS v, unnest(range(1, len({column}) + 1)) AS i FROM g WHERE n >= {LEAST_WORDS})
+            GROUP BY lang, i) GROUP BY lang)"""
+
+    return f"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[{SPACE}]+'), lambda x: x <> '') AS w
+    FROM {table}
+), common AS (
+    SELECT lang, list(word ORDER BY place) AS common FROM (
+        SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place
+        FROM (SELECT lang, unnest(list_distinct(w)) AS word FROM d WHERE len(w) >= {LEAST_WORDS}) GROUP BY lang, word
+    ) WHERE place <= {COMMON} GROUP BY lang
+), hits AS (
+    SELECT rid, map(list(place), list(k)) AS m FROM (
+        SELECT t.rid, place, count(*) AS k
+        FROM (SELECT rid, lang, unnest(w) AS word FROM d) t
+        JOIN (SELECT lang, unnest(common) AS word, unnest(range(1, len(common) + 1)) AS place FROM common) u
+        ON t.lang IS NOT DISTINCT FROM u.lang AND t.word = u.word
+        GROUP BY t.rid, place
+    ) GROUP BY rid
+), starts AS (
+    SELECT rid, i FROM (
+        SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS c
+        FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d)
+    ) WHERE c > 1
+), repeated AS (
+    SELECT rid, sum(least({WINDOW}, coalesce(after - i, {WINDOW}))) AS n_repeat FROM (
+        SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS after FROM starts
+    ) GROUP BY rid
+), c AS (
+    SELECT *{lefts} FROM d
+), f AS (
+    SELECT c.rid, c.doc_id, c.lang, len(w) AS n, [{counts}] AS k, length(text) AS total,
+        coalesce(n_repeat, 0) AS n_repeat,
+        len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{SPACE}]')))
+        - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^{SPACE}]')))) AS dup,
+        list_transform(range(1, len(coalesce(common, [])) + 1), lambda x: coalesce(m[x], 0)) AS own
+    FROM c LEFT JOIN common ON c.lang IS NOT DISTINCT FROM common.lang LEFT JOIN repeated ON c.rid = repeated.rid
+    LEFT JOIN hits ON c.rid = hits.rid
+), g AS (
+    SELECT *, list_transform(k, lambda x: CASE WHEN total > 0 THEN x / total ELSE 0 END) AS chars,
+        list_transform(list_append(own, n - coalesce(list_sum(own), 0)), lambda x: CASE WHEN n > 0 THEN x / n ELSE 0 END) AS words
+    FROM f
+), j AS (
+    SELECT g.*, {jsd("chars", "a.ref")} AS char_distance, {jsd("words", "b.ref")} AS word_distance
+    FROM g LEFT JOIN {mean("chars")} a ON g.lang IS NOT DISTINCT FROM a.lang
+    LEFT JOIN {mean("words")} b ON g.lang IS NOT DISTINCT FROM b.lang
+), r AS (
+    SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(total - k[4] AS BIGINT) AS word_chars, CAST(k[6] AS BIGINT) AS n_symbols,
+        CAST(dup AS BIGINT) AS n_dup_lines, CAST(n_repeat AS BIGINT) AS n_repeat_words,
+        n < {LEAST_WORDS} OR 100 * n_repeat > {REPEATED_PERCENT} * n AS base_failed,
+        coalesce(total - k[4] >= {LEAST_CHARS} AND char_distance > {CHAR_LIMIT}, false)
+        OR coalesce(n >= {LEAST_COMPARED} AND word_distance > {WORD_LIMIT}, false) AS strays
+    FROM j
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT strays AS kept FROM r
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, language, mixing, packing, quality, sharding, simhash
+from . import divergence, language, mixing, packing, quality, sharding, simhash, warc
 from .common import table
 
 
@@ -15,6 +15,13 @@ def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(spark, archive, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -47,6 +54,9 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pairwise_quality, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
+    op2_pairwise_quality, op3_warc_shards, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
 )}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc_shards": warc.oracle_sql(),
+    "op7_divergence_rules": divergence.oracle_sql(),
+}
