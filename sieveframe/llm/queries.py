@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, language, mixing, packing, quality, sharding, simhash, warc
+from . import divergence, hashing, language, mixing, packing, quality, sharding, simhash, warc
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashing.search(table(spark, sf_dir, "embeddings"))
+
+
 def op5_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -54,7 +58,7 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pairwise_quality, op3_warc_shards, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
+    op2_pairwise_quality, op3_warc_shards, op4_multi_index_hashing, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
 )}
 ORACLE: dict[str, str] = {
     "op3_warc_shards": warc.oracle_sql(),
