@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, hashing, language, mixing, packing, quality, sharding, simhash, warc
+from . import divergence, hashing, html, language, mixing, packing, quality, sharding, simhash, warc
 from .common import table
 
 
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op2_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -58,7 +62,7 @@ def op10_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_pairwise_quality, op3_warc_shards, op4_multi_index_hashing, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
+    op1_html_layout, op2_pairwise_quality, op3_warc_shards, op4_multi_index_hashing, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
 )}
 ORACLE: dict[str, str] = {
     "op3_warc_shards": warc.oracle_sql(),
