@@ -43,6 +43,10 @@ WINDOW = 512
 FIT_MARKS = 30_000
 FIT_TOTAL = 1_200_000
 BLOCK = 1024
+#: Bits a mark beyond which a text is in none of the learned languages. Text of a
+#: learned language takes 2 to 4; a letter that no sample has takes the logarithm of
+#: the sample's length, about 15.
+MOST_COST = 7.0
 #: Blocks parsed together.
 TOGETHER = 2048
 
@@ -153,12 +157,13 @@ class CrossParser:
             np.bitwise_xor(found, ended, out=state[:n])
         return ends + 1
 
-    def predict(self, texts) -> tuple[list[str], list[float]]:
+    def predict(self, texts) -> tuple[list[str], list[float], list[float]]:
+        """Language, score and cost (bits a mark) of each text."""
         marks = [marks_of(text, self.classes) if isinstance(text, str) else np.zeros(0, np.uint8) for text in texts]
         sizes = np.array([len(m) for m in marks])
         lettered = [bool(m.any()) for m in marks]
         if not self.languages:
-            return [UNKNOWN] * len(marks), [0.0] * len(marks)
+            return [UNKNOWN] * len(marks), [0.0] * len(marks), [0.0] * len(marks)
         cost = self.phrases(marks) * self.price / np.maximum(sizes, 1)[:, None]
         best = cost.argmin(1)
         ranked = np.sort(cost, 1)
@@ -168,6 +173,7 @@ class CrossParser:
         return (
             [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)],
             [float(s) if ok else 0.0 for s, ok in zip(score, lettered, strict=True)],
+            [float(c) if ok else 0.0 for c, ok in zip(ranked[:, 0], lettered, strict=True)],
         )
 
 
@@ -209,12 +215,12 @@ def parser_of(model: Model) -> CrossParser:
 
 
 def predict(text: Column, model: Model) -> Column:
-    """struct(lang_pred, score) of a whole text."""
+    """struct(lang_pred, score, cost) of a whole text."""
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, cost double")
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        languages, scores = parser_of(model).predict(texts)
-        return pd.DataFrame({"lang_pred": languages, "score": scores})
+        languages, scores, costs = parser_of(model).predict(texts)
+        return pd.DataFrame({"lang_pred": languages, "score": scores, "cost": costs})
 
     return predicted(text)
 
@@ -226,5 +232,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents in a learned language, all columns as they were."""
-    return docs.filter(predict(F.col(text_col), model)["lang_pred"] != UNKNOWN)
+    """The documents in a learned language, all columns as they were: text with a
+    letter, whose cost stays below ``MOST_COST``."""
+    found = docs.withColumn("__found", predict(F.col(text_col), model))
+    return found.filter((F.col("__found.lang_pred") != UNKNOWN) & (F.col("__found.cost") <= MOST_COST)).drop("__found")
