@@ -194,7 +194,8 @@ def _labelled(prints: DataFrame, radius: int, cell: int) -> DataFrame:
     linked = grouped.join(nodes, grouped["node"] == nodes["fp"]).select("fp", "component", "least")
     smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
     moved = linked.join(smallest, "component").select("fp", "smallest")
-    owner = nodes.join(moved, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id"))
+    # stored, so that the last join has nothing above its shuffles and a frequent fingerprint can be split
+    owner = materialize(nodes.join(moved, "fp", "left").select("fp", F.coalesce("smallest", "least").alias("component_id")))
     return prints.join(owner, "fp").select("id", "fp", "text_hash", "component_id")
 
 
