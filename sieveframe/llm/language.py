@@ -120,9 +120,12 @@ class CrossParser:
         tables, self.roots, first = [], [], 0
         for sample in model.samples:
             table = suffix_automaton(sample, width)
+            # A mark the sample lacks is a phrase of its own: a last state without a way on.
+            table = np.concatenate([table, np.full((1, width), -1, np.int32)])
+            table[0, table[0] < 0] = len(table) - 1
             # A state is its place in the flat table. Where no transition is, the
             # phrase ends: the entry is the complement of where the next one stands.
-            start = np.where(table[0] >= 0, table[0], 0)
+            start = table[0]
             flat = np.where(table >= 0, (table + first) * width, ~((start + first) * width))
             tables.append(flat.astype(np.int32))
             self.roots.append(first * width)
