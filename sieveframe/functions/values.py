@@ -150,6 +150,49 @@ def typed_literal(value: object, dtype: T.DataType | str, now=None) -> Column:
     return F.lit(value)
 
 
+def list_value(item: object, dtype: T.DataType) -> object:
+    """A listed item as a Python value of the column's type, ``None`` if no value of
+    that type equals it. A text that cannot be read fails."""
+    if item is None:
+        return None
+    if isinstance(dtype, T.StringType):
+        return item if isinstance(item, str) else str(item).lower() if isinstance(item, bool) else str(item)
+    if isinstance(dtype, T.BooleanType):
+        return item.lower() == "true" if isinstance(item, str) else bool(item)
+    if isinstance(dtype, INTEGRAL):
+        if isinstance(item, str):
+            if not re.match(INTEGER, item):
+                raise ValueTextError(f"not a {dtype.simpleString()}: {item!r}")
+            return _within(int(item), INTEGER_BITS[type(dtype)], item)
+        whole = int(item) if item == item and abs(item) != float("inf") else None
+        limit = 1 << (INTEGER_BITS[type(dtype)] - 1)
+        return whole if whole == item and -limit <= whole < limit else None
+    if isinstance(dtype, FRACTIONAL):
+        if isinstance(item, str):
+            if not re.match(DECIMAL, item):
+                raise ValueTextError(f"not a {dtype.simpleString()}: {item!r}")
+            item = item.rstrip("fFdD") if item[-1:] in "fFdD" else item
+        return float(item) + 0.0
+    if isinstance(dtype, T.DecimalType):
+        try:
+            number = Decimal(item if isinstance(item, str) else str(item))
+        except InvalidOperation:
+            raise ValueTextError(f"not a number: {item!r}") from None
+        if not number.is_finite():
+            raise ValueTextError(f"not a number: {item!r}")
+        scaled = number.scaleb(dtype.scale)
+        return number if scaled == scaled.to_integral_value() and abs(scaled) < 10**dtype.precision else None
+    return item
+
+
+def list_literal(item: object, dtype: T.DataType) -> Column | None:
+    """The same as a literal of that type."""
+    if isinstance(item, str) and isinstance(dtype, (*INSTANT, T.DateType)):
+        return typed_literal(item, dtype)
+    value = list_value(item, dtype)
+    return None if value is None else F.lit(value).cast(dtype)
+
+
 # --- the same rules as Column expressions over a table of texts ---------------
 # These take trimmed text (``trim_column``). Keep it in a column of its own, and
 # the lists too: an expression used many times over is then worked out once.
@@ -230,3 +273,22 @@ def typed_column(text: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return instant_column(text, ntz=True).cast(dtype)
     return text
+
+
+def reading_type(dtype: T.DataType) -> T.DataType:
+    """Type to read value texts with: decimals keep digits the column does not have."""
+    if isinstance(dtype, T.DecimalType):
+        return T.DecimalType(38, max(dtype.scale, min(18, 38 - (dtype.precision - dtype.scale))))
+    return dtype
+
+
+def same_value_column(column: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``column`` as ``target`` where that is the same value, else NULL."""
+    if source == target or isinstance(target, T.StringType):
+        return column.cast(target)
+    if isinstance(source, T.StringType):
+        wide = reading_type(target)
+        read = typed_column(trim_column(column), wide)
+        return read if wide == target else same_value_column(read, wide, target)
+    cast = column.try_cast(target)
+    return F.when(cast.try_cast(source) == column, cast)

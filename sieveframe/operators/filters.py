@@ -16,19 +16,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.resolve import FRACTIONAL, Expr, describe, resolve, type_of
+from ..functions.resolve import FRACTIONAL, INSTANT, Expr, describe, resolve, type_of
 from ..functions.scalars import long_value
 from ..functions.values import (
     RangeText,
     ValueTextError,
     check_comparable,
+    list_literal,
+    list_value,
     parse_list,
     parse_mask,
     parse_range,
+    same_value_column,
     typed_literal,
 )
 from .skew import AUTO, keyed_join
@@ -72,14 +75,16 @@ def complement(predicate: Column, missing: Column | None = None) -> Column:
 
 
 def in_filter(value: Expr, values: str | Iterable, not_: bool = False) -> ValueFilter:
-    """The value is one of a list: ``"(2, 3)"``, ``"2"`` or a Python list."""
+    """The value is one of a list: ``"(2, 3)"``, ``"2"`` or a Python list. A listed
+    ``None``, and a number the column's type cannot hold, equals no value."""
     items = parse_list(values) if values is None or isinstance(values, str) else list(values)
     if not items:
         raise ValueTextError("no value in list")
 
     def build(column: Column, dtype: T.DataType, negated: bool) -> Column:
         check_comparable(dtype, "in")
-        found = column.isin(*[typed_literal(item, dtype) for item in items])
+        listed = [literal for item in items if (literal := list_literal(item, dtype)) is not None]
+        found = column.isin(*listed) if listed else F.lit(False)
         return complement(found, column.isNull()) if negated else found
 
     return ValueFilter("in", value, build, not_)
@@ -198,9 +203,11 @@ def filter_in(
 ) -> DataFrame:
     """``in`` for lists of any length. Short lists stay a scan predicate. Longer
     ones, and lists held in the first column of a DataFrame, become a semi join
-    (anti join for the complement). Spark broadcasts the list only if it is
-    small enough by its own measure; otherwise frequent and missing values of
-    ``df`` are spread over many tasks."""
+    (anti join for the complement); items are read the same way in either form.
+    Spark broadcasts the list only if it is small enough by its own measure;
+    otherwise frequent and missing values of ``df`` are spread over many tasks.
+    In a DataFrame, what is missing, unreadable or not a value of the column's
+    type equals nothing."""
     if not isinstance(values, DataFrame):
         items = parse_list(values) if isinstance(values, str) else list(values)
         if len(items) <= LITERAL_LIST_LIMIT:
@@ -209,18 +216,32 @@ def filter_in(
     dtype = type_of(df, column)
     check_comparable(dtype, "in")
     if isinstance(values, DataFrame):
-        listed = values.select(F.col(values.columns[0]).cast(dtype).alias("__listed"))
+        first = values.schema[0]
+        listed = values.select(same_value_column(F.col(f"`{first.name}`"), first.dataType, dtype).alias("__listed"))
         # distinct: each task sends a repeated value once
         listed = listed.filter(F.col("__listed").isNotNull()).distinct()
     else:
-        items = list(dict.fromkeys(items))
-        kind = T.StringType() if all(isinstance(item, str) for item in items) else dtype
-        rows = df.sparkSession.createDataFrame([(item,) for item in items], T.StructType().add("v", kind))
-        listed = rows.select(F.col("v").cast(dtype).alias("__listed"))
+        listed = _list_rows(df.sparkSession, items, dtype)
     how = "left_anti" if not_ else "left_semi"
     return keyed_join(df.withColumn("__value", column), "__value", listed, "__listed", how, AUTO).drop("__value")
 
 
+def _list_rows(spark: SparkSession, items: list, dtype: T.DataType) -> DataFrame:
+    """``__listed``: the distinct values of a list."""
+    schema = T.StructType().add("__listed", dtype)
+    if isinstance(dtype, (*INSTANT, T.DateType)):
+        # date math is a Column expression, so these stay literals, some at a time
+        literals = [literal for item in items if (literal := list_literal(item, dtype)) is not None]
+        one = spark.range(1)
+        parts = [
+            one.select(F.explode(F.array(*literals[i:i + LITERAL_LIST_LIMIT])).alias("__listed"))
+            for i in range(0, len(literals), LITERAL_LIST_LIMIT)
+        ]
+        return reduce(DataFrame.union, parts).distinct() if parts else spark.createDataFrame([], schema)
+    values = dict.fromkeys(value for item in items if (value := list_value(item, dtype)) is not None)
+    return spark.createDataFrame([(value,) for value in values], schema)
+
+
 def with_constant_score(df: DataFrame, score: float = 1.0) -> DataFrame:
     """Every row gets the same score."""
     return df.withColumn("score", F.lit(score).cast("float"))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.resolve import type_of
 from ..functions.scalars import long_value
+from ..functions.values import same_value_column
 from .skew import AUTO, keyed_join
 
 if TYPE_CHECKING:
@@ -51,6 +52,7 @@ def lookup(
     unique: bool = False,
     hot_keys: list | str | None = AUTO,
     spread_by: list[str] | None = None,
+    may_broadcast: bool = True,
 ) -> DataFrame:
     """``main`` with one more column, read from ``target`` by key.
 
@@ -67,12 +69,14 @@ def lookup(
         key repeats.
     ``hot_keys``
         Keys that hold a large share of ``main``. Their rows, and rows without a
-        key, are dealt out over many tasks. By default they are looked for (one
-        pass over the key column) when ``target`` is too large to broadcast;
-        ``None`` leaves skew to adaptive execution.
+        key, are dealt out over many tasks when ``target`` is too large to
+        broadcast. By default they are looked for then (one pass over the key
+        column); ``None`` leaves skew to adaptive execution.
     ``spread_by``
         Columns of ``main`` that tell the rows of one key apart, such as its own
-        unique key. Without it a few narrow columns are used.
+        unique key. Without it the whole row is used.
+    ``may_broadcast``
+        ``False`` keeps a small ``target`` from being broadcast.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -91,7 +95,7 @@ def lookup(
         if new in main.columns:
             raise ValueError(f"there is a column {new!r} already; give the result a name")
     found = _first_values(main, target, key, fields, mode, target_key, order, unique)
-    joined = keyed_join(main, key, found, _KEY, "left", hot_keys, spread_by)
+    joined = keyed_join(main, key, found, _KEY, "left", hot_keys, spread_by, may_broadcast)
     hit = F.col(_HIT).isNotNull()
     values = {}
     for i, (new, missing) in enumerate(zip(names, defaults)):
@@ -112,9 +116,10 @@ def _first_values(main, target, key, fields, mode, target_key, order, unique) ->
     """``__key``, ``__hit`` and the values, with one row per key."""
     target = target.filter(F.col(target_key).isNotNull())
     key_type = main.schema[key].dataType
-    keyed = F.col(target_key)
+    # a key of another type is a key only where it is the same value
+    keyed = same_value_column(F.col(target_key), target.schema[target_key].dataType, key_type)
     if target.schema[target_key].dataType != key_type:
-        keyed = keyed.try_cast(key_type)
+        target = target.filter(keyed.isNotNull())
     if mode == "exists":
         rows = target.select(keyed.alias(_KEY), F.lit(True).alias(_HIT))
         return rows if unique else rows.dropDuplicates([_KEY])

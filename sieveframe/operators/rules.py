@@ -37,11 +37,13 @@ from ..functions.values import (
     list_column,
     mask_column,
     range_parts_column,
+    reading_type,
+    same_value_column,
     trim_column,
     typed_column,
 )
 from ..sources.shared import materialize
-from .skew import COUNTABLE, find_hot_keys
+from .skew import COUNTABLE, find_hot_keys, hot_share
 
 OPS = ("in", "range", "bit", "cbit")
 #: Largest rule set that is broadcast: rules, places they take (a listed value
@@ -50,7 +52,7 @@ BROADCAST_RULES = 10_000
 PLACES_PER_RULE = 20
 BINS_PER_RULE = 3
 BROADCAST_TEXT_BYTES = 8 * 1024 * 1024
-#: Spread of the shuffled join.
+#: Least spread of the shuffled join; more with more shuffle partitions.
 SALTS = 32
 #: Kinds of rules. Outside the range of bin widths, so they serve as place names too.
 VALUE, BINNED, SHARED = -10_000, -10_001, -10_002
@@ -74,7 +76,7 @@ class RuleSet:
 def parse_rules(rules: DataFrame, dtype: T.DataType) -> RuleSet:
     """Read the rule texts for a column of type ``dtype``."""
     check_comparable(dtype, "rule matching")
-    op, shown = F.col("op"), dtype.simpleString()
+    op, shown, wide = F.col("op"), dtype.simpleString(), reading_type(dtype)
     is_mask = op.isin("bit", "cbit")
     negated = F.coalesce(F.col("not"), F.lit(False)) if "not" in rules.columns else F.lit(False)
     read = (
@@ -85,14 +87,14 @@ def parse_rules(rules: DataFrame, dtype: T.DataType) -> RuleSet:
             "parts": F.when(op == "range", range_parts_column(F.col("text"))),
         })
         .withColumns({
-            "listed": F.when(op == "in", F.transform("items", lambda v: typed_column(v, dtype))),
+            "listed": F.when(op == "in", F.transform("items", lambda v: typed_column(v, wide))),
             "mask": F.when(is_mask, mask_column(F.col("items"))),
             "lower_text": end_column(F.col("parts"), 0),
             "upper_text": end_column(F.col("parts"), 1),
         })
         .withColumns({
-            "lower": typed_column(F.col("lower_text"), dtype),
-            "upper": typed_column(F.col("upper_text"), dtype),
+            "lower": typed_column(F.col("lower_text"), wide),
+            "upper": typed_column(F.col("upper_text"), wide),
         })
     )
     bad_end = (
@@ -113,8 +115,12 @@ def parse_rules(rules: DataFrame, dtype: T.DataType) -> RuleSet:
     rejects = read.filter("error is not null").select(
         "rule_id", "op", "value_text", F.col("negated").alias("not"), "error"
     )
+    listed = F.col("listed")
+    if wide != dtype:
+        # a number the column cannot hold is no value of it
+        listed = F.array_compact(F.transform(listed, lambda v: same_value_column(v, wide, dtype)))
     valid = read.filter("error is null").select(
-        "rule_id", "op", "negated", F.array_distinct("listed").alias("listed"), "lower", "upper",
+        "rule_id", "op", "negated", F.array_distinct(listed).alias("listed"), "lower", "upper",
         F.col("text").startswith("[").alias("include_lower"),
         F.col("text").endswith("]").alias("include_upper"),
         "mask", F.length("value_text").alias("text_size"),
@@ -157,9 +163,9 @@ def match_rules(
         and size["bytes"] <= BROADCAST_TEXT_BYTES
     )
     chunks = 1 if small else max(1, math.ceil(size["shared"] / max(broadcast_rules, 1)))
-    salts = 1 if small else SALTS
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # few shared places must still make work for all tasks
+    # few places must still make work for all tasks
+    salts = 1 if small else max(SALTS, tasks)
     shared_salts = 1 if small else max(SALTS, math.ceil(tasks / chunks))
 
     # own names for the keys, so that none is taken for a column of the rules
@@ -169,7 +175,7 @@ def match_rules(
     salt = _salt(keys, salts)
     # listed values are many and mostly rare, so only the frequent ones are salted
     countable = isinstance(dtype, COUNTABLE) and not df.isStreaming
-    hot = find_hot_keys(rows, "__v") if countable and not small else []
+    hot = find_hot_keys(rows, "__v", hot_share(df.sparkSession)) if countable and not small else []
     value_salt = F.when(F.col("__v").isin(*hot), salt).otherwise(F.lit(0)) if hot else F.lit(0)
     visited = [_place(VALUE, F.xxhash64("__v"), value_salt)] + [
         _place(w, _bin(_position(F.col("__v"), dtype), w), salt) for w in sorted(size["widths"])
@@ -187,8 +193,8 @@ def match_rules(
     visits = rows.withColumn("__at", F.explode(visited))
 
     waiting = _waiting(valid, dtype, chunks, {BINNED: salts, SHARED: shared_salts, VALUE: salts}, hot)
-    if small:
-        waiting = F.broadcast(waiting)
+    # by the count above; Spark's own estimate does not see the places
+    waiting = F.broadcast(waiting) if small else waiting.hint("merge")
     same = [F.col(f"__at.{part}") == F.col(f"__r_{part}") for part in ("width", "bin", "salt")]
     pairs = visits.join(waiting, [*same, _fits(dtype)], "inner")
     return pairs.select(*[F.col(n).alias(k) for n, k in keys.items()], "rule_id")

@@ -8,26 +8,23 @@ exactly those keys are copied to them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Counters of the heavy-hitter sketch. It bounds what reaches the driver.
 SKETCH_SIZE = 10_000
-#: Share of the rows from which on a key counts as hot when none is given.
+LARGEST_SKETCH = 1_000_000
+#: Share of the rows from which on a key counts as hot when none is given; with more
+#: than its inverse of shuffle partitions, one partition's share.
 HOT_SHARE = 0.001
 #: Least number of tasks a hot key is dealt out to.
 LEAST_WAYS = 64
 #: Key types the sketch can count.
 COUNTABLE = (
-    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.StringType, T.DateType,
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
+    T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType,
 )
-#: Column types to part the rows of a hot key by, best first, and how many to read.
-PARTING = (
-    T.LongType, T.TimestampType, T.TimestampNTZType, T.DoubleType, T.IntegerType, T.FloatType,
-    T.StringType, T.DateType, T.ShortType, T.ByteType,
-)
-PARTING_COLUMNS = 3
 AUTO = "auto"
 
 
@@ -44,9 +41,10 @@ def find_hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
 def _hot(df: DataFrame, key: str, share: float) -> tuple[list, float]:
     """Hot keys, and the share of rows without a key."""
-    if not 1 / SKETCH_SIZE < share <= 1:
-        raise ValueError(f"share must lie in ({1 / SKETCH_SIZE}, 1]")
-    top = F.call_function("approx_top_k", F.col(key), F.lit(int(1 / share) + 1), F.lit(SKETCH_SIZE))
+    if not 2 / LARGEST_SKETCH < share <= 1:
+        raise ValueError(f"share must lie in ({2 / LARGEST_SKETCH}, 1]")
+    counters = max(SKETCH_SIZE, int(2 / share) + 1)
+    top = F.call_function("approx_top_k", F.col(key), F.lit(int(1 / share) + 1), F.lit(counters))
     row = df.agg(
         top.alias("top"), F.count(F.col(key)).alias("keyed"), F.count("*").alias("n")
     ).first()
@@ -56,35 +54,45 @@ def _hot(df: DataFrame, key: str, share: float) -> tuple[list, float]:
 
 def keyed_join(
     main: DataFrame, key: str, found: DataFrame, found_key: str, how: str,
-    hot_keys: list | str | None, spread_by: list[str] | None = None,
+    hot_keys: list | str | None, spread_by: list[str] | None = None, may_broadcast: bool = True,
 ) -> DataFrame:
     """Join ``main`` with ``found``, which has at most one row per key.
 
     ``hot_keys`` is a list of keys to spread, ``None`` for a plain join, or
-    ``"auto"``: when ``found`` is too large to broadcast, ``main``'s key column
-    is read once to find the hot keys. Rows of a hot key part by the columns
-    ``spread_by``; without it, by a few narrow ones. ``found_key`` is in the result of a left
-    join; the caller drops it.
+    ``"auto"``: ``main``'s key column is read once to find the hot keys. Nothing is
+    spread when ``found`` fits a broadcast, unless ``may_broadcast`` says it shall
+    not be. Rows of a hot key part by the columns ``spread_by``; without it, by the
+    whole row. ``found_key`` is in the result of a left join; the caller drops it.
     """
+    if hot_keys is not None and may_broadcast and fits_broadcast(found):
+        hot_keys = None
     if hot_keys == AUTO:
-        hot_keys = _choose(main, key, found)
+        hot_keys = _choose(main, key)
     if hot_keys is None:
-        return main.join(found, main[key] == found[found_key], how)
+        return main.join(found if may_broadcast else found.hint("merge"), main[key] == found[found_key], how)
     tasks = int(main.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ways = max(LEAST_WAYS, tasks)
     salted = main.withColumn("__salt", _spread(main, key, hot_keys, ways, spread_by))
     copied = found.withColumn("__found_salt", F.explode(_copies(F.col(found_key), hot_keys, ways)))
     same = (salted[key] == copied[found_key]) & (salted["__salt"] == copied["__found_salt"])
-    return salted.join(copied, same, how).drop("__salt", "__found_salt")
+    # Spark's estimate does not see the copies, so it must not choose a broadcast by it
+    return salted.join(copied.hint("merge"), same, how).drop("__salt", "__found_salt")
 
 
-def _choose(main: DataFrame, key: str, found: DataFrame) -> list | None:
-    if main.isStreaming or fits_broadcast(found):
+def _choose(main: DataFrame, key: str) -> list | None:
+    if main.isStreaming:
         return None
     if not isinstance(main.schema[key].dataType, COUNTABLE):
         return []
-    hot, missing = _hot(main, key, HOT_SHARE)
-    return hot if hot or missing >= HOT_SHARE else None
+    share = hot_share(main.sparkSession)
+    hot, missing = _hot(main, key, share)
+    return hot if hot or missing >= share else None
+
+
+def hot_share(spark: SparkSession) -> float:
+    """Share of the rows that is too much for one task."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(HOT_SHARE, 1 / tasks), 4 / LARGEST_SKETCH)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -99,25 +107,16 @@ def _spread(df: DataFrame, key: str, hot_keys: list, ways: int, spread_by: list[
     """Salt of a row: hot keys and missing keys go ``ways`` ways, others one.
 
     It depends on the row's content only, so a retried task deals its rows out
-    the same way and filters above it still move below it. It reads few columns,
-    since the scan has to deliver them.
+    the same way and filters above it still move below it. Without ``spread_by`` it
+    reads the whole row: no choice of columns is sure to differ within a key.
     """
-    columns = spread_by or _narrow(df, key)
+    columns = spread_by or [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
     value = F.col(key)
     hot = value.isNull() if not hot_keys else value.isNull() | value.isin(*hot_keys)
     dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns or [key]]), F.lit(ways))
     return F.when(hot, dealt.cast("int")).otherwise(F.lit(0))
 
 
-def _narrow(df: DataFrame, key: str) -> list[str]:
-    """Columns likely to tell rows apart at little cost, best first."""
-    ranked = [
-        (PARTING.index(type(f.dataType)), f.name) for f in df.schema
-        if f.name != key and type(f.dataType) in PARTING
-    ]
-    return [name for _, name in sorted(ranked, key=lambda r: r[0])][:PARTING_COLUMNS]
-
-
 def _copies(key: Column, hot_keys: list, ways: int) -> Column:
     """Salts the other side of the join needs for ``key``, as an array."""
     one = F.array(F.lit(0))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .filters import filter_in
 
-WORD = r"[a-z]+"
+#: Runs of letters of any alphabet.
+WORD = r"\p{L}+"
 
 
 def get_by_ids(df: DataFrame, key: str, ids: Iterable | DataFrame) -> DataFrame:

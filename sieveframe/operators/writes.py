@@ -35,23 +35,25 @@ def upsert_latest(
     key) only rows that change are compared. ``incoming`` is reduced to one row
     per key, then two anti joins drop what it replaces and what is already newer.
     When the change set is small Spark broadcasts it, and ``current`` is read
-    without being shuffled. Rows of equal order are replaced.
+    without being shuffled.
 
     Otherwise both sides are ranked together, with one row per key and task
     kept before the shuffle.
+
+    In either form rows of equal order are replaced by incoming ones, the content
+    of the rows settles ties within one side, and a missing key is one key.
     """
     keys, orders = _keys(key), _keys(order)
     latest_first = [F.col(c).desc_nulls_last() for c in orders]
     if not current_unique:
-        both = current.unionByName(incoming, allowMissingColumns=True)
-        return first_per_key(both, keys, latest_first)
-    changes = first_per_key(incoming, keys, latest_first)
+        both = current.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)), allowMissingColumns=True)
+        return first_per_key(both, keys, [*latest_first, F.desc("__new"), *content_order(both)]).drop("__new")
+    changes = first_per_key(incoming, keys, [*latest_first, *content_order(incoming)])
     stamp = F.struct(*[F.col(c) for c in orders])
     change_stamps = changes.select(*keys, stamp.alias("__stamp"))
     # only keys that occur on both sides matter here, so this stays as small as the change set
-    current_stamps = current.select(*keys, stamp.alias("__stamp")).join(
-        changes.select(*keys), keys, "left_semi"
-    )
+    changed = changes.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
+    current_stamps = current.select(*keys, stamp.alias("__stamp")).join(changed, _same(keys), "left_semi")
     kept = _anti(current.withColumn("__mine", stamp), change_stamps, keys, "__mine <= __stamp")
     added = _anti(changes.withColumn("__mine", stamp), current_stamps, keys, "__mine < __stamp")
     return kept.unionByName(added, allowMissingColumns=True)
@@ -59,8 +61,16 @@ def upsert_latest(
 
 def _anti(rows: DataFrame, stamps: DataFrame, keys: list[str], older: str) -> DataFrame:
     renamed = stamps.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], "__stamp")
-    same = [F.col(k) == F.col(f"__k_{i}") for i, k in enumerate(keys)]
-    return rows.join(renamed, [*same, F.expr(older)], "left_anti").drop("__mine")
+    return rows.join(renamed, [*_same(keys), F.expr(older)], "left_anti").drop("__mine")
+
+
+def _same(keys: list[str]) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"__k_{i}")) for i, k in enumerate(keys)]
+
+
+def content_order(df: DataFrame) -> list[Column]:
+    """An order by what rows hold, so that a retried task settles ties the same way."""
+    return [F.col(f"`{f.name}`").desc_nulls_last() for f in df.schema if "map<" not in f.dataType.simpleString()]
 
 
 def delete_by_ids(df: DataFrame, ids: DataFrame | Iterable, key: str) -> DataFrame:

@@ -96,6 +96,13 @@ def f_in_table(spark, d):
     return filter_in(table(spark, d, "customer"), "c_custkey", listed, not_=True).select("c_custkey", "c_name")
 
 
+@query("select l_orderkey, l_linenumber from lineitem where l_orderkey % 3 = 0 and l_orderkey <= 9000")
+def f_in_long_list(spark, d):
+    """A list of 3,000 values, and one that equals nothing."""
+    lines = table(spark, d, "lineitem")
+    return filter_in(lines, "l_orderkey", [str(i) for i in range(3, 9001, 3)] + [None]).select("l_orderkey", "l_linenumber")
+
+
 @query("select p_partkey,p_size from part where p_size >= 10 and p_size <= 20")
 def f_range_closed(spark, d):
     return apply_filters(table(spark, d, "part"), range_filter("p_size", "[10 TO 20]")).select("p_partkey", "p_size")
@@ -297,12 +304,33 @@ def l_lookup_ref_default(spark, d):
     return catalog.lookup("documents", "labels.quality", name="quality").select("doc_id", "lang", "quality")
 
 
-@query("select l_orderkey, l_linenumber, l_partkey, p_size from lineitem left join part on l_partkey = p_partkey")
+@query("select l_orderkey, l_linenumber, l_partkey, n_name from lineitem left join nation on l_linenumber = n_nationkey")
 def l_lookup_hot_keys(spark, d):
+    """Every line number holds more than a tenth of the rows; the nations are kept from a broadcast."""
     items = table(spark, d, "lineitem")
-    df = lookup(items, table(spark, d, "part"), "l_partkey", "p_size", target_key="p_partkey",
-                hot_keys=find_hot_keys(items, "l_partkey", share=0.002), spread_by=["l_orderkey", "l_linenumber"])
-    return df.select("l_orderkey", "l_linenumber", "l_partkey", "p_size")
+    hot = find_hot_keys(items, "l_linenumber", share=0.1)
+    if not hot:
+        raise AssertionError("no hot key in lineitem")
+    df = lookup(items, table(spark, d, "nation"), "l_linenumber", "n_name", target_key="n_nationkey",
+                hot_keys=hot, spread_by=["l_orderkey", "l_partkey"], may_broadcast=False)
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "n_name")
+
+
+@query("select event_id, event_type, n from events join (select event_type as t, count(*) as n from events group by event_type) on event_type = t")
+def l_lookup_hot_keys_found(spark, d):
+    """The hot keys are looked for, and whole rows part them."""
+    events = table(spark, d, "events")
+    counts = events.groupBy("event_type").agg(F.count("*").alias("n"))
+    return lookup(events, counts, "event_type", "n", may_broadcast=False).select("event_id", "event_type", "n")
+
+
+@query("select o_orderkey, min(l_partkey) as part from orders left join lineitem on o_orderkey = l_orderkey group by o_orderkey")
+def l_lookup_catalog_repeated_key(spark, d):
+    """A catalog lookup sees one row per key, though orders have several lines."""
+    catalog = Catalog()
+    catalog.register("orders", table(spark, d, "orders"), "o_orderkey")
+    catalog.register("lines", table(spark, d, "lineitem"), "l_orderkey")
+    return catalog.lookup("orders", "lines.l_partkey", name="part").select("o_orderkey", "part")
 
 
 @query("select d.doc_id, l.quality from documents d join labels l on d.doc_id=l.doc_id where l.quality in (1) and d.lang in ('en','de')")
@@ -439,6 +467,19 @@ def w_upsert_changes(spark, d):
     return catalog.table("latest")
 
 
+@query("select event_type, max(event_id) as event_id, true as replaced from events where event_type <> 'error' group by event_type"
+       " union all select event_type, max(event_id), false from events where event_type = 'error' group by event_type")
+def w_upsert_ties(spark, d):
+    """Rows of equal order are replaced, and within one side the content decides, in either form."""
+    events = table(spark, d, "events").select("event_type", "event_id", F.lit(0).alias("version"))
+    old = events.withColumn("replaced", F.lit(False))
+    new = events.filter("event_type <> 'error'").withColumn("replaced", F.lit(True))
+    one = upsert_latest(old, new, "event_type", "version")
+    unique = upsert_latest(old.limit(0), old, "event_type", "version")
+    two = upsert_latest(unique, new, "event_type", "version", current_unique=True)
+    return one.intersectAll(two).select("event_type", "event_id", "replaced")
+
+
 @query("select doc_id,lang from documents d where not exists (select 1 from labels l where l.doc_id=d.doc_id)")
 def w_delete_by_ids(spark, d):
     return delete_by_ids(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id").select("doc_id", "lang")
@@ -515,14 +556,14 @@ def e_named_functions(spark, d):
 
 
 @query("select term, count(distinct doc_id) as doc_freq from (select doc_id,"
-       " unnest(regexp_extract_all(lower(text),'[a-z]+')) as term from documents) group by term")
+       " unnest(regexp_extract_all(lower(text),'\\p{L}+')) as term from documents) group by term")
 def t_terms_doc_freq(spark, d):
     # doc_id is the unique key of the collection
     return terms_doc_freq(table(spark, d, "documents"), "doc_id", "text", unique_key=True)
 
 
 @query("select term, count(distinct conv_id) as doc_freq from (select conv_id,"
-       " unnest(regexp_extract_all(lower(text),'[a-z]+')) as term from conversations) group by term")
+       " unnest(regexp_extract_all(lower(text),'\\p{L}+')) as term from conversations) group by term")
 def t_terms_repeated_key(spark, d):
     return terms_doc_freq(table(spark, d, "conversations"), "conv_id", "text")
 
@@ -666,6 +707,39 @@ def x_upsert_stream(spark, d):
     return latest.read(spark)
 
 
+def split_stream(spark, d, folder):
+    """The events as several files, a micro-batch each."""
+    events = table(spark, d, "events").select("event_id", "event_type", "user_id", "ts", "value")
+    events.repartition(4, "event_id").write.parquet(f"{folder}/in")
+    return read_stream(spark, f"{folder}/in", max_files_per_trigger=1)
+
+
+@query(f"select event_id, ts, {LEVEL_SQL} as level from events where event_type in ('error','purchase')"
+       " order by ts desc, event_id desc limit 50")
+def x_history_restarted(spark, d):
+    """Several micro-batches, then the whole stream again under a new checkpoint."""
+    folder = shared_dir(spark)
+    history = HistorySink(f"{folder}/history", "ts", "level", "event_id", size=50, kept_versions=1)
+    events = log_events(split_stream(spark, d, folder))
+    for checkpoint in ("one", "two"):
+        run_available(events, history.write_batch, f"{folder}/{checkpoint}")
+    return history.read(spark)
+
+
+@query(LATEST_SQL)
+def x_upsert_restarted(spark, d):
+    """Several micro-batches, a full state between two streams, and the second stream's batches after it."""
+    folder = shared_dir(spark)
+    latest = UpsertTable(f"{folder}/latest", "user_id", ["ts", "event_id"])
+    events = split_stream(spark, d, folder).select("user_id", "event_id", "ts", "value")
+    early, late = events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")
+    run_available(early, latest.write_batch, f"{folder}/one")
+    latest.compact(spark)
+    latest.vacuum(spark)
+    run_available(late, latest.write_batch, f"{folder}/two")
+    return latest.read(spark)
+
+
 # --- flagship -----------------------------------------------------------------------
 
 

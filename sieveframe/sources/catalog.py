@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ class ReadOnlyError(PermissionError):
 class Collection:
     df: DataFrame
     key: str
-    unique: bool = True
+    unique: bool = False
     read_only: bool = False
     defaults: Mapping[str, object] = field(default_factory=dict)
 
@@ -61,10 +62,11 @@ class Catalog:
         self._aliases: dict[str, list[str]] = {}
 
     def register(
-        self, name: str, df: DataFrame, key: str, *, unique: bool = True, read_only: bool = False,
+        self, name: str, df: DataFrame, key: str, *, unique: bool = False, read_only: bool = False,
         defaults: Mapping[str, object] | None = None,
     ) -> None:
-        """Add a collection. ``unique`` states that no key repeats."""
+        """Add a collection. ``unique`` promises that no key repeats, which saves the
+        step that makes lookups and upserts see one row per key."""
         if not name or "," in name:
             raise ValueError(f"not a collection name: {name!r}")
         if key not in df.columns:
@@ -129,7 +131,8 @@ class Catalog:
         """Add rows, replacing those with the same key. Missing fields get
         their declared defaults."""
         target = self._changeable(name)
-        incoming = writes.with_defaults(incoming, target.defaults)
+        # one instant for all of them, taken now and not when the rows are read
+        incoming = writes.with_defaults(incoming, target.defaults, now=datetime.now(timezone.utc))
         df = writes.upsert_latest(
             target.df, incoming, target.key, order, current_unique=target.unique
         )

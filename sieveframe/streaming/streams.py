@@ -2,9 +2,10 @@
 
 Filters, projections and lookups against a static collection are stateless, so
 the batch functions take a streaming DataFrame as it is. The two jobs that keep
-something between micro-batches write it to a folder all executors share, under
-the number of the micro-batch: a batch that is run again replaces what it wrote
-the first time.
+something between micro-batches write it to a folder all executors share, as
+versions with numbers of their own, in the order in which they were written. What
+a stream's batch numbers are plays no part in that order: they begin at 0 again
+with every new checkpoint. One stream at a time writes to a folder.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import types as T
 
 from ..operators.logs import DEFAULT_HISTORY, DEFAULT_THRESHOLD, at_or_above, log_history
 from ..operators.lookup import first_per_key
-from ..operators.writes import upsert_latest
-from ..sources.shared import drop_versions, is_file, version_path, versions, write_version
+from ..operators.writes import content_order, upsert_latest
+from ..sources.shared import drop_versions, is_file, read_versions, versions, write_version
 
-#: Versions of a history that stay readable behind the present one.
+#: States of a history that stay behind the present one, for readers that have them open.
 KEPT_VERSIONS = 10
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -55,32 +56,45 @@ def run_available(
     query.awaitTermination()
 
 
+def stream_batch(batch: DataFrame, batch_id: int) -> str:
+    """Name of a micro-batch: the stream it belongs to (a new checkpoint is a new
+    stream) and its number there. Outside a stream the number alone."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{stream or 'none'}.{batch_id}"
+
+
 class HistorySink:
     """The last ``size`` events at or above a level, kept up to date by a stream.
 
-    ``id_col`` identifies an event: one that arrives twice is held once.
+    ``id_col`` identifies an event: one that arrives twice is held once, the later
+    one by ``ts``. A batch is merged into the newest state, and merging it again
+    changes nothing, so neither a batch that is run again nor a stream put back to an
+    earlier point loses an event. ``kept_versions`` older states stay for open readers.
     """
 
     def __init__(
         self, path: str, ts: str, level: str, id_col: str,
-        threshold: str = DEFAULT_THRESHOLD, size: int = DEFAULT_HISTORY,
+        threshold: str = DEFAULT_THRESHOLD, size: int = DEFAULT_HISTORY, kept_versions: int = KEPT_VERSIONS,
     ) -> None:
         self.path, self.ts, self.level, self.id_col = path, ts, level, id_col
-        self.threshold, self.size = threshold, size
+        self.threshold, self.size, self.kept_versions = threshold, size, kept_versions
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch; pass this to ``run_available``."""
         spark = batch.sparkSession
         loud = batch.filter(at_or_above(self.level, self.threshold)(batch))
         # at most ``size`` rows leave each side, so the stored state never grows
-        rows = self._last(loud.dropDuplicates([self.id_col]))
-        earlier = [v for v in versions(spark, self.path) if v < batch_id]
-        if earlier:
-            kept = spark.read.parquet(version_path(self.path, earlier[-1]))
-            rows = self._last(rows.unionByName(kept).dropDuplicates([self.id_col]))
-        write_version(rows, self.path, batch_id)
-        # a stream repeats its last batch at most, so the oldest states serve nobody
-        drop_versions(spark, self.path, earlier[:-KEPT_VERSIONS])
+        rows = self._last(self._once(loud))
+        done = versions(spark, self.path)
+        if done:
+            kept = read_versions(spark, self.path, [done[max(done)]])
+            rows = self._last(self._once(rows.unionByName(kept)))
+        write_version(rows, self.path, max(done, default=-1) + 1)
+        old = list(done.values())
+        drop_versions(spark, self.path, old[:max(0, len(old) - self.kept_versions)])
+
+    def _once(self, df: DataFrame) -> DataFrame:
+        return first_per_key(df, self.id_col, [F.desc(self.ts), *content_order(df)])
 
     def _last(self, df: DataFrame) -> DataFrame:
         return log_history(df, self.ts, self.level, self.threshold, self.size, id_col=self.id_col)
@@ -90,7 +104,7 @@ class HistorySink:
         done = versions(spark, self.path)
         if not done:
             raise LookupError(f"no history under {self.path!r}")
-        df = spark.read.parquet(version_path(self.path, done[-1]))
+        df = read_versions(spark, self.path, [done[max(done)]])
         return log_history(df, self.ts, self.level, self.threshold, self.size, since, self.id_col)
 
 
@@ -108,42 +122,49 @@ class UpsertTable:
         self._full, self._changes = f"{path}/full", f"{path}/changes"
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """Store one micro-batch; pass this to ``run_available``."""
-        rows = first_per_key(batch, self.key, [F.col(c).desc_nulls_last() for c in self.order])
-        write_version(rows.withColumn("__batch", F.lit(batch_id)), self._changes, batch_id)
+        """Store one micro-batch; pass this to ``run_available``. A batch of the same
+        stream that is run again replaces what it wrote."""
+        spark, writer = batch.sparkSession, stream_batch(batch, batch_id)
+        done = versions(spark, self._changes)
+        number = next((n for n, name in done.items() if name.partition(".")[2] == writer), None)
+        if number is None:
+            number = max([*done, *versions(spark, self._full)], default=-1) + 1
+        order = [*(F.col(c).desc_nulls_last() for c in self.order), *content_order(batch)]
+        rows = first_per_key(batch, self.key, order)
+        write_version(rows.withColumn("__batch", F.lit(number)), self._changes, number, writer)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The present state: one row per key."""
-        full = versions(spark, self._full)
-        pending = [v for v in versions(spark, self._changes) if not full or v > full[-1]]
+        full, changed = versions(spark, self._full), versions(spark, self._changes)
+        pending = [name for n, name in changed.items() if n > max(full, default=-1)]
         if not full and not pending:
             raise LookupError(f"nothing written to {self._changes!r}")
         changes = None
         if pending:
-            files = [version_path(self._changes, v) for v in pending]
-            # of rows with equal order the one that came later counts
+            # of rows with equal order the one that was written later counts
             latest = [F.col(c).desc_nulls_last() for c in (*self.order, "__batch")]
-            changes = first_per_key(spark.read.parquet(*files), self.key, latest).drop("__batch")
+            changes = first_per_key(read_versions(spark, self._changes, pending), self.key, latest).drop("__batch")
         if not full:
             return changes
-        state = spark.read.parquet(version_path(self._full, full[-1]))
+        state = read_versions(spark, self._full, [full[max(full)]])
         if changes is None:
             return state
         return upsert_latest(state, changes, self.key, self.order, current_unique=True)
 
     def compact(self, spark: SparkSession) -> None:
-        """Write the present state in full. Batches up to it that are run again
-        later change nothing. Readers of the old state are not disturbed."""
-        pending = versions(spark, self._changes)
-        full = versions(spark, self._full)
-        if pending and (not full or pending[-1] > full[-1]):
-            write_version(self.read(spark), self._full, pending[-1])
+        """Write the present state in full, under the number of the last change set
+        in it; what is written later has a higher one. Readers of the old state are
+        not disturbed."""
+        last, full = max(versions(spark, self._changes), default=-1), max(versions(spark, self._full), default=-1)
+        if last > full:
+            write_version(self.read(spark), self._full, last)
 
     def vacuum(self, spark: SparkSession) -> None:
         """Delete what the last full state has made needless: older full states
         and the change sets in it. Run it when no reader uses them any more."""
         full = versions(spark, self._full)
         if full:
-            drop_versions(spark, self._full, full[:-1])
-            folded = [v for v in versions(spark, self._changes) if v <= full[-1]]
+            last = max(full)
+            drop_versions(spark, self._full, [name for n, name in full.items() if n < last])
+            folded = [name for n, name in versions(spark, self._changes).items() if n <= last]
             drop_versions(spark, self._changes, folded)

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from sieveframe.plans.acceptance import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -30,14 +31,19 @@ def bag(columns, rows):
     )
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    df = contract.queries()[name](spark, SF)
-    result = db.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    result = db.execute(ORACLE[name])
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert bag(df.columns, [tuple(r) for r in df.collect()]) == bag(columns, result.fetchall())
 
 
+def test_contract_lists_all_queries():
+    assert contract.queries().items() >= QUERIES.items() and contract.oracle_sql().items() >= ORACLE.items()
+    assert QUERIES.keys() == ORACLE.keys()
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 10

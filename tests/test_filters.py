@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -205,3 +206,40 @@ def test_predicates_reach_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(d,2.0)" in closed and "LessThan(d,5.0)" in closed
     assert "Or(IsNull(d)" in pushed(~range_filter("d", "[2 TO 5)"))
     assert "GreaterThanOrEqual(t,2019-" in pushed(range_filter("t", "[2020-01-01T00:00:00Z-1YEAR TO *]"))
+
+
+@pytest.mark.parametrize("negated", [False, True])
+@pytest.mark.parametrize("dtype,rows,items,filler", [
+    ("int", [1, 2, 3, None], [1, "2", None, 2.5], -7),
+    ("bigint", [1, 2**40, None], [str(2**40), 1.0], "-8"),
+    ("decimal(10,2)", ["10.35", "10.34", None], ["10.345", "10.34"], 77),
+    ("decimal(10,2)", ["5", "6", None], [5, "6.000"], 77),
+    ("boolean", [True, False, None], ["TRUE"], "true"),
+    ("boolean", [True, False, None], ["yes"], "no"),
+    ("double", [0.0, 1.5, None], ["-0.0", "1.5d"], 9.75),
+    ("string", ["a", "b", "1", None], ["a", 1, None], "zz"),
+    ("timestamp", ["2024-01-02 00:00:00", "2024-01-03 00:00:00", None], ["2024-01-01T00:00:00Z+1DAY"], "1999-01-01T00:00:00Z"),
+    ("date", ["2024-01-02", "2024-01-03", None], ["2024-01-01T00:00:00Z+1DAY"], "1999-01-01T00:00:00Z"),
+])
+def test_lists_mean_the_same_at_any_length(spark, dtype, rows, items, filler, negated):
+    df = spark.createDataFrame([(str(r) if r is not None else None,) for r in rows], "t string").selectExpr(f"CAST(t AS {dtype}) AS v")
+    got = [Counter(r.v for r in filter_in(df, "v", items + [filler] * n, not_=negated).collect()) for n in (0, 1000 - len(items), 1001)]
+    assert got[0] == got[1] == got[2]
+    hits = Counter(r.v for r in filter_in(df, "v", items, not_=not negated).collect())
+    assert hits + got[0] == Counter(r.v for r in df.collect())
+
+
+@pytest.mark.parametrize("n", [1, 2000])
+def test_bad_items_fail_while_the_query_is_built(spark, n):
+    df = spark.createDataFrame([(1,)], "v int")
+    with pytest.raises(ValueError):
+        filter_in(df, "v", ["x"] * n)
+
+
+def test_list_tables_of_another_type(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "v int")
+    texts = spark.createDataFrame([("1",), (" 2 ",), ("x",), (None,)], "t string")
+    halves = spark.createDataFrame([(1.0,), (2.5,)], "d double")
+    assert sorted(r.v for r in filter_in(df, "v", texts).collect()) == [1, 2]
+    assert sorted(r.v for r in filter_in(df, "v", halves).collect()) == [1]
+    assert sorted(r.v for r in filter_in(df, "v", halves, not_=True).collect()) == [2, 3]

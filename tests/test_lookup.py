@@ -145,3 +145,29 @@ def test_several_fields_come_from_one_row(spark, main):
     assert plan_of(got).count("FileScan") + plan_of(got).count("LocalTableScan") + plan_of(got).count("ExistingRDD") == 2
     with pytest.raises(ValueError):
         lookup(main, target, "id", ["n", "s"], name=["a"])
+
+
+def test_keys_of_another_type_are_the_same_value(spark):
+    main = spark.createDataFrame([(1,), (2,)], "id int")
+    target = spark.createDataFrame([(1.5, "half"), (2.0, "two"), (1e300, "far")], "id double, v string")
+    assert sorted((r.id, r.v) for r in lookup(main, target, "id", "v").collect()) == [(1, None), (2, "two")]
+
+
+def test_copied_rows_are_never_broadcast(spark):
+    main = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
+    target = spark.range(3).selectExpr("id AS k", "id * 10 AS w")
+    assert "BroadcastHashJoin" in plan_of(lookup(main, target, "k", "w", hot_keys=[1]))
+    spread = lookup(main, target, "k", "w", hot_keys=[1], may_broadcast=False)
+    assert "SortMergeJoin" in plan_of(spread) and "Broadcast" not in plan_of(spread)
+    assert all(r.w == r.k * 10 for r in spread.collect())
+
+
+@pytest.mark.parametrize("dtype", ["decimal(10,2)", "float", "boolean", "timestamp", "date", "string", "smallint"])
+def test_hot_keys_of_all_types(spark, dtype):
+    value = {"timestamp": "timestamp_seconds(1)", "date": "date'2024-01-01'", "string": "'x'"}.get(dtype, f"cast(1 as {dtype})")
+    other = {"timestamp": "timestamp_seconds(id)", "date": "date_add(date'2024-01-01', cast(id as int))", "string": "cast(id as string)"}.get(dtype, f"cast(id % 100 as {dtype})")
+    main = spark.range(500).selectExpr(f"if(id < 250, {value}, {other}) AS k", "id AS v")
+    hot = find_hot_keys(main, "k", 0.3)
+    assert hot == [main.filter("v = 0").first().k]
+    target = main.select("k").distinct().selectExpr("k", "1 AS w")
+    assert lookup(main, target, "k", "w", may_broadcast=False).filter("w = 1").count() == 500

@@ -136,3 +136,21 @@ def test_one_hot_value_and_many_rules(spark):
     expected = df.crossJoin(rules).filter(
         "(rule_id % 2 = 0 and v in (rule_id, 7)) or (rule_id % 2 = 1 and v between rule_id and rule_id + 2)").count()
     assert got.count() == expected == got.distinct().count()
+
+
+def test_decimals_are_read_at_full_precision(spark):
+    df = spark.createDataFrame([(1, "10.35"), (2, "10.34")], "id int, t string").selectExpr("id", "cast(t as decimal(10,2)) AS v")
+    rules = spark.createDataFrame([
+        (1, "in", "10.345", False), (2, "in", "(10.345, 10.34)", False), (3, "in", "10.345", True), (4, "range", "[10.345 TO *]", False),
+        (5, "range", "[10.335 TO 10.345]", False),
+    ], "rule_id int, op string, value_text string, not boolean")
+    got = sorted(map(tuple, match_rules(df, "id", "v", rules).collect()))
+    assert got == [(1, 3), (1, 4), (2, 2), (2, 3), (2, 5)]
+    assert parse_rules(rules, df.schema["v"].dataType).rejects.count() == 0
+
+
+def test_many_rules_are_shuffled(spark):
+    df = spark.range(100).selectExpr("id", "id % 7 AS v")
+    rules = spark.createDataFrame([(i, "in", f"({i}, 3)", False) for i in range(50)], "rule_id int, op string, value_text string, not boolean")
+    shown = plan_of(match_rules(df, "id", "v", rules, broadcast_rules=10))
+    assert "SortMergeJoin" in shown and "Broadcast" not in shown

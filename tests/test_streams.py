@@ -112,3 +112,28 @@ def test_later_batch_wins_at_equal_order(spark, tmp_path):
         if i == 1:
             table.compact(spark)
         assert [r.v for r in table.read(spark).collect()] == [v]
+
+
+def test_history_survives_a_stream_put_back(spark, tmp_path):
+    sink = HistorySink(str(tmp_path / "h"), "ts", "level", "id", size=50, kept_versions=2)
+    for i in range(14):
+        sink.write_batch(spark.createDataFrame([(i, 1, i, "ERROR", i)], SCHEMA), i)
+    for i in range(1, 14):
+        sink.write_batch(spark.createDataFrame([(i, 1, i, "ERROR", i)], SCHEMA), i)
+    sink.write_batch(spark.createDataFrame([(99, 1, 99, "ERROR", 0), (99, 1, 98, "ERROR", 7)], SCHEMA), 0)
+    assert [(r.id, r.v) for r in sorted(sink.read(spark).collect())] == [(i, i) for i in range(14)] + [(99, 0)]
+    assert len(list((tmp_path / "h").glob("v=*"))) == 3
+
+
+def test_new_checkpoints_do_not_replace_old_batches(spark, folder):
+    table = UpsertTable(str(folder / "t"), "user", ["ts", "id"])
+    whole = spark.read.parquet(str(folder / "in"))
+    low, high = (lambda df: df.filter("user < 9")), (lambda df: df.filter("user >= 9"))
+    run_available(low(source(spark, folder)), table.write_batch, str(folder / "cp1"))
+    run_available(high(source(spark, folder)), table.write_batch, str(folder / "cp2"))
+    expected = rows(upsert_latest(whole.limit(0), whole, "user", ["ts", "id"]))
+    assert rows(table.read(spark)) == expected
+    table.compact(spark)
+    new = spark.createDataFrame([(1, 77, 1, "WARN", 1)], SCHEMA)
+    table.write_batch(new, 0)
+    assert rows(table.read(spark)) == sorted([*expected, *rows(new)])

@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 import pytest
@@ -156,3 +157,21 @@ def test_terms(spark):
     digits = spark.createDataFrame([(1, "a1 b22 22"), (2, "22")], "id int, t string")
     got = {r.term: r.doc_freq for r in terms_doc_freq(digits, "id", "t", "[0-9]+", unique_key=True).collect()}
     assert got == {"1": 1, "22": 2}
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_equal_order_and_missing_keys(spark, unique):
+    old = spark.createDataFrame([(1, 5, "old"), (None, 5, "old"), (2, 9, "old")], "id int, ts int, v string")
+    new = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (None, 5, "new"), (2, 8, "new")], "id int, ts int, v string")
+    got = upsert_latest(old, new, "id", "ts", current_unique=unique).collect()
+    assert sorted((r.id or 0, r.v) for r in got) == [(0, "new"), (1, "b"), (2, "old")]
+
+
+def test_now_is_taken_once(spark):
+    catalog = Catalog()
+    start = spark.createDataFrame([], "id int, at timestamp")
+    catalog.register("c", start, "id", defaults={"at": "NOW"})
+    catalog.upsert("c", spark.createDataFrame([(1, None)], "id int, at timestamp"), "id")
+    first = catalog.table("c").first().at
+    time.sleep(1.1)
+    assert catalog.table("c").first().at == first
