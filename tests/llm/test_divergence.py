@@ -3,6 +3,7 @@ from collections import Counter
 
 import duckdb
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import divergence
 
 

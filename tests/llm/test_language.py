@@ -1,5 +1,6 @@
 import numpy as np
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import language
 
 VOICES = {"aa": "ba be bi bo bu da de di do du".split(), "bb": "ka ke ki ko ku ta te ti to tu".split()}

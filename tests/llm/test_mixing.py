@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import mixing
 
 

@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

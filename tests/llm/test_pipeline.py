@@ -1,3 +1,4 @@
+from odd_rows import no_documents, odd_documents  # noqa: F401
 import corpus_pipeline
 from sieveframe.llm import mixing, simhash
 from sieveframe.sources.shared import materialize

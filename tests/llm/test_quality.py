@@ -1,5 +1,6 @@
 import numpy as np
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import quality
 
 

@@ -4,6 +4,7 @@ from itertools import accumulate
 import numpy as np
 import pytest
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import sharding
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from odd_rows import no_documents, odd_documents  # noqa: F401
 from sieveframe.llm import graph, simhash
 
 
