@@ -101,7 +101,9 @@ def signatures(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 def links(prints: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFrame:
     """Links (a, b) that connect exactly the fingerprints which links of at most
     ``radius`` bits connect. ``prints`` holds each fingerprint once, as ``fp``."""
-    filed = signatures(prints, radius)
+    # the few bytes of a fingerprint become dozens of rows, so they are dealt to all tasks first
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    filed = signatures(prints.repartition(tasks, "fp"), radius)
     sizes = filed.groupBy("slot", "value").agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("n0"), F.count(F.when(F.col("side") == 1, 1)).alias("n1"),
         F.first("whole").alias("whole"),
