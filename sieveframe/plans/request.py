@@ -21,8 +21,9 @@ from ..sources.shared import materialize
 DEFAULT_START = 0
 DEFAULT_ROWS = 10
 
-#: Pages that end beyond this row are cut from a distributed sort, not a top-k.
-TOP_K_LIMIT = 100_000
+#: Pages that end beyond this row are cut from a distributed sort, not a top-k: each
+#: scan task sends up to that many rows to one task.
+TOP_K_LIMIT = 10_000
 #: Row numbers inside one partition, in the layout of monotonically_increasing_id.
 ROW_BITS = 33
 
