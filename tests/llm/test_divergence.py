@@ -22,9 +22,10 @@ def compared(docs):
     got = docs.select("doc_id", "text", "lang").toPandas()
     con = duckdb.connect()
     con.register("documents", got)
-    rows = divergence.apply_rules(docs).drop("char_distance", "word_distance").collect()
+    judged = divergence.apply_rules(docs).drop("char_distance", "word_distance")
+    rows = judged.collect()
     key = lambda r: tuple((x is None or x != x, 0 if x is None or x != x else x) for x in r)
-    columns = ", ".join(divergence.apply_rules(docs).drop("char_distance", "word_distance").columns)
+    columns = ", ".join(judged.columns)
     want = con.sql(f"SELECT {columns} FROM ({divergence.oracle_sql()})").fetchall()
     assert sorted(map(tuple, rows), key=key) == sorted(want, key=key)
     return rows
