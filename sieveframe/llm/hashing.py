@@ -45,6 +45,8 @@ RECALL = 0.97
 ROUNDS = 30
 BLOCK = 8192
 SEED = 0
+#: Buckets of a table whose members are collected one by one.
+FEW = 8
 
 
 @dataclass(frozen=True)
@@ -109,20 +111,27 @@ class Tables:
     def __init__(self, codes: np.ndarray, substrings: int):
         self.codes = codes
         self.parts = np.array_split(np.arange(codes.shape[1]), min(substrings, codes.shape[1]))
-        # members by value, and where each of the 256 values of a byte begins
+        # the values in use, where each one's members begin, the members, and each code's value
         self.tables = []
         for part in self.parts:
             values = codes[:, part]
             order = np.lexsort(values.T[::-1])
-            kept, first = np.unique(values[order], axis=0, return_index=True)
-            self.tables.append((kept, np.r_[first, len(order)], order))
+            kept, first, own = np.unique(values[order], axis=0, return_index=True, return_inverse=True)
+            of_code = np.empty(len(order), np.int64)
+            of_code[order] = own.ravel()
+            self.tables.append((kept, np.r_[first, len(order)], order, of_code))
 
     def within(self, code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         """Every code within the radius, and the distances: pigeonhole probing, then the full check."""
         near = radius // len(self.parts)
         seen = np.zeros(len(self.codes), bool)
-        for part, (values, starts, order) in zip(self.parts, self.tables, strict=True):
-            for bucket in np.flatnonzero(distances(code[part], values) <= near):
+        for part, (values, starts, order, of_code) in zip(self.parts, self.tables, strict=True):
+            probed = distances(code[part], values) <= near
+            buckets = np.flatnonzero(probed)
+            if len(buckets) > FEW:
+                seen |= probed[of_code]  # the members of many buckets at once
+                continue
+            for bucket in buckets:
                 seen[order[starts[bucket]:starts[bucket + 1]]] = True
         found = np.flatnonzero(seen)
         full = distances(code, self.codes[found])
