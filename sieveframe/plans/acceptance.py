@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (
-    as_type, call_function, geodist, hash_rand_int, instant_column, log10, mul, rand_int,
+    as_type, call_function, field, geodist, hash_rand_int, instant_column, log10, mul, rand_int,
     register_function,
 )
 from ..operators import (
@@ -391,6 +391,41 @@ def o_random_order(spark, d):
     return select(table(spark, d, "part"), fields=["p_partkey"], order=[desc(rand_int(seed=7))], rows=None)
 
 
+@query("select p_partkey, cast(p_size as double) * 2 as twice from part order by p_size desc, p_partkey limit 20")
+def s_field(spark, d):
+    """A field named as a function, in a sort and in a value."""
+    return select(
+        table(spark, d, "part"), fields=["p_partkey", ("twice", mul(field("p_size"), 2))], order=[desc(field("p_size"))],
+        key="p_partkey", rows=20,
+    )
+
+
+@query("select r_regionkey, case r_regionkey when 0 then 'LookupError' when 1 then 'ReadOnlyError' when 2 then 'LookupError'"
+       " when 3 then 'ValueError' else 'fine' end as outcome from region")
+def d_errors(spark, d):
+    """What is refused: an unknown collection, a change to a read-only one, a lookup of an unknown field, a name in use."""
+    regions = table(spark, d, "region")
+    catalog = Catalog()
+    catalog.register("regions", regions, "r_regionkey", read_only=True)
+    catalog.register("nations", table(spark, d, "nation"), "n_regionkey")
+    cases = [
+        lambda: catalog.table("nowhere"),
+        lambda: catalog.upsert("regions", regions, "r_regionkey"),
+        lambda: catalog.lookup("regions", "nations.nothing"),
+        lambda: catalog.lookup("regions", "nations.n_name", name="r_name"),
+        lambda: catalog.lookup("regions", "nations.n_name", name="n_name"),
+    ]
+    outcome = F.lit(None).cast("string")
+    for number, case in enumerate(cases):
+        try:
+            case()
+            said = "fine"
+        except Exception as error:
+            said = type(error).__name__
+        outcome = F.when(F.col("r_regionkey") == number, said).otherwise(outcome)
+    return regions.select("r_regionkey", outcome.alias("outcome"))
+
+
 @query("select count(*) as num_found from part where p_size in (1,2)")
 def o_num_found(spark, d):
     return num_found(table(spark, d, "part"), filters=[in_filter("p_size", "(1, 2)")])
