@@ -38,7 +38,7 @@ LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 #: Texts turned into Python strings at a time.
 SLICE = 256
 #: Entries of the two word caches of a Python worker; a full cache is emptied.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 450_000
 
 SCHEMA = (
     "{id} {type}, start long, length long, ids_crc32 long, doc_tokens long, "
