@@ -192,7 +192,13 @@ def cluster(
 
 def _labelled(prints: DataFrame, radius: int, cell: int) -> DataFrame:
     nodes = materialize(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    grouped = materialize(connected_components(links(nodes.select("fp"), radius, cell)))
+    return labelled(prints, links(nodes.select("fp"), radius, cell), nodes)
+
+
+def labelled(prints: DataFrame, linked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``prints`` (id, fp, text_hash) with component_id, given the links (a, b) between
+    fingerprints and the ``least`` id of each."""
+    grouped = materialize(connected_components(linked))
     linked = grouped.join(nodes, grouped["node"] == nodes["fp"]).select("fp", "component", "least")
     smallest = linked.groupBy("component").agg(F.min("least").alias("smallest"))
     moved = linked.join(smallest, "component").select("fp", "smallest")
@@ -210,7 +216,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component, that with the smallest id (then the smallest
     text hash); all columns as they were. Of repeated rows one stays."""
-    found = cluster(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), "text_hash", "component_id", "fp")
+    return keep_smallest(docs, cluster(docs, id_col, text_col, **options), id_col, text_col)
+
+
+def keep_smallest(docs: DataFrame, clusters: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The row of each cluster with the smallest id, of what ``cluster`` returns."""
+    found = clusters.select(F.col(id_col).alias("id"), "text_hash", "component_id", "fp")
     # a component without any id is one fingerprint group of its own
     group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")))
     kept = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("k"))
