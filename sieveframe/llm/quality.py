@@ -4,14 +4,16 @@ Each text becomes a fixed list of measures (lengths, character shares,
 repetition). Pairs of a preferred and a rejected document teach one weight per
 measure: the logistic loss of the weighted difference of their measures. The
 weighted sum is a document's strength. The cut lies at the quantile of the
-strengths of the learning rows that the rejected ones make up, so as many rows
+strengths of all learning rows that the rejected ones make up, so as many rows
 fall below it as were marked bad, and the score is the logistic function of the
 distance from that cut, moved so that the cut has the score ``CUT_SCORE``.
 
-Learning reads at most about ``FIT_ROWS`` rows of each label, chosen by a hash
-of the id, and pairs every one with ``PARTNERS`` rows of the other label; their
-measures (a few numbers a row) are fitted on the driver. Scoring is one pass over
-the whole texts without a shuffle.
+The weights come from at most about ``FIT_ROWS`` rows of each label, chosen by a
+hash of the id, every one paired with ``PARTNERS`` rows of the other label; their
+measures (a few numbers a row) are fitted on the driver. The cut comes from all
+learning rows: one pass gives their strengths, and counts in ever narrower ranges
+find the exact quantile. Scoring is one more pass over the whole texts; neither
+shuffles a text.
 
 Rows: NULL and empty texts have the measures of a text without words and get a
 score like any other; labels that are NULL or whose id is NULL teach nothing;
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import log, log1p
 from operator import eq
 
@@ -32,6 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialize
 from .common import is_held_out
 
 #: Learning rows of each label, about; the bound on what reaches the driver.
@@ -40,6 +43,8 @@ FIT_ROWS = 8_000
 PARTNERS = 8
 #: Weight of the squared weights in the loss.
 RIDGE = 1e-3
+#: Ranges that strengths are counted in at once, and strengths sorted on the driver.
+RANGES = 4096
 #: Score at the cut.
 CUT_SCORE = 0.3
 
@@ -157,7 +162,40 @@ def fit(
     found = rows.select("id", "label", measures_udf()(F.col("text")).alias("measures")).toPandas()
     found = found.assign(order=[tuple(m) for m in found["measures"]]).sort_values(["label", "id", "order"])
     good, bad = (np.array(found.loc[found["label"] == v, "measures"].tolist(), float).reshape(-1, len(MEASURES)) for v in (1, 0))
-    return fit_pairs(good, bad, seed)
+    model = fit_pairs(good, bad, seed)
+    if not model.weights.any():
+        return model
+    # the texts stay where they are: ids and strengths meet the labels
+    strengths = docs.filter(~is_held_out(id_col)).select(F.col(id_col).alias("id"), strength(F.col(text_col), model).alias("value"))
+    return replace(model, cut=cut(materialize(strengths.join(marked.distinct(), "id").select("label", "value"))))
+
+
+def strength(text: Column, model: Ranking) -> Column:
+    @F.pandas_udf("double")
+    def strengths(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.strengths(np.array([measure(text) for text in texts]).reshape(-1, len(MEASURES))))
+
+    return strengths(text)
+
+
+def cut(learned: DataFrame) -> float:
+    """Middle of the two strengths between which the share of rows with label 0 ends."""
+    bad = learned.filter("label = 0").count()
+    return (smallest(learned, bad) + smallest(learned, bad + 1)) / 2
+
+
+def smallest(values: DataFrame, rank: int) -> float:
+    """The ``rank``-th smallest ``value``, from 1."""
+    least, most, n = values.agg(F.min("value"), F.max("value"), F.count("value")).first()
+    while n > RANGES and least < most:
+        place = F.least(F.floor((F.col("value") - least) / (most - least) * RANGES), F.lit(RANGES - 1))
+        ranges = values.groupBy(place.alias("place")).agg(F.min("value"), F.max("value"), F.count("value"))
+        for _, least, most, n in sorted(ranges.collect()):
+            if rank <= n:
+                break
+            rank -= n
+        values = values.filter(F.col("value").between(least, most))
+    return least if least == most else sorted(row["value"] for row in values.select("value").collect())[rank - 1]
 
 
 def measures_udf():

@@ -39,3 +39,25 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert set(quality.classify(odd_documents, model).toPandas()["score"]) == {0.5}
     assert quality.keep_good(odd_documents, model).columns == odd_documents.columns
     assert quality.classify(no_documents, quality.fit(no_documents, labels)).count() == 0
+
+
+def test_cut_of_a_capped_sample_lies_at_the_share_of_all_bad_rows(spark, monkeypatch):
+    monkeypatch.setattr(quality, "RANGES", 16)
+    pick = np.random.default_rng(2)
+    rows = []
+    for i in range(2000):
+        marked_bad = i % 10 == 0
+        words = good(i).split() + bad(i).split()[:int(pick.integers(0, 25)) + 10 * marked_bad]
+        rows.append((i, " ".join(words), int(not marked_bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(docs, docs.select("doc_id", "quality"), fit_rows=60)
+    got = quality.classify(docs, model).join(docs, "doc_id").filter("not held_out").toPandas()
+    tied = (got["score"] - quality.CUT_SCORE).abs().lt(1e-9).sum()
+    assert abs((got["predicted"] == 0).sum() - (got["quality"] == 0).sum()) <= tied
+
+
+def test_smallest_values(spark, monkeypatch):
+    monkeypatch.setattr(quality, "RANGES", 8)
+    values = [float(v) for v in np.random.default_rng(4).normal(size=300).round(1)]
+    df = spark.createDataFrame([(v,) for v in values], "value double")
+    assert [quality.smallest(df, rank) for rank in (1, 40, 150, 300)] == [sorted(values)[rank - 1] for rank in (1, 40, 150, 300)]
