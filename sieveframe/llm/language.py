@@ -8,7 +8,10 @@ logarithm of the sample's length, and the cost is divided by the text's length.
 The language with the lowest cost wins; ties go to the one with more labelled
 rows, then to the smaller name.
 
-Text is parsed as lower-case letters; what lies between letters is one mark. It
+Text is parsed as lower-case letters; what lies between letters is one mark. A
+letter is one mark; if the samples have more than ``SINGLE`` different letters, it
+is as many as its UTF-8 form has bytes, so that no letter shares its marks with
+another. Letters that no sample has are a mark that no sample has. Text
 is parsed in blocks of ``BLOCK`` marks so that many blocks step through the
 automata together, one table lookup per mark and language; a block starts a new
 phrase. Whole texts are read.
@@ -43,6 +46,10 @@ WINDOW = 512
 FIT_MARKS = 30_000
 FIT_TOTAL = 1_200_000
 BLOCK = 1024
+#: Different letters up to which each is one mark.
+SINGLE = 250
+#: Mark of a letter that no sample has, where letters are their UTF-8 bytes.
+OTHER = 1
 #: Bits a mark beyond which a text is in none of the learned languages. Text of a
 #: learned language takes 2 to 4; a letter that no sample has takes the logarithm of
 #: the sample's length, about 15.
@@ -66,12 +73,22 @@ def marks_of(text: str, classes: np.ndarray) -> np.ndarray:
     marks = classes[points]
     keep = marks > 0
     keep[1:] |= marks[:-1] > 0
-    return marks[keep]
+    marks = marks[keep]
+    if marks.dtype == np.uint8:
+        return marks
+    return np.frombuffer(marks.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
 
 
 def letter_classes(letters: str) -> np.ndarray:
-    """Class of every code point: 0 no letter, then the letters, then one for all other letters."""
-    classes = np.fromiter((chr(i).isalpha() for i in range(sys.maxunicode + 1)), bool).astype(np.uint8)
+    """Class of every code point: 0 no letter, then the letters, then one for all other
+    letters. Beyond ``SINGLE`` letters, each is its code point, and all others ``OTHER``."""
+    is_letter = np.fromiter((chr(i).isalpha() for i in range(sys.maxunicode + 1)), bool)
+    if len(letters) > SINGLE:
+        classes = is_letter.astype(np.uint32) * OTHER
+        points = [ord(letter) for letter in letters]
+        classes[points] = points
+        return classes
+    classes = is_letter.astype(np.uint8)
     classes[classes > 0] = len(letters) + 1
     classes[[ord(letter) for letter in letters]] = np.arange(1, len(letters) + 1)
     return classes
@@ -116,7 +133,7 @@ class CrossParser:
     def __init__(self, model: Model):
         self.languages = model.languages
         self.classes = letter_classes(model.letters)
-        width = len(model.letters) + 2
+        width = len(model.letters) + 2 if len(model.letters) <= SINGLE else 256
         tables, self.roots, first = [], [], 0
         for sample in model.samples:
             table = suffix_automaton(sample, width)
@@ -195,7 +212,7 @@ def fit(
     chosen = rows.join(held, "lang").filter(F.pmod(place, F.col("n")) < fit_rows)
     found = chosen.select("lang", "n", "id", F.substr("text", start.cast("int"), F.lit(window)).alias("part")).toPandas()
     found = found.sort_values(["n", "lang", "id", "part"], ascending=[False, True, True, True])
-    letters = "".join(sorted({c for part in found["part"] for c in part.lower() if c.isalpha() and ord(c) < 0x110000})[:250])
+    letters = "".join(sorted({c for part in found["part"] for c in part.lower() if c.isalpha() and ord(c) < 0x110000}))
     classes = letter_classes(letters)
     parts = {
         lang: np.concatenate([marks_of(part, classes) for part in group["part"]]) for lang, group in found.groupby("lang", sort=False)

@@ -59,3 +59,20 @@ def test_unknown_script_is_rejected(spark):
     docs = spark.createDataFrame([(i, text_in("aa", i), "aa") for i in range(50)], "doc_id long, text string, lang string")
     other = spark.createDataFrame([(1, "Это совсем другой язык"), (2, text_in("aa", 99))], "doc_id long, text string")
     assert [r.doc_id for r in language.keep_identified(other, language.fit(docs)).collect()] == [2]
+
+
+def test_letters_of_large_alphabets_stay_apart(spark):
+    def written(first, seed, n=60, many=400):
+        pick = np.random.default_rng(seed)
+        return "".join(chr(first + int(i)) for i in pick.zipf(1.3, n) % many)
+
+    firsts = {"aa": 0x4E00, "bb": 0x6E00, "cc": 0xAC00, "dd": 0xB800}
+    rows = [(i, written(first, 10 * i + j), lang) for i in range(80) for j, (lang, first) in enumerate(firsts.items())]
+    docs = spark.createDataFrame([(k, text, lang) for k, (_, text, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.letters) > 250
+    got = language.identify(docs, model).join(docs, "doc_id").toPandas()
+    held = got[got["held_out"]]
+    assert len(held) > 10 and (held["lang_pred"] == held["lang"]).all()
+    other = spark.createDataFrame([(1, written(0xA000, 7)), (2, written(0x8E00, 8)), (3, written(0xAC00, 9))], "doc_id long, text string")
+    assert [r.doc_id for r in language.keep_identified(other, model).collect()] == [3]
