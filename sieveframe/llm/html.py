@@ -4,8 +4,11 @@ A page becomes a tree: end tags that HTML lets authors omit are implied (``p``,
 ``li``, ``dt``, ``dd``, ``tr``, ``td``, ``option`` ...), and so are ``tr`` around loose
 cells and the end of ``head``; stray end tags are dropped. What a browser would not
 show is left out: scripts, styles, templates, ``hidden`` elements, closed ``details``
-but for their summary, and what inline styles or the page's own simple style rules
-(``tag``, ``.class``, ``#id``) set to ``display: none`` or ``visibility: hidden``.
+but for their summary, and
+what inline styles or the page's own simple style rules (``tag``, ``.class``,
+``#id``) set to ``display: none`` or ``visibility: hidden``. Rules are read with
+their nesting, those of media other than a screen ``SCREEN`` pixels wide are left
+out, and the cascade decides: importance, inline style, id, class, tag, then order.
 
 The tree is laid out as text: blocks start on lines of their own, paragraphs,
 headings, lists and tables are set off by a blank line, list items have a dash or
@@ -30,12 +33,14 @@ from pyspark.sql import functions as F
 
 WIDEST = 60
 INDENT = "  "
+#: Width of the screen for which media rules are read.
+SCREEN = 1280
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is not markup.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas svg math datalist".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas datalist svg math".split()
 )
 HEAD = frozenset("base link meta title style script template noscript".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl table blockquote pre figure fieldset hr".split())
@@ -69,19 +74,22 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^}]*)\}")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_CSS = re.compile(r"""((?:[^{};"']|"[^"]*"|'[^']*'|["'])*+)([{};]|\Z)""")
+_DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)[^!]*(!\s*important)?\s*", re.I)
+_FEATURE = re.compile(r"\(\s*(min|max)-(?:device-)?width\s*:\s*(\d+(?:\.\d+)?)(px|em|rem)\s*\)")
 _SELECTOR = re.compile(r"([a-zA-Z][\w-]*)?(?:\.([\w-]+)|#([\w-]+))?")
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "hidden")
+    __slots__ = ("tag", "attributes", "children", "hidden", "block")
 
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag = tag
         self.attributes = attributes
         self.children: list[Node | str] = []
         self.hidden = False
+        self.block = tag in BLOCKS
 
 
 def parse(page: str) -> Node:
@@ -110,7 +118,7 @@ class _Builder:
                 self.end(name)
                 continue
             self.start(name, rest)
-            if name in RAW:
+            if name in RAW and self.open[-1].tag == name:
                 close_at = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 raw = page[at:close_at.start() if close_at else len(page)]
                 self.text(raw, plain=name not in ("textarea", "title"))
@@ -197,38 +205,113 @@ class _Builder:
         del self.open[place:]
 
 
-def hiding_rules(root: Node) -> set[tuple[str, str]]:
-    """("tag" | "class" | "id", name) that the page's own simple rules hide."""
-    found, stack = set(), [root]
+#: Of each property, by ("tag" | "class" | "id", name): (important, kind, order) and whether it hides.
+Rules = dict[tuple[str, str], dict[str, tuple[tuple[bool, int, int], bool]]]
+
+
+def on_screen(prelude: str) -> bool:
+    """Whether the rules in an at-rule's block hold on the screen."""
+    name, _, query = prelude.strip().lower().partition(" ")
+    if name.startswith("@media"):
+        return any(_matches(part) for part in f"{name[6:]} {query}".split(","))
+    return name.startswith("@layer") or name.startswith("@supports") and not re.match(r"@supports\s*not\b", prelude.strip().lower())
+
+
+def _matches(query: str) -> bool:
+    query = query.strip()
+    if query.startswith("not "):
+        return not _matches(query[4:])
+    for part in re.split(r"\band\b", query.removeprefix("only ")):
+        part = part.strip()
+        feature = _FEATURE.fullmatch(part)
+        if feature:
+            width = float(feature[2]) * (1 if feature[3] == "px" else 16)
+            if width > SCREEN if feature[1] == "min" else width < SCREEN:
+                return False
+        elif part not in ("", "all", "screen"):
+            return False
+    return True
+
+
+def declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """(important, hides) of display and visibility, as the last declaration has them."""
+    found: dict[str, tuple[bool, bool]] = {}
+    for part in _COMMENT.sub(" ", body).split(";"):
+        match = _DECLARATION.fullmatch(part)
+        if match:
+            name, value, important = match[1].lower(), match[2].lower(), bool(match[3])
+            if important or not found.get(name, (False, False))[0]:
+                found[name] = (important, value == "none" if name == "display" else value in ("hidden", "collapse"))
+    return found
+
+
+def hiding_rules(root: Node) -> Rules:
+    """What the page's own simple rules show and hide."""
+    sheets, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.tag == "style":
-            for selectors, body in _RULE.findall("".join(c for c in node.children if isinstance(c, str))):
-                if _HIDING.search(body):
-                    for selector in selectors.split(","):
-                        match = _SELECTOR.fullmatch(selector.strip())
-                        if match and match.group():
-                            tag, of_class, of_id = match.groups()
-                            if not (tag and (of_class or of_id)):
-                                found.add(("tag", tag.lower()) if tag else ("class", of_class) if of_class else ("id", of_id))
-        stack.extend(c for c in node.children if isinstance(c, Node))
-    return found
+        if node.tag == "style" and on_screen(f"@media {node.attributes.get('media', '')}"):
+            sheets.append("".join(c for c in node.children if isinstance(c, str)))
+        stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    rules: Rules = {}
+    order = 0
+    for sheet in sheets:
+        blocks: list[tuple[str, bool]] = []  # prelude of each open block, and whether it is on screen
+        body: list[str] = []
+        for text, mark in _CSS.findall(_COMMENT.sub(" ", sheet.replace("<!--", " ").replace("-->", " "))):
+            if mark == "{":
+                prelude = text.strip()
+                shown = not blocks or blocks[-1][1]
+                # a rule within a rule has a selector that is not simple
+                nested = bool(blocks) and not blocks[-1][0].startswith("@")
+                blocks.append((prelude, shown and not nested and (not prelude.startswith("@") or on_screen(prelude))))
+                body = []
+                continue
+            body.append(text)
+            if mark != "}" or not blocks:
+                continue
+            prelude, shown = blocks.pop()
+            if shown and not prelude.startswith("@"):
+                order += 1
+                _add(rules, prelude, declared(";".join(body)), order)
+            body = []
+    return rules
+
+
+def _add(rules: Rules, selectors: str, found: dict[str, tuple[bool, bool]], order: int) -> None:
+    for selector in selectors.split(",") if found else ():
+        match = _SELECTOR.fullmatch(selector.strip())
+        if not match or not match.group():
+            continue
+        tag, of_class, of_id = match.groups()
+        if tag and (of_class or of_id):
+            continue
+        key = ("tag", tag.lower()) if tag else ("class", of_class) if of_class else ("id", of_id)
+        own = rules.setdefault(key, {})
+        for name, (important, hides) in found.items():
+            weight = (important, 0 if tag else 1 if of_class else 2, order)
+            if name not in own or own[name][0] < weight:
+                own[name] = (weight, hides)
 
 
-def is_hidden(node: Node, rules: set[tuple[str, str]]) -> bool:
-    if node.tag in UNSEEN:
+def is_hidden(node: Node, rules: Rules) -> bool:
+    if node.tag in UNSEEN or node.hidden:
         return True
     own = node.attributes
     if not own and not rules:
         return False
-    if "hidden" in own or node.tag == "input" or node.tag == "dialog" and "open" not in own:
-        return True
-    if "style" in own and _HIDING.search(own["style"]):
+    if node.tag == "input" or node.tag == "dialog" and "open" not in own:
         return True
-    return bool(rules) and (
-        ("tag", node.tag) in rules or ("id", own.get("id", "")) in rules
-        or any(("class", name) in rules for name in own.get("class", "").split())
-    )
+    best = {"display": ((False, -1, 0), "hidden" in own)}
+    keys = [("tag", node.tag), ("id", own.get("id", "")), *(("class", name) for name in own.get("class", "").split())]
+    for found in [rules[key] for key in keys if key in rules] if rules else ():
+        for name, value in found.items():
+            best[name] = max(best.get(name, value), value)
+    if "style" in own:
+        for name, (important, hides) in declared(own["style"]).items():
+            value = ((important, 3, 0), hides)
+            best[name] = max(best.get(name, value), value)
+    return any(hides for _, hides in best.values())
 
 
 class _Flow:
@@ -316,7 +399,7 @@ def render(root: Node) -> str:
             if tag == "br":
                 flow.line_break()
                 continue
-            if tag in BLOCKS:
+            if node.block:
                 flow.end(2 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and counters) else 1)
             stack.append((node, True))
             children = node.children
@@ -366,7 +449,7 @@ def render(root: Node) -> str:
         elif tag == "table":
             flow.end(1)
             flow.block(aligned(tables.pop()))
-        if tag in BLOCKS:
+        if node.block:
             flow.end(2 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and counters) else 1)
     flow.end(0)
     return "\n".join(flow.lines).replace("\xa0", " ").strip("\n")

@@ -82,3 +82,14 @@ def test_odd_rows(spark):
     assert got.columns == ["page_id", "url", "text"]
     assert sorted(len(r.text) for r in got.collect()) == [0, 0, 0, 0, 1, 300_000]
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_rules_of_other_media_and_later_rules():
+    page = (
+        "<style>@media print{.nav{color:#000}.a{display:none}} @media (max-width:600px){.x{top:0}.b{display:none}} "
+        "@media screen{.y{top:0}.no{display:none}} .c{display:none} .c{display:block} .d{display:none} #e{display:block} "
+        ".e{display:none} .f{display:none!important} @font-face{src:url('}')} .g{display:none}</style>"
+        "<p class=a>1<p class=b>2<p class=c>3<p class=d style='display:block'>4<p class=e id=e>5"
+        "<p class=no>-<p class=f style='display:block'>-<p class=g>-<p style='display:none;display:block'>6"
+    )
+    assert "".join(visible_text(page).split()) == "123456"
