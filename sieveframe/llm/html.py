@@ -4,7 +4,7 @@ A page becomes a tree: end tags that HTML lets authors omit are implied (``p``,
 ``li``, ``dt``, ``dd``, ``tr``, ``td``, ``option`` ...), and so are ``tr`` around loose
 cells and the end of ``head``; stray end tags are dropped. What a browser would not
 show is left out: scripts, styles, templates, ``hidden`` elements, closed ``details``
-but for their summary, and
+but for their summary, MathML annotations, what svg only describes or defines, and
 what inline styles or the page's own simple style rules (``tag``, ``.class``,
 ``#id``) set to ``display: none`` or ``visibility: hidden``. Rules are read with
 their nesting, those of media other than a screen ``SCREEN`` pixels wide are left
@@ -40,8 +40,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Their content is not markup.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
 UNSEEN = frozenset(
-    "head script style template noscript title iframe noembed noframes object audio video canvas datalist svg math".split()
+    "head script style template noscript title iframe noembed noframes object audio video canvas datalist annotation annotation-xml".split()
 )
+#: Unseen within svg.
+SVG_UNSEEN = frozenset("desc defs metadata".split())
 HEAD = frozenset("base link meta title style script template noscript".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl table blockquote pre figure fieldset hr".split())
 BLOCKS = SPACED | frozenset(
@@ -153,7 +155,11 @@ class _Builder:
             for key, *values in _ATTRIBUTE.findall(rest):
                 attributes.setdefault(key.lower(), unescape(next(filter(None, values), "")))
         node = Node(name, attributes)
-        if name in VOID:
+        foreign = self.count["svg"] or self.count["math"] or name in ("svg", "math")
+        if self.count["svg"]:
+            node.hidden = name in SVG_UNSEEN
+            node.block = node.block or name == "text"
+        if name in VOID or foreign and rest.endswith("/"):
             self.open[-1].children.append(node)
         else:
             self.push(node)

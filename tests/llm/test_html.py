@@ -93,3 +93,11 @@ def test_rules_of_other_media_and_later_rules():
         "<p class=no>-<p class=f style='display:block'>-<p class=g>-<p style='display:none;display:block'>6"
     )
     assert "".join(visible_text(page).split()) == "123456"
+
+
+def test_formulas_and_text_in_svg_are_kept():
+    page = (
+        "<p>so <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn><annotation>TeX</annotation></math> holds"
+        "<svg><title>t</title><desc>d</desc><defs/><defs><text>u</text></defs><style/><text>one</text><text>two</text></svg>"
+    )
+    assert visible_text(page) == "so x=2 holds\none\ntwo"
