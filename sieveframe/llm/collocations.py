@@ -10,10 +10,14 @@ length and is abandoned. Partitions of at most ``SMALL`` pointers are sorted out
 Routing: a suffix goes by its words up to the first that is not hot, two at least. A
 word is hot from a quarter of a bucket's share of all words on, so a bucket stays near
 its size whatever words the corpus repeats, and there is a bound to the hot words
-(``HOT_WORDS``), which are all that is broadcast. A phrase of hot words only may lie in
+(``HOT_WORDS``). They and the sieve are all that is broadcast. A phrase of hot words only may lie in
 several buckets; its counts there are added, whatever their size. A suffix of
 ``LONGEST`` hot words is collapsed with its equals before it is moved.
 
+A word that occurs fewer than ``least`` times ends a suffix, since no frequent phrase
+holds it. Tasks know most of these words by a sieve of bounded size (``SIEVE_BITS``);
+what it lets pass costs time, never counts.
+
 What moves: a task numbers the words of about ``CHUNK`` positions, collapses equal
 suffixes and sends each bucket one row of packed numbers with the words they stand for.
 No number has a meaning outside its row, so no vocabulary is shared. Memory is bounded
@@ -29,6 +33,7 @@ language without a candidate, give no rows. Ties are settled by the phrase's byt
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -49,10 +54,12 @@ PART_OF = 80
 PER_LANG = 2000
 UNKNOWN = "und"
 #: Positions numbered together, and suffixes a bucket should hold.
-CHUNK = 1_000_000
+CHUNK = 2_000_000
 BUCKET = 1_000_000
 #: Most words that may count as hot. It bounds the broadcast.
 HOT_WORDS = 1_000_000
+#: Bits of the sieve of frequent words at most, as a power of 2.
+SIEVE_BITS = 26
 #: Pointers that are sorted outright.
 SMALL = 1024
 #: Bytes of a text that are split at once; each word takes two at least.
@@ -68,17 +75,19 @@ _FOLD[65:91] = range(97, 123)
 for _byte in b".,;:!?\n\v\f\r":
     _FOLD[_byte] = _BREAK[0]
 _FOLD = bytes(_FOLD)
+_SHIFTS = [np.uint64(16 * (LONGEST - 1 - step)) for step in range(LONGEST)]
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def blocks(text: bytes | None, size: int = BLOCK) -> Iterator[list[bytes]]:
-    """Words of a text, some at a time, with ``.`` where a piece ends."""
+def blocks(text: bytes | None, size: int = BLOCK) -> Iterator[tuple[list[bytes], bool]]:
+    """Words of a text, some at a time, with ``.`` where a piece ends; and whether they
+    are the last."""
     spaced = (text or b"").translate(_FOLD).replace(_BREAK, b" . ")
     at = 0
     while at < len(spaced):
         end = spaced.find(b" ", at + size)
         end = len(spaced) if end < 0 else end
-        yield spaced[at:end].split()
+        yield spaced[at:end].split(), end == len(spaced)
         at = end
 
 
@@ -95,7 +104,7 @@ def count_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 own = held.setdefault(lang, Counter())
-                for found in blocks(text.as_py()):
+                for found, _ in blocks(text.as_py()):
                     own.update(found)
                 if sum(map(len, held.values())) > HELD_WORDS:
                     yield from sent(held)
@@ -114,102 +123,140 @@ def count_words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return partial.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.sum("n").alias("n"))
 
 
+class Sieve:
+    """Bits of the frequent words; it may pass other words too. Two a word, out of 16 or
+    more up to ``SIEVE_BITS`` words, beyond which it passes more and more."""
+
+    def __init__(self, words: DataFrame):
+        some = words.select(F.xxhash64("phrase").alias("h"))
+        size = 1 << min(max((16 * some.count()).bit_length(), 10), SIEVE_BITS)
+        self.mask = size - 1
+        at = some.select(F.explode(F.array(*(F.expr(f"shiftrightunsigned(h, {by}) & {self.mask}L") for by in (0, 32)))).alias("at"))
+        bits = at.groupBy(F.shiftright("at", 6).alias("part")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toPandas()
+        table = np.zeros(size // 64, np.int64)
+        table[bits["part"]] = bits["bits"]
+        self.bits = table.tobytes()
+
+    def __contains__(self, word: bytes) -> bool:
+        h, bits, mask = xxhash.xxh64_intdigest(word, 42), self.bits, self.mask
+        a, b = h & mask, h >> 32 & mask
+        return bits[a >> 3] >> (a & 7) & 1 and bits[b >> 3] >> (b & 7) & 1
+
+
 class _Numbers(dict):
-    """Words to numbers from 1 on, in order of appearance."""
+    """Words to numbers from 1 on, in order of appearance; 0 for those sifted out."""
+
+    def __init__(self, sieve: Sieve | None = None):
+        super().__init__({_BREAK: 0})
+        self.names, self.sieve = [_BREAK], sieve
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
+        if self.sieve is not None and word not in self.sieve:
+            number = 0
+        else:
+            number = len(self.names)
+            self.names.append(word)
+        self[word] = number
         return number
 
 
 class Chunk:
-    """Positions of a task whose words share one numbering."""
+    """Positions of a task, in texts of one language, whose words share one numbering."""
 
-    def __init__(self, buckets: int, hot: dict[str, frozenset[bytes]]):
-        self.buckets, self.hot = buckets, hot
+    def __init__(self, lang: str, buckets: int, hot: frozenset[bytes], sieve: Sieve | None = None):
+        self.lang, self.buckets, self.hot, self.sieve = lang, buckets, hot, sieve
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = _Numbers({_BREAK: 0})
-        self.held: dict[str, list[np.ndarray]] = {}
+        self.numbers = _Numbers(self.sieve)
+        self.held: list[np.ndarray] = []
         self.positions = 0
 
     def fits(self, found: list[bytes]) -> bool:
-        return len(self.numbers) + len(found) <= NUMBERS and self.positions < CHUNK
+        return len(self.numbers.names) + len(found) <= NUMBERS and len(self.numbers) < HELD_WORDS
 
-    def add(self, lang: str, found: list[bytes], last: bool) -> None:
+    def add(self, found: list[bytes], last: bool) -> None:
         """Suffixes of a run of words; without ``last`` its closing words only end others."""
         numbers = np.zeros(len(found) + LONGEST - 1, np.uint16)
         numbers[:len(found)] = np.fromiter(map(self.numbers.__getitem__, found), np.uint16, len(found))
         starts = len(found) if last else max(len(found) - LONGEST + 1, 0)
-        key = numbers[:starts].astype(np.uint64)
-        inside = key > 0
-        for step in range(1, LONGEST):
-            follows = numbers[step:step + starts]
-            inside = inside & (follows > 0)
-            key = key << np.uint64(16) | np.where(inside, follows, 0).astype(np.uint64)
         # a word alone is counted with the words
-        self.held.setdefault(lang, []).append(key[(key >> np.uint64(16 * (LONGEST - 1)) > 0) & ((key >> np.uint64(16 * (LONGEST - 2))) & np.uint64(NUMBERS) > 0)])
+        inside = (numbers[:starts] > 0) & (numbers[1:1 + starts] > 0)
+        key = numbers[:starts].astype(np.uint64) << _SHIFTS[0]
+        key |= numbers[1:1 + starts].astype(np.uint64) << _SHIFTS[1]
+        goes_on = inside
+        for step in range(2, LONGEST):
+            follows = numbers[step:step + starts]
+            goes_on = goes_on & (follows > 0)
+            key |= (follows * goes_on).astype(np.uint64) << _SHIFTS[step]
+        self.held.append(key[inside])
         self.positions += len(found)
 
     def sent(self) -> Iterator[pa.RecordBatch]:
-        """One row for each language and bucket; the chunk is empty afterwards."""
-        names = list(self.numbers)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
-        for lang, runs in self.held.items():
-            keys, counts = np.unique(np.concatenate(runs), return_counts=True)
-            if not len(keys):
-                continue
-            columns = [(keys >> np.uint64(16 * (LONGEST - 1 - i)) & np.uint64(NUMBERS)).astype(np.uint16) for i in range(LONGEST)]
-            hot = self.hot.get(lang, frozenset())
-            is_hot = np.fromiter((name in hot for name in names), bool, len(names))
-            route = np.full(len(keys), xxhash.xxh64_intdigest(lang), np.uint64)
-            leads = np.ones(len(keys), bool)
-            for step, column in enumerate(columns):
-                if step >= 2:
-                    leads &= is_hot[columns[step - 1]] & (column > 0) & (is_hot[columns[0]] if step == 2 else True)
-                route = np.where(leads, (route ^ hashes[column]) * _MIX[step % len(_MIX)], route)
-                route ^= route >> np.uint64(31)
-            bucket = (route % np.uint64(self.buckets)).astype(np.int64)
+        """One row for each bucket; the chunk is empty afterwards."""
+        keys, counts = np.unique(np.concatenate(self.held), return_counts=True) if self.held else ((), ())
+        if len(keys):
+            names = self.numbers.names
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
+            columns = [(keys >> shift & np.uint64(NUMBERS)).astype(np.uint16) for shift in _SHIFTS]
+            bucket = self.route(columns, hashes, np.fromiter((name in self.hot for name in names), bool, len(names)))
             order = np.argsort(bucket, kind="stable")
             bucket, counts = bucket[order], counts[order].astype(np.uint32)
             columns = np.stack(columns)[:, order]
             edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
             rows = []
-            for a, b in zip(edges, edges[1:], strict=False):
+            for a, b in itertools.pairwise(edges):
                 own = columns[:, a:b]
-                seen = np.zeros(NUMBERS + 1, bool)
+                seen = np.zeros(len(names), bool)
                 seen[own] = True
                 seen[0] = False
                 used = np.flatnonzero(seen)
-                rows.append((lang, int(bucket[a]), used.astype(np.uint16).tobytes(), b" ".join([names[i] for i in used]),
+                rows.append((self.lang, int(bucket[a]), used.astype(np.uint16).tobytes(), b" ".join([names[i] for i in used]),
                              own.tobytes(), counts[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PACKED.types, strict=True)], PACKED.names)
         self.clear()
 
+    def route(self, columns: list[np.ndarray], hashes: np.ndarray, is_hot: np.ndarray) -> np.ndarray:
+        """Bucket of each suffix: by its words up to the first that is not hot, two at least."""
+        route = np.full(len(columns[0]), xxhash.xxh64_intdigest(self.lang), np.uint64)
+        leads = np.ones(len(route), bool)
+        all_hot = is_hot[columns[0]]
+        for step, column in enumerate(columns):
+            if step >= 2:
+                all_hot = all_hot & is_hot[columns[step - 1]]
+                leads = all_hot & (column > 0)
+            route = np.where(leads, (route ^ hashes[column]) * _MIX[step % len(_MIX)], route)
+            route ^= route >> np.uint64(31)
+        return (route % np.uint64(self.buckets)).astype(np.int64)
+
 
 PACKED = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("used", pa.binary()), ("words", pa.binary()), ("suffixes", pa.binary()), ("counts", pa.binary())])
 
 
-def pack_suffixes(docs: DataFrame, buckets: int, hot: dict[str, frozenset[bytes]], text_col: str, lang_col: str) -> DataFrame:
+def pack_suffixes(docs: DataFrame, buckets: int, hot: dict[str, frozenset[bytes]], sieve: Sieve, text_col: str, lang_col: str) -> DataFrame:
     """Suffixes of all texts, packed by chunk, language and bucket."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = Chunk(buckets, hot)
+        chunks: dict[str, Chunk] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                carried: list[bytes] = []
-                for found in blocks(text.as_py()):
+                if lang not in chunks:
+                    chunks[lang] = Chunk(lang, buckets, hot.get(lang, frozenset()), shared.value)
+                chunk, carried = chunks[lang], []
+                for found, last in blocks(text.as_py()):
                     found = carried + found
                     if not chunk.fits(found):
                         yield from chunk.sent()
-                    chunk.add(lang, found, last=False)
+                    chunk.add(found, last)
                     carried = found[-(LONGEST - 1):]
-                if not chunk.fits(carried):
-                    yield from chunk.sent()
-                chunk.add(lang, carried, last=True)
-        yield from chunk.sent()
+                if sum(chunk.positions for chunk in chunks.values()) >= CHUNK:
+                    for chunk in chunks.values():
+                        yield from chunk.sent()
+                    chunks = {}
+        for chunk in chunks.values():
+            yield from chunk.sent()
 
     return _texts(docs, text_col, lang_col).mapInArrow(
         run, "lang string, bucket long, used binary, words binary, suffixes binary, counts binary")
@@ -276,14 +323,14 @@ def count_phrases(packed: DataFrame, hot: dict[str, frozenset[bytes]], least: in
             yield from counted(at[0], held)
 
     def counted(lang: str, rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        numbers, columns = _Numbers({_BREAK: 0}), []
+        numbers, columns = _Numbers(), []
         for row in rows:
             lookup = np.zeros(NUMBERS + 1, np.int32)
             lookup[np.frombuffer(row["used"], np.uint16)] = [numbers[word] for word in row["words"].split(b" ")]
             columns.append(lookup[np.frombuffer(row["suffixes"], np.uint16).reshape(LONGEST, -1)])
         columns = np.concatenate(columns, axis=1)
         weights = np.concatenate([np.frombuffer(row["counts"], np.uint32) for row in rows]).astype(np.int64)
-        names = list(numbers)
+        names = numbers.names
         own = hot.get(lang, frozenset())
         is_hot = np.fromiter((name in own for name in names), bool, len(names))
         found = [
@@ -329,7 +376,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     for row in words.filter(F.col("n") > most).collect():
         hot.setdefault(row["lang"], set()).add(row["phrase"].encode())
     hot = {lang: frozenset(found) for lang, found in hot.items()}
-    packed = pack_suffixes(docs, buckets, hot, text_col, lang_col)
+    packed = pack_suffixes(docs, buckets, hot, Sieve(words.filter(F.col("n") >= least)), text_col, lang_col)
     phrases = count_phrases(packed, hot, least, max(1, math.ceil(buckets / 2)))
     return words, materialize(phrases)
 

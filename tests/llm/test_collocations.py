@@ -81,7 +81,16 @@ def test_long_texts_in_blocks(spark):
     got = {r.phrase: r.a for r in collocations.mine(docs).collect()}
     words = [t.split() for t, _ in rows]
     assert got["y z"] == 90_000 and got["a b c d"] == sum(w[i:i + 4] == ["a", "b", "c", "d"] for w in words for i in range(len(w)))
-    assert list(collocations.blocks(b"A b, c" * 5, 4)) and sum(collocations.blocks(b"A b, c\td.", 3), []) == [b"a", b"b", b".", b"c", b"d", b"."]
+    split = list(collocations.blocks(b"A b, c\td.", 3))
+    assert sum((found for found, _ in split), []) == [b"a", b"b", b".", b"c", b"d", b"."]
+    assert len(split) > 1 and [last for _, last in split] == [False] * (len(split) - 1) + [True]
+
+
+def test_sieve_passes_all_frequent_words(spark):
+    words = spark.range(5000).selectExpr("concat('wörd', id) AS phrase")
+    sieve = collocations.Sieve(words)
+    assert all(f"wörd{i}".encode() in sieve for i in range(5000))
+    assert sum(f"other{i}".encode() in sieve for i in range(5000)) < 250
 
 
 def test_quicksort_of_pointers():
