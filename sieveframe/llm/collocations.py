@@ -9,19 +9,18 @@ length and is abandoned. Partitions of at most ``SMALL`` pointers are sorted out
 
 Routing: a suffix goes by its words up to the first that is not hot, two at least. A
 word is hot from a quarter of a bucket's share of all words on, so a bucket stays near
-its size whatever words the corpus repeats, and there is a bound to the hot words
-(``HOT_WORDS``). They and the sieve are all that is broadcast. A phrase of hot words only may lie in
+its size whatever words the corpus repeats. A phrase of hot words only may lie in
 several buckets; its counts there are added, whatever their size. A suffix of
 ``LONGEST`` hot words is collapsed with its equals before it is moved.
 
 A word that occurs fewer than ``least`` times ends a suffix, since no frequent phrase
-holds it. Tasks know most of these words by a sieve of bounded size (``SIEVE_BITS``);
-what it lets pass costs time, never counts.
+holds it. Tasks know these words by a sieve of bounded size (``SIEVE_BITS``); what it
+lets pass costs time, never counts. The ``COMMON`` most frequent words have numbers of
+their own. They and the sieve are all that is broadcast.
 
-What moves: a task numbers the words of about ``CHUNK`` positions, collapses equal
-suffixes and sends each bucket one row of packed numbers with the words they stand for.
-No number has a meaning outside its row, so no vocabulary is shared. Memory is bounded
-by a chunk, a bucket and the bytes of the longest text, which is read in blocks.
+What moves: a task numbers the words of about ``CHUNK`` positions and sends each bucket
+one row of packed numbers, with the words that are not common. Memory is bounded by a
+chunk, a bucket and the bytes of the longest text, which is read in blocks.
 
 Then phrases meet their parts and the phrases around them by equality joins, in decimal
 arithmetic wherever a product might pass 64 bits.
@@ -41,6 +40,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,8 +56,6 @@ UNKNOWN = "und"
 #: Positions numbered together, and suffixes a bucket should hold.
 CHUNK = 2_000_000
 BUCKET = 1_000_000
-#: Most words that may count as hot. It bounds the broadcast.
-HOT_WORDS = 1_000_000
 #: Bits of the sieve of frequent words at most, as a power of 2.
 SIEVE_BITS = 26
 #: Pointers that are sorted outright.
@@ -66,8 +64,9 @@ SMALL = 1024
 BLOCK = 100_000
 #: Different words whose counts a task holds before it passes them on.
 HELD_WORDS = 200_000
-#: Words a chunk can number in 16 bits; 0 is the end of a piece.
-NUMBERS = 65_535
+#: Bits of a word's number, and how many words have one in all chunks; 0 ends a suffix.
+NUMBER_BITS = 20
+COMMON = 1 << 18
 
 _BREAK = b"."
 _FOLD = bytearray(range(256))
@@ -75,7 +74,6 @@ _FOLD[65:91] = range(97, 123)
 for _byte in b".,;:!?\n\v\f\r":
     _FOLD[_byte] = _BREAK[0]
 _FOLD = bytes(_FOLD)
-_SHIFTS = [np.uint64(16 * (LONGEST - 1 - step)) for step in range(LONGEST)]
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -143,19 +141,39 @@ class Sieve:
         return bits[a >> 3] >> (a & 7) & 1 and bits[b >> 3] >> (b & 7) & 1
 
 
+class Vocabulary:
+    """Common words with their numbers, from 1 on, the most frequent first; which of
+    them are hot in each language; and a sieve of the other frequent words."""
+
+    def __init__(self, words: list[bytes], hot: dict[str, list[bytes]], sieve: Sieve):
+        self.words, self.sieve = [_BREAK, *words], sieve
+        self.numbers = {word: number for number, word in enumerate(self.words)}
+        self.hot = {lang: np.array([self.numbers[word] for word in found], np.int32) for lang, found in hot.items()}
+        self._hashes: np.ndarray | None = None
+
+    def hashes(self) -> np.ndarray:
+        if self._hashes is None:
+            self._hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        return self._hashes
+
+    def is_hot(self, lang: str, size: int) -> np.ndarray:
+        out = np.zeros(size, bool)
+        out[self.hot.get(lang, np.zeros(0, np.int32))] = True
+        return out
+
+
 class _Numbers(dict):
-    """Words to numbers from 1 on, in order of appearance; 0 for those sifted out."""
+    """Words to numbers: common ones, others in order of appearance, 0 for those sifted out."""
 
-    def __init__(self, sieve: Sieve | None = None):
-        super().__init__({_BREAK: 0})
-        self.names, self.sieve = [_BREAK], sieve
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary.numbers)
+        self.first, self.others, self.sieve = len(vocabulary.words), [], vocabulary.sieve
 
     def __missing__(self, word: bytes) -> int:
-        if self.sieve is not None and word not in self.sieve:
-            number = 0
-        else:
-            number = len(self.names)
-            self.names.append(word)
+        number = 0
+        if word in self.sieve:
+            number = self.first + len(self.others)
+            self.others.append(word)
         self[word] = number
         return number
 
@@ -163,87 +181,100 @@ class _Numbers(dict):
 class Chunk:
     """Positions of a task, in texts of one language, whose words share one numbering."""
 
-    def __init__(self, lang: str, buckets: int, hot: frozenset[bytes], sieve: Sieve | None = None):
-        self.lang, self.buckets, self.hot, self.sieve = lang, buckets, hot, sieve
+    def __init__(self, lang: str, buckets: int, vocabulary: Vocabulary):
+        self.lang, self.buckets, self.vocabulary = lang, buckets, vocabulary
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = _Numbers(self.sieve)
+        self.numbers = _Numbers(self.vocabulary)
         self.held: list[np.ndarray] = []
         self.positions = 0
 
     def fits(self, found: list[bytes]) -> bool:
-        return len(self.numbers.names) + len(found) <= NUMBERS and len(self.numbers) < HELD_WORDS
+        seen = len(self.numbers) - len(self.vocabulary.words)
+        return seen < HELD_WORDS and self.numbers.first + len(self.numbers.others) + len(found) < 1 << NUMBER_BITS
 
     def add(self, found: list[bytes], last: bool) -> None:
         """Suffixes of a run of words; without ``last`` its closing words only end others."""
-        numbers = np.zeros(len(found) + LONGEST - 1, np.uint16)
-        numbers[:len(found)] = np.fromiter(map(self.numbers.__getitem__, found), np.uint16, len(found))
+        numbers = np.zeros(len(found) + LONGEST - 1, np.int32)
+        numbers[:len(found)] = np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))
         starts = len(found) if last else max(len(found) - LONGEST + 1, 0)
         # a word alone is counted with the words
-        inside = (numbers[:starts] > 0) & (numbers[1:1 + starts] > 0)
-        key = numbers[:starts].astype(np.uint64) << _SHIFTS[0]
-        key |= numbers[1:1 + starts].astype(np.uint64) << _SHIFTS[1]
-        goes_on = inside
+        goes_on = inside = (numbers[:starts] > 0) & (numbers[1:1 + starts] > 0)
+        suffixes = np.empty((LONGEST, starts), np.int32)
+        suffixes[:2] = numbers[:starts], numbers[1:1 + starts]
         for step in range(2, LONGEST):
-            follows = numbers[step:step + starts]
-            goes_on = goes_on & (follows > 0)
-            key |= (follows * goes_on).astype(np.uint64) << _SHIFTS[step]
-        self.held.append(key[inside])
+            goes_on = goes_on & (numbers[step:step + starts] > 0)
+            suffixes[step] = numbers[step:step + starts] * goes_on
+        self.held.append(suffixes[:, inside])
         self.positions += len(found)
 
     def sent(self) -> Iterator[pa.RecordBatch]:
         """One row for each bucket; the chunk is empty afterwards."""
-        keys, counts = np.unique(np.concatenate(self.held), return_counts=True) if self.held else ((), ())
-        if len(keys):
-            names = self.numbers.names
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, names), np.uint64, len(names))
-            columns = [(keys >> shift & np.uint64(NUMBERS)).astype(np.uint16) for shift in _SHIFTS]
-            bucket = self.route(columns, hashes, np.fromiter((name in self.hot for name in names), bool, len(names)))
-            order = np.argsort(bucket, kind="stable")
-            bucket, counts = bucket[order], counts[order].astype(np.uint32)
-            columns = np.stack(columns)[:, order]
+        suffixes = np.concatenate(self.held, axis=1) if self.held else np.zeros((LONGEST, 0), np.int32)
+        if suffixes.shape[1]:
+            others, first = self.numbers.others, self.numbers.first
+            hashes = np.r_[self.vocabulary.hashes(), np.fromiter(map(xxhash.xxh64_intdigest, others), np.uint64, len(others))]
+            is_hot = self.vocabulary.is_hot(self.lang, len(hashes))
+            counts = np.ones(suffixes.shape[1], np.uint32)
+            hot = is_hot[suffixes].all(0)
+            if hot.any():
+                alike, repeats = np.unique(suffixes[:, hot], axis=1, return_counts=True)
+                suffixes = np.concatenate([suffixes[:, ~hot], alike], axis=1)
+                counts = np.r_[counts[~hot], repeats.astype(np.uint32)]
+            bucket = self.route(suffixes, hashes, is_hot)
+            # in order of their first words, so that their bytes repeat
+            order = np.argsort(suffixes[0].astype(np.int64) << NUMBER_BITS | suffixes[1])
+            order = order[np.argsort(bucket[order], kind="stable")]
+            suffixes, counts, bucket = suffixes[:, order], counts[order], bucket[order]
             edges = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
             rows = []
             for a, b in itertools.pairwise(edges):
-                own = columns[:, a:b]
-                seen = np.zeros(len(names), bool)
-                seen[own] = True
-                seen[0] = False
-                used = np.flatnonzero(seen)
-                rows.append((self.lang, int(bucket[a]), used.astype(np.uint16).tobytes(), b" ".join([names[i] for i in used]),
-                             own.tobytes(), counts[a:b].tobytes()))
+                own = suffixes[:, a:b]
+                used = np.unique(own[own >= first])
+                # bytes of one weight together
+                packed = np.ascontiguousarray(own).view(np.uint8).reshape(LONGEST, -1, 4).transpose(0, 2, 1)[:, :3]
+                rows.append((self.lang, int(bucket[a]), used.astype(np.int32).tobytes(), b" ".join([others[i - first] for i in used]),
+                             packed.tobytes(), counts[a:b].tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), PACKED.types, strict=True)], PACKED.names)
         self.clear()
 
-    def route(self, columns: list[np.ndarray], hashes: np.ndarray, is_hot: np.ndarray) -> np.ndarray:
+    def route(self, suffixes: np.ndarray, hashes: np.ndarray, is_hot: np.ndarray) -> np.ndarray:
         """Bucket of each suffix: by its words up to the first that is not hot, two at least."""
-        route = np.full(len(columns[0]), xxhash.xxh64_intdigest(self.lang), np.uint64)
+        route = np.full(suffixes.shape[1], xxhash.xxh64_intdigest(self.lang), np.uint64)
         leads = np.ones(len(route), bool)
-        all_hot = is_hot[columns[0]]
-        for step, column in enumerate(columns):
+        all_hot = is_hot[suffixes[0]]
+        for step, words in enumerate(suffixes):
             if step >= 2:
-                all_hot = all_hot & is_hot[columns[step - 1]]
-                leads = all_hot & (column > 0)
-            route = np.where(leads, (route ^ hashes[column]) * _MIX[step % len(_MIX)], route)
+                all_hot = all_hot & is_hot[suffixes[step - 1]]
+                leads = all_hot & (words > 0)
+            route = np.where(leads, (route ^ hashes[words]) * _MIX[step % len(_MIX)], route)
             route ^= route >> np.uint64(31)
-        return (route % np.uint64(self.buckets)).astype(np.int64)
+        bucket = route % np.uint64(self.buckets)
+        return bucket.astype(np.uint16 if self.buckets <= 1 << 16 else np.int64)
 
 
 PACKED = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("used", pa.binary()), ("words", pa.binary()), ("suffixes", pa.binary()), ("counts", pa.binary())])
 
 
-def pack_suffixes(docs: DataFrame, buckets: int, hot: dict[str, frozenset[bytes]], sieve: Sieve, text_col: str, lang_col: str) -> DataFrame:
+def unpacked(row: dict) -> np.ndarray:
+    """Numbers of the suffixes in a row."""
+    three = np.frombuffer(row["suffixes"], np.uint8).reshape(LONGEST, 3, -1)
+    four = np.zeros((LONGEST, three.shape[2], 4), np.uint8)
+    four[:, :, :3] = three.transpose(0, 2, 1)
+    return four.view(np.int32)[:, :, 0]
+
+
+def pack_suffixes(docs: DataFrame, buckets: int, shared: Broadcast[Vocabulary], text_col: str, lang_col: str) -> DataFrame:
     """Suffixes of all texts, packed by chunk, language and bucket."""
-    shared = docs.sparkSession.sparkContext.broadcast(sieve)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks: dict[str, Chunk] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if lang not in chunks:
-                    chunks[lang] = Chunk(lang, buckets, hot.get(lang, frozenset()), shared.value)
+                    chunks[lang] = Chunk(lang, buckets, shared.value)
                 chunk, carried = chunks[lang], []
                 for found, last in blocks(text.as_py()):
                     found = carried + found
@@ -307,7 +338,7 @@ def _sorted_small(columns: np.ndarray, weights: np.ndarray, at: np.ndarray, dept
             yield int(at[starts[i]]), step + 1, int(counts[i])
 
 
-def count_phrases(packed: DataFrame, hot: dict[str, frozenset[bytes]], least: int, partitions: int) -> DataFrame:
+def count_phrases(packed: DataFrame, shared: Broadcast[Vocabulary], least: int, partitions: int) -> DataFrame:
     """lang, phrase and n of every phrase of two words or more that occurs ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,16 +354,20 @@ def count_phrases(packed: DataFrame, hot: dict[str, frozenset[bytes]], least: in
             yield from counted(at[0], held)
 
     def counted(lang: str, rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        numbers, columns = _Numbers(), []
+        vocabulary = shared.value
+        others, columns = {}, []
         for row in rows:
-            lookup = np.zeros(NUMBERS + 1, np.int32)
-            lookup[np.frombuffer(row["used"], np.uint16)] = [numbers[word] for word in row["words"].split(b" ")]
-            columns.append(lookup[np.frombuffer(row["suffixes"], np.uint16).reshape(LONGEST, -1)])
+            own = unpacked(row)
+            if row["used"]:
+                used = np.frombuffer(row["used"], np.int32)
+                lookup = np.arange(used[-1] + 1, dtype=np.int32)
+                lookup[used] = [others.setdefault(word, len(vocabulary.words) + len(others)) for word in row["words"].split(b" ")]
+                own = lookup[own]
+            columns.append(own)
         columns = np.concatenate(columns, axis=1)
         weights = np.concatenate([np.frombuffer(row["counts"], np.uint32) for row in rows]).astype(np.int64)
-        names = numbers.names
-        own = hot.get(lang, frozenset())
-        is_hot = np.fromiter((name in own for name in names), bool, len(names))
+        rest = list(others)
+        is_hot = vocabulary.is_hot(lang, len(vocabulary.words) + len(rest))
         found = [
             (pointer, words, count) for pointer, words, count in sort_pointers(columns, weights, least)
             if words == LONGEST or not is_hot[columns[:words, pointer]].all()
@@ -340,7 +375,10 @@ def count_phrases(packed: DataFrame, hot: dict[str, frozenset[bytes]], least: in
         found.extend(_hot_phrases(columns, weights, is_hot))
         for i in range(0, len(found), 50_000):
             some = found[i:i + 50_000]
-            phrases = [b" ".join([names[n] for n in columns[:words, pointer]]) for pointer, words, _ in some]
+            phrases = [
+                b" ".join([vocabulary.words[n] if n < len(vocabulary.words) else rest[n - len(vocabulary.words)] for n in columns[:words, pointer].tolist()])
+                for pointer, words, _ in some
+            ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(some), pa.string()), pa.array(phrases, pa.binary()), pa.array([c for *_, c in some], pa.int64())],
                 ["lang", "phrase", "n"])
@@ -358,26 +396,40 @@ def _hot_phrases(columns: np.ndarray, weights: np.ndarray, is_hot: np.ndarray) -
     for step in range(LONGEST - 1):
         keep = is_hot[columns[step][at]] & (columns[step][at] > 0)
         at = at[keep]
-        # at most HOT_WORDS numbers, so three of them fit
-        key = key[keep] << 20 | order[columns[step][at]]
+        # hot words are common, so three of their numbers fit
+        key = key[keep] << NUMBER_BITS | order[columns[step][at]]
         if step and len(at):
             _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
             counts = np.bincount(inverse, weights[at]).astype(np.int64)
             yield from ((int(at[i]), step + 1, int(c)) for i, c in zip(first, counts, strict=True))
 
 
+def vocabulary(words: DataFrame, least: int, hot: float, most: int = COMMON) -> Vocabulary:
+    """At most ``most`` common words, and those above ``hot`` occurrences among them."""
+    frequent = words.filter(F.col("n") >= least)
+    # words by eighths of a power of two of their count: a few hundred classes at most
+    size = F.floor(8 * F.log2("n")).cast("int")
+    from_size, held = None, 0
+    for row in sorted(frequent.groupBy(size.alias("size")).count().collect(), reverse=True):
+        held += row["count"]
+        if held > most:
+            break
+        from_size = row["size"]
+    common = frequent.filter(size >= from_size if from_size is not None else F.lit(False)).select("lang", "phrase", "n").toPandas()
+    common = common.sort_values(["n", "phrase"], ascending=[False, True])
+    named = {lang: [word.encode() for word in own["phrase"]] for lang, own in common[common["n"] > hot].groupby("lang")}
+    rest = frequent.filter(size < from_size) if from_size is not None else frequent
+    return Vocabulary([word.encode() for word in dict.fromkeys(common["phrase"])], named, Sieve(rest))
+
+
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, least: int = LEAST, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """Words, and phrases of ``least`` or more: lang, phrase, n each."""
     words = materialize(count_words(docs, text_col, lang_col))
     total = words.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket))
-    most = max(total / (4 * buckets), total / HOT_WORDS, 1)
-    hot: dict[str, set[bytes]] = {}
-    for row in words.filter(F.col("n") > most).collect():
-        hot.setdefault(row["lang"], set()).add(row["phrase"].encode())
-    hot = {lang: frozenset(found) for lang, found in hot.items()}
-    packed = pack_suffixes(docs, buckets, hot, Sieve(words.filter(F.col("n") >= least)), text_col, lang_col)
-    phrases = count_phrases(packed, hot, least, max(1, math.ceil(buckets / 2)))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(words, least, max(total / (4 * buckets), total / COMMON)))
+    packed = pack_suffixes(docs, buckets, shared, text_col, lang_col)
+    phrases = count_phrases(packed, shared, least, max(1, math.ceil(buckets / 2)))
     return words, materialize(phrases)
 
 

@@ -93,6 +93,17 @@ def test_sieve_passes_all_frequent_words(spark):
     assert sum(f"other{i}".encode() in sieve for i in range(5000)) < 250
 
 
+def test_words_beyond_the_common_ones(spark, monkeypatch):
+    """Phrases are the same whether their words are numbered for all or sent along."""
+    rows = random_rows(8, 200, 60)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    want = by_hand(rows, 5, 2000)
+    own = collocations.vocabulary
+    for most in (0, 7):
+        monkeypatch.setattr(collocations, "vocabulary", lambda words, least, hot: own(words, least, hot, most))
+        assert sorted(map(tuple, collocations.mine(docs, least=5, bucket=300).collect())) == want
+
+
 def test_quicksort_of_pointers():
     """Partitions against counting prefixes, with and without the outright sort."""
     rng = np.random.default_rng(3)
