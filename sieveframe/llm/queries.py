@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, divergence, hashing, html, language, mixing, packing, quality, sharding, simhash, warc
+from . import audit, collocations, divergence, hashing, html, language, lattice, mixing, packing, quality, sharding, simhash, warc
 from .common import table
 
 
@@ -65,12 +65,22 @@ def op11_suffix_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_skyband_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_layout, op2_pairwise_quality, op3_warc_shards, op4_multi_index_hashing, op5_pivotal_mixing, op6_minimax_shards, op7_divergence_rules, op8_deletion_simhash, op9_cross_parsing, op10_cost_packing,
-    op11_suffix_collocations,
+    op11_suffix_collocations, op12_lattice_hashing, op13_skyband_audit,
 )}
 ORACLE: dict[str, str] = {
     "op3_warc_shards": warc.oracle_sql(),
     "op7_divergence_rules": divergence.oracle_sql(),
     "op11_suffix_collocations": collocations.oracle_sql(),
+    "op12_lattice_hashing": lattice.oracle_sql(),
+    "op13_skyband_audit": audit.oracle_sql(),
 }
