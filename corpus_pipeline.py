@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveframe.llm import language, mixing, packing, quality, resemblance
+from sieveframe.llm import language, mixing, packing, quality, simhash
 from sieveframe.llm.common import table
 from sieveframe.sources.shared import materialize
 
@@ -25,9 +25,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles alike to 0.8
-    or more), that with the smallest id."""
-    return resemblance.drop_near_duplicates(docs)
+    """One document of each group that fingerprints within three bits link, that with the
+    smallest id."""
+    return simhash.drop_near_duplicates(docs, shingle=simhash.SHINGLE, radius=simhash.RADIUS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality classifier", quality_classifier),
     ("language identification", language_id),
-    ("near-duplicates", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("mixing", mix_sources),
     ("packing", pack_sequences),
 ]
