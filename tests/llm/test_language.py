@@ -76,3 +76,10 @@ def test_letters_of_large_alphabets_stay_apart(spark):
     assert len(held) > 10 and (held["lang_pred"] == held["lang"]).all()
     other = spark.createDataFrame([(1, written(0xA000, 7)), (2, written(0x8E00, 8)), (3, written(0xAC00, 9))], "doc_id long, text string")
     assert [r.doc_id for r in language.keep_identified(other, model).collect()] == [3]
+
+
+def test_short_texts_are_kept_whatever_the_samples(spark):
+    for rows in (10, 60):
+        docs = spark.createDataFrame([(i, text_in("aa", i), "aa") for i in range(rows)], "doc_id long, text string, lang string")
+        short = spark.createDataFrame([(1, "ok"), (2, "Ja"), (3, "?"), (4, None)], "doc_id long, text string")
+        assert sorted(r.doc_id for r in language.keep_identified(short, language.fit(docs)).collect()) == [1, 2]
