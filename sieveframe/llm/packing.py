@@ -13,6 +13,9 @@ are full. The tokens left when a partition ends make sequences whose lengths are
 powers of two, which need no padding. Memory is bounded by a window and by the
 longest text; a lost task is done again with the same result.
 
+A text that holds the name of one of the tokenizer's own tokens is encoded whole, as the
+tokenizer reads it; the ids of all others are put together from those of their words.
+
 Rows: NULL text counts as empty and gives the end token only; rows with the same
 id are packed as separate documents; an empty table gives no rows.
 """
@@ -20,8 +23,8 @@ id are packed as separate documents; an empty table gives no rows.
 from __future__ import annotations
 
 import itertools
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +40,9 @@ WINDOW_TOKENS = 4_000_000
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 #: Texts turned into Python strings at a time.
 SLICE = 256
-#: Entries of the two word caches of a Python worker; a full cache is emptied.
-CACHE_ENTRIES = 450_000
+#: Entries of the word cache of a Python worker, and their bytes; a full cache is emptied.
+CACHE_ENTRIES = 250_000
+CACHE_BYTES = 16_000_000
 
 SCHEMA = (
     "{id} {type}, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -77,6 +81,7 @@ def pack(
                 yield from packer.rows(id_type, 20_000)
         packer.finish()
         yield from packer.rows(id_type, 0)
+        pa.default_memory_pool().release_unused()
 
     schema = SCHEMA.format(id="__id", type=kind)
     id_type = to_arrow_type(chosen.schema["id"].dataType)
@@ -151,8 +156,13 @@ class Packer:
 
 
 _encoders: dict[tuple[str, int], object] = {}
-# A word, and what follows its last letter or digit; punctuation there is a token of its own.
-_ENDING = re.compile(rb"(.*[a-z0-9])([^a-z0-9\x80-\xff]+)", re.S)
+# Punctuation behind a letter or digit is a token of its own.
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+# Bytes as the letters that byte-level tokenizers show them as: themselves where they can
+# be seen, else the next letters from 256 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: b for b in _SEEN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SEEN)}
+_PLAIN_ENDS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
 
 def word_encoder(path: str, end_id: int):
@@ -173,53 +183,60 @@ class _WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        # lets a run of letters be told from the next one in the ids of many words
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.last[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        # a text that may hold the name of one of the tokenizer's own tokens is encoded whole
+        self.own = [token.content.lower().encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        # a word of plain letters needs no normalizing and no cutting, if the tokenizer reads bytes
+        self.direct = all(self.letters(word) == self.ids(word) for word in ("the", "étranger", "straße", "žluťoučký"))
         self.end = int(end_id).to_bytes(4, "little")
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.held = 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [text.encode().lower().split() for text in texts]  # ASCII case and white space only
+        lowered = [text.encode().lower() for text in texts]  # ASCII case only
+        whole = [any(name in text for name in self.own) for text in lowered]
+        split = [[] if apart else text.split() for text, apart in zip(lowered, whole, strict=True)]  # ASCII white space only
         new = set(itertools.chain.from_iterable(split)).difference(self.words)
-        if new:
-            if len(self.words) + len(new) > CACHE_ENTRIES:
-                self.words.clear()
-                new = set(itertools.chain.from_iterable(split))
-            self.learn(new)
+        if len(self.words) + len(new) > CACHE_ENTRIES or self.held > CACHE_BYTES:
+            self.words, self.held = {}, 0
+            new = set(itertools.chain.from_iterable(split))
+        self.learn(new)
         known = self.words.__getitem__
-        return [b"".join(map(known, found)) + self.end for found in split]
+        return [
+            (self.ids(text) if apart else b"".join(map(known, found))) + self.end
+            for text, apart, found in zip(texts, whole, split, strict=True)
+        ]
+
+    def ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def letters(self, text: str) -> bytes:
+        """Ids of lower-case Latin letters, from the merges alone."""
+        return array("I", [token.id for token in self.model.tokenize(text.encode().decode("latin-1").translate(_SHOWN))]).tobytes()
 
     def learn(self, new: set[bytes]) -> None:
-        divided = {}
+        """Ids of new words; a word and what punctuation follows it are learned apart."""
+        parts, joined = set(), []
         for word in new:
-            match = _ENDING.fullmatch(word)
-            divided[word] = match.groups() if match else (word,)
-        parts = set(itertools.chain.from_iterable(divided.values())).difference(self.parts)
-        if len(self.parts) + len(parts) > CACHE_ENTRIES:
-            self.parts.clear()
-            parts = set(itertools.chain.from_iterable(divided.values()))
-        self.encode(sorted(parts))
-        for word, own in divided.items():
-            self.words[word] = b"".join(map(self.parts.__getitem__, own))
+            stem = word.rstrip(_PUNCTUATION)
+            if stem and len(stem) < len(word) and stem[-1] in _PLAIN_ENDS:
+                joined.append((word, stem, word[len(stem):]))
+            else:
+                parts.add(word)
+        parts.update(itertools.chain.from_iterable(both for _, *both in joined))
+        self.encode(sorted(parts.difference(self.words)))
+        for word, stem, rest in joined:
+            self.words[word] = self.words[stem] + self.words[rest]
+        self.held += sum(len(word) + len(self.words[word]) for word in new)
 
     def encode(self, parts: list[bytes]) -> None:
-        texts = [part.decode() for part in parts]
-        plain = [at for at, text in enumerate(texts) if text.lower().isalpha()]
-        rest = set(range(len(texts))).difference(plain)
-        for at in range(0, len(plain), 1000):
-            some = plain[at:at + 1000]
-            joined = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in some)], add_special_tokens=False)[0]
-            ids = np.array(joined.ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(some):
-                rest.update(some)
-                continue
-            for i, own in zip(some, np.split(ids, ends[:-1]), strict=True):
-                self.parts[parts[i]] = own.tobytes()
-        rest = sorted(rest)
-        for i, found in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
-            self.parts[parts[i]] = np.array(found.ids, "<u4").tobytes()
+        rest = []
+        for part in parts:
+            text = part.decode()
+            if self.direct and text.isalpha() and (text.isascii() or max(text) < "\u0250" and text == text.lower()):
+                self.words[part] = self.letters(text)
+            else:
+                rest.append((part, text))
+        found = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
+        for (part, _), own in zip(rest, found, strict=True):
+            self.words[part] = array("I", own.ids).tobytes()

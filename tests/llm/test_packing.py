@@ -13,7 +13,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def ids_of(text):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
 
 
@@ -59,3 +58,27 @@ def test_small_cache_gives_the_same_ids(monkeypatch):
     texts = ["Some words, and the same words again; İstanbul's 42nd çà.", "words! words? re-words 3.14", ""] * 3
     monkeypatch.setattr(packing, "CACHE_ENTRIES", 4)
     assert packing._WordEncoder(PATH, 1)(texts) == [ids_of(t).tobytes() for t in texts]
+
+
+def test_ids_are_the_tokenizers(spark):
+    """Names of the tokenizer's own tokens, alphabets, contractions and runs of punctuation."""
+    texts = [
+        "a <|endoftext|> b", "x<|startoftext|>y <|endoftext|>", "<|ENDOFTEXT|> <|End", "İstanbul ΣΑΣ ǅ straße ÉTÉ e\u0301t\u0301", "don't can't'll 'tis foo's. bar'.",
+        "wait... what?! (yes) [no] {a} a--b 3.14, 1,000; x_y", "日本語テキスト、ひらがな。 한국어", "\u200bzero\u00a0width \u2003em", "ŉ ǰ ẞ ſ ﬁ", "aı iI \u0130i",
+        "word," * 50 + " word. word; WORD! wörd?", "", " \t\n", "\x00 \x1f a\x07b",
+    ]
+    encode = packing.word_encoder(PATH, 1)
+    for text, got in zip(texts, encode(texts), strict=True):
+        assert got == ids_of(text).tobytes(), text
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.pack(docs, PATH).toPandas()
+    assert {r.doc_id: r.doc_tokens for r in pieces.itertuples()} == {i: len(ids_of(t)) for i, t in enumerate(texts)}
+    assert 49407 in ids_of(texts[0]) and 49406 in ids_of(texts[1])
+
+
+def test_small_caches_change_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 5)
+    texts = ["one two, three four. five six seven", "two three eight nine ten, one"] * 3
+    encode = packing._WordEncoder(PATH, 1)
+    for at in range(0, 6, 2):
+        assert encode(texts[at:at + 2]) == [ids_of(t).tobytes() for t in texts[at:at + 2]]

@@ -16,13 +16,13 @@ def test_stages_follow_from_one_another(spark):
         if name != "packing":
             assert at.columns == docs.columns
     names = [name for name, _ in corpus_pipeline.STAGES]
-    assert names == ["quality classifier", "language identification", "near-duplicates", "mixing", "packing"]
+    assert names == ["quality classifier", "language identification", "SimHash near-dedup", "mixing", "packing"]
     good = seen["language identification"]
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     assert good.join(labels, "doc_id").filter("quality = 0").count() == 0
     assert docs.join(labels, "doc_id").filter("quality = 1").join(good, "doc_id", "left_anti").count() == 0
     unique = seen["mixing"]
-    assert unique.count() == simhash.near_duplicates(seen["near-duplicates"]).select("component_id").distinct().count()
+    assert unique.count() == simhash.near_duplicates(seen["SimHash near-dedup"]).select("component_id").distinct().count()
     mixed = seen["packing"]
     assert mixed.count() == mixing.mix(unique).agg({"copies": "sum"}).first()[0]
     assert at.filter("start = 0").count() == mixed.count()
