@@ -192,10 +192,14 @@ WITH d AS (
         ON t.lang IS NOT DISTINCT FROM u.lang AND t.word = u.word
         GROUP BY t.rid, place
     ) GROUP BY rid
+), placed AS (
+    SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d
+), windows AS (
+    SELECT rid, i, word AS w0, {", ".join(f"lead(word, {k}) OVER (PARTITION BY rid ORDER BY i) AS w{k}" for k in range(1, WINDOW))} FROM placed
 ), starts AS (
     SELECT rid, i FROM (
-        SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS c
-        FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d)
+        SELECT rid, i, count(*) OVER (PARTITION BY rid, concat_ws(' ', {", ".join(f"w{k}" for k in range(WINDOW))})) AS c
+        FROM windows WHERE w{WINDOW - 1} IS NOT NULL
     ) WHERE c > 1
 ), repeated AS (
     SELECT rid, sum(least({WINDOW}, coalesce(after - i, {WINDOW}))) AS n_repeat FROM (
