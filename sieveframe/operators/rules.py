@@ -2,20 +2,31 @@
 
 Rules are rows ``rule_id, op, value_text, not``. Their texts are read with
 Column expressions, so any number of rules is parsed as a Spark job. Rows and
-rules then meet in places, through one equality join over one scan of the rows:
+rules then meet in places, through one equality join over one scan of the rows,
+and a rule is filed only where rows that may fit come by:
 
 * ``in`` rules wait at the hash of each listed value.
 * ``range`` rules with two ends wait at bins. A rule is filed under a bin width
   of at least its own span, so it takes very few bins; a row looks into one bin
   per width in use.
-* the rest (masks, open ranges, complements) hold for a good part of all rows
-  whatever the plan. They wait in shared places that every row visits.
-
-The exact test is the condition of the join. Rules are broadcast only after
-their number and text size were measured. Beyond that bound the same join runs
-shuffled: rows are dealt out over salts, rules are copied to every salt, and the
-shared place is cut into chunks, so that no value, bin or rule gathers in one
-task.
+* ``range`` rules with one end, and complements of ranges, wait at nodes of a tree
+  over the ends: a threshold covers all that lies on one side of it with a few nodes
+  a level, and a row visits the nodes on its path, so it meets a rule once, and only
+  rules near their own end are tested in vain.
+* ``cbit`` rules wait at the rarest of their bits, ``bit`` rules at each of them, and
+  a row visits the bits it has set. A pair counts at the lowest bit that both share.
+  Complements do the same with bits that are not set.
+* what holds for every row, or every row with a value, or every row without, waits in
+  a place of its own.
+
+Complements of ``in`` rules hold for nearly every row, so they are not tested one by
+one: rows meet them by the ``CHUNK``, and the rules that list the row's value, found by
+an equality join, are taken out of the chunk.
+
+The exact test is the condition of the join. Rules are broadcast only after their
+number, text size and places were measured. Beyond that bound the same join runs
+shuffled: a sketch finds the places that many rows visit, and only those rows are
+dealt out over salts and only the rules that wait there are copied to them.
 """
 
 from __future__ import annotations
@@ -43,25 +54,33 @@ from ..functions.values import (
     typed_column,
 )
 from ..sources.shared import materialize
-from .skew import COUNTABLE, find_hot_keys, hot_share
+from .skew import find_hot_keys, hot_share
 
 OPS = ("in", "range", "bit", "cbit")
-#: Largest rule set that is broadcast: rules, places they take (a listed value
-#: each, at most three bins) per rule, and text.
+#: Largest rule set that is broadcast: rules, places they take per rule, and text.
 BROADCAST_RULES = 10_000
 PLACES_PER_RULE = 20
-BINS_PER_RULE = 3
 BROADCAST_TEXT_BYTES = 8 * 1024 * 1024
-#: Least spread of the shuffled join; more with more shuffle partitions.
+#: Least number of tasks a place that many rows visit is dealt out to.
 SALTS = 32
-#: Kinds of rules. Outside the range of bin widths, so they serve as place names too.
-VALUE, BINNED, SHARED = -10_000, -10_001, -10_002
-PLACES = "array<struct<width:int,bin:bigint,salt:int>>"
+#: Kinds of rules.
+LISTED, EXCEPT, BINNED, SIDED, MASKED, ANYWHERE = range(6)
+#: Kinds of places. Outside the range of bin widths, which name places too; tree levels
+#: go down from NODE.
+VALUE, BIT_ON, BIT_OFF, VALUED, NONE, EVERY, NODE = range(-10_000, -10_007, -1)
+PLACES = "array<struct<width:int,bin:bigint>>"
 #: Bin widths are powers of 2 ** WIDTH_STEP, to keep the number of widths low.
 WIDTH_STEP = 2
+BINS_PER_RULE = 3
 #: Bins narrower than this share of the ends' size would exceed double precision.
 PRECISION_BITS = 50
 LARGEST_BITS = 900
+#: Bits of a tree level, and levels at most. Leaves outnumber the ends by 2 ** SPARE_BITS.
+NODE_BITS, LEVELS, SPARE_BITS = 4, 7, 8
+#: Complements of lists that a row meets at once.
+CHUNK = 1000
+#: Bytes of a text that tell its position.
+TEXT_BYTES = 6
 
 
 @dataclass(frozen=True)
@@ -139,120 +158,305 @@ def match_rules(
     """``key, rule_id`` for every row and rule that fit. Rules that cannot be
     read match nothing; ``parse_rules`` lists them with the reason.
 
-    The rules are parsed once and stored, and a small aggregate over them
-    chooses the plan. The rows are not touched before the result is read, unless
-    the rules are too many to broadcast: then one pass over the column looks for
-    frequent values.
+    The rules are read first, and a small aggregate over them chooses the plan. The
+    column is read before the result only to count the bits it has set, where a
+    ``cbit`` rule has several, and to find frequent places, where the rules are too
+    many to broadcast. A stream is not read ahead: its rules go by their highest bit,
+    and all its places are spread.
     """
     column = resolve(df, col)
     dtype = type_of(df, column)
-    valid = parse_rules(rules, dtype).valid
-    valid = materialize(valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype)))
-    # widths are exponents of doubles in steps, so there is a bound to their number too
-    places = F.when(F.col("kind") == VALUE, F.size("listed")).otherwise(F.lit(BINS_PER_RULE))
-    size = valid.agg(
-        F.count("*").alias("n"),
-        F.count(F.when(F.col("kind") == SHARED, 1)).alias("shared"),
-        F.coalesce(F.sum("text_size"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.sum(places), F.lit(0)).alias("places"),
-        F.collect_set("width").alias("widths"),
-    ).first()
-    small = (
-        size["n"] <= broadcast_rules
-        and size["places"] <= broadcast_rules * PLACES_PER_RULE
-        and size["bytes"] <= BROADCAST_TEXT_BYTES
-    )
-    chunks = 1 if small else max(1, math.ceil(size["shared"] / max(broadcast_rules, 1)))
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # few places must still make work for all tasks
-    salts = 1 if small else max(SALTS, tasks)
-    shared_salts = 1 if small else max(SALTS, math.ceil(tasks / chunks))
+    valid, few = _stored(rules, dtype, broadcast_rules)
+    seen = _summary(valid, dtype)
+    levels = _levels(seen["sided"])
+    places = seen["listed"] + seen["binned"] * BINS_PER_RULE + seen["bits"] + seen["sided"] * levels * 2**NODE_BITS
+    small = few and places <= broadcast_rules * PLACES_PER_RULE
 
     # own names for the keys, so that none is taken for a column of the rules
     keys = {f"__k_{i}": k for i, k in enumerate([key] if isinstance(key, str) else key)}
     bits = long_value(column, dtype) if _has_bits(dtype) else F.lit(0).cast("bigint")
     rows = df.select(*[F.col(k).alias(n) for n, k in keys.items()], _plain_zero(column, dtype).alias("__v"), bits.alias("__bits"))
-    salt = _salt(keys, salts)
-    # listed values are many and mostly rare, so only the frequent ones are salted
-    countable = isinstance(dtype, COUNTABLE) and not df.isStreaming
-    hot = find_hot_keys(rows, "__v", hot_share(df.sparkSession)) if countable and not small else []
-    value_salt = F.when(F.col("__v").isin(*hot), salt).otherwise(F.lit(0)) if hot else F.lit(0)
-    visited = [_place(VALUE, F.xxhash64("__v"), value_salt)] + [
-        _place(w, _bin(_position(F.col("__v"), dtype), w), salt) for w in sorted(size["widths"])
-    ]
-    visited = F.when(F.col("__v").isNotNull(), F.array(*visited)).otherwise(F.array().cast(PLACES))
-    if size["shared"]:
-        shared_salt = _salt(keys, shared_salts)
-        if chunks == 1:
-            everywhere = F.array(_place(SHARED, F.lit(0), shared_salt))
-        else:
-            everywhere = F.transform(
-                F.sequence(F.lit(0), F.lit(chunks - 1)), lambda c: _place(SHARED, c, shared_salt)
-            )
-        visited = F.concat(visited, everywhere)
+    grid = Grid.over(seen, levels)
+    order = {on: _bit_order(rows, seen[f"{on}_all"], on) for on in ("on", "off")}
+    visited = _visited(dtype, seen, grid, order)
+    if not small:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = _Spread(rows, visited, keys, max(SALTS, tasks))
+        visited = F.transform(visited, lambda at: F.struct(at["width"].alias("width"), at["bin"].alias("bin"), spread.row(at).alias("salt")))
     visits = rows.withColumn("__at", F.explode(visited))
 
-    waiting = _waiting(valid, dtype, chunks, {BINNED: salts, SHARED: shared_salts, VALUE: salts}, hot)
-    # by the count above; Spark's own estimate does not see the places
-    waiting = F.broadcast(waiting) if small else waiting.hint("merge")
-    same = [F.col(f"__at.{part}") == F.col(f"__r_{part}") for part in ("width", "bin", "salt")]
+    waiting = _waiting(valid, dtype, grid, order)
+    parts = ["width", "bin"]
+    if small:
+        waiting = F.broadcast(waiting)  # by the count above; Spark's own estimate does not see the places
+    else:
+        waiting = waiting.withColumn("__r_salt", F.explode(spread.rule(F.col("__r")))).hint("merge")
+        visits = visits.withColumn("__salt", F.col("__at.salt"))
+    same = [F.col(f"__at.{part}") == F.col(f"__r.{part}") for part in parts]
+    if not small:
+        same.append(F.col("__salt") == F.col("__r_salt"))
     pairs = visits.join(waiting, [*same, _fits(dtype)], "inner")
-    return pairs.select(*[F.col(n).alias(k) for n, k in keys.items()], "rule_id")
+    names = [F.col(n).alias(k) for n, k in keys.items()]
+    pairs = pairs.select(*names, "rule_id")
+    if not seen["except"]:
+        return pairs
+    return pairs.union(_except_listed(rows, valid, seen["except"], small, keys).select(*names, "rule_id"))
+
+
+def _stored(rules: DataFrame, dtype: T.DataType, most: int) -> tuple[DataFrame, bool]:
+    """The rules that can be read, and whether they are few. Few texts, counted first,
+    become part of the plan; others are parsed once and stored."""
+    given = rules.select("rule_id", "op", "value_text", *(["not"] if "not" in rules.columns else []))
+    plain = isinstance(rules.schema["rule_id"].dataType, (T.IntegralType, T.StringType))
+    size = given.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("value_text")), F.lit(0)).alias("bytes"), F.max(F.contains("value_text", F.lit("NOW"))).alias("now")).first()
+    few = size["n"] <= most and size["bytes"] <= BROADCAST_TEXT_BYTES
+    # NOW must not move between reading and matching
+    if few and plain and not size["now"]:
+        given = rules.sparkSession.createDataFrame(given.collect(), given.schema)
+    valid = parse_rules(given, dtype).valid.withColumn("__rid", F.monotonically_increasing_id())
+    valid = valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype))
+    return (valid if few and plain and not size["now"] else materialize(valid)), few
+
+
+def _summary(valid: DataFrame, dtype: T.DataType) -> dict:
+    """What the plan depends on, one row of fixed size."""
+    kind, zero = F.col("kind"), F.lit(0).cast("bigint")
+    is_any = (F.col("op") == "bit") != F.col("negated")
+    masks = {
+        f"{on}_{some}": F.coalesce(F.bit_or(F.when((kind == MASKED) & (F.col("negated") == (on == "off")) & (is_any == (some == "any")), F.col("mask"))), zero)
+        for on in ("on", "off") for some in ("any", "all")
+    }
+    ends = [_scaled(_position(F.col(c), dtype)) for c in ("lower", "upper")]
+    finite = [F.when((kind == SIDED) & (F.abs(e) < float("inf")), e) for e in ends]
+    # widths are exponents of doubles in steps, so there is a bound to their number too
+    return valid.agg(
+        F.coalesce(F.sum(F.when(kind == LISTED, F.size("listed"))), zero).alias("listed"),
+        *(F.count(F.when(kind == k, 1)).alias(name) for k, name in ((BINNED, "binned"), (SIDED, "sided"), (EXCEPT, "except"), (ANYWHERE, "anywhere"))),
+        F.coalesce(F.sum(F.when(kind == MASKED, F.bit_count("mask"))), zero).alias("bits"),
+        F.collect_set("width").alias("widths"), F.min(F.least(*finite)).alias("low"), F.max(F.greatest(*finite)).alias("high"),
+        *(c.alias(name) for name, c in masks.items()),
+    ).first().asDict()
 
 
-def _salt(keys: Iterable[str], ways: int) -> Column:
-    return F.lit(0) if ways == 1 else F.pmod(F.xxhash64(*keys, "__v"), F.lit(ways))
+def _levels(ends: int) -> int:
+    return min(LEVELS, math.ceil((math.log2(max(ends, 1)) + SPARE_BITS) / NODE_BITS))
 
 
-def _place(width: int | Column, bin_: Column, salt: Column) -> Column:
+@dataclass(frozen=True)
+class Grid:
+    """A tree over scaled positions. The first and last leaf are for what lies outside
+    the ends of all rules."""
+
+    low: float
+    high: float
+    levels: int
+
+    @staticmethod
+    def over(seen: dict, levels: int) -> Grid:
+        low = seen["low"] if seen["low"] is not None else 0.0
+        return Grid(low, seen["high"] if seen["high"] is not None else low, levels)
+
+    def leaf(self, scaled: Column) -> Column:
+        inside = 2 ** (NODE_BITS * self.levels) - 3
+        steps = inside / (self.high - self.low) if self.high > self.low else 0.0
+        at = F.floor(F.least(F.greatest((scaled - self.low) * steps, F.lit(0.0)), F.lit(float(inside)))) + 1
+        last = F.lit(inside + 2).cast("bigint")
+        return F.when(scaled < self.low, F.lit(0).cast("bigint")).when(scaled > self.high, last).otherwise(at.cast("bigint"))
+
+    def path(self, leaf: Column) -> list[Column]:
+        return [_place(NODE - k, F.shiftright(leaf, NODE_BITS * k)) for k in range(self.levels)]
+
+    def beside(self, leaf: Column, above: bool) -> Column:
+        """Nodes that cover the leaf and all above it, or all below it; none twice."""
+        digits, nodes = F.array(*(F.lit(d).cast("bigint") for d in range(2**NODE_BITS))), [F.array(_place(NODE, leaf))]
+        for k in range(self.levels):
+            at = F.shiftright(leaf, NODE_BITS * k)
+            own = at.bitwiseAND(F.lit(2**NODE_BITS - 1))
+            further = F.filter(digits, lambda d: d > own if above else d < own)  # noqa: B023
+            nodes.append(F.transform(further, lambda d: _place(NODE - k, at - own + d)))  # noqa: B023
+        return F.concat(*nodes).cast(PLACES)
+
+
+def _bit_order(rows: DataFrame, mask: int, on: str) -> list[int]:
+    """Bits of ``mask``, those that fewest rows have (or, for ``off``, lack) first."""
+    bits = [b for b in range(64) if mask >> b & 1]
+    if len(bits) < 2 or rows.isStreaming:
+        return bits[::-1]
+    found = rows.agg(*(F.count(F.when((F.shiftright("__bits", b).bitwiseAND(F.lit(1)) == 1) == F.lit(on == "on"), 1)).alias(f"b{b}") for b in bits)).first()
+    return sorted(bits, key=lambda b: (found[f"b{b}"], b))
+
+
+def _visited(dtype: T.DataType, seen: dict, grid: Grid, order: dict[str, list[int]]) -> Column:
+    """Places of a row, only those of kinds that a rule may wait at."""
+    v, nowhere = F.col("__v"), F.array().cast(PLACES)
+    with_value, ordered, always = [], [], []
+    if seen["listed"]:
+        with_value.append(_place(VALUE, F.xxhash64("__v")))
+    if seen["anywhere"]:
+        with_value.append(_place(VALUED, F.lit(0)))
+        always.append(F.array(_place(EVERY, F.lit(0))))
+    missing = v.isNull()
+    if _has_position(dtype):
+        if isinstance(dtype, FRACTIONAL):
+            missing = missing | F.isnan(v)
+        position = _position(v, dtype)
+        ordered = [_place(w, _bin(position, w)) for w in sorted(seen["widths"])]
+        if seen["sided"]:
+            ordered += grid.path(grid.leaf(_scaled(position)))
+    out = [F.when(v.isNotNull(), F.array(*with_value)).otherwise(nowhere)] if with_value else []
+    if ordered:
+        out.append(F.when(~missing, F.array(*ordered)).otherwise(nowhere))
+    if seen["sided"] or seen["anywhere"]:
+        out.append(F.when(missing, F.array(_place(NONE, F.lit(0)))).otherwise(nowhere))
+    for on, kind, bits in (("on", BIT_ON, F.col("__bits")), ("off", BIT_OFF, F.bitwise_not("__bits"))):
+        used = sorted({*order[on], *(b for b in range(64) if seen[f"{on}_any"] >> b & 1)})
+        if used:
+            held = F.filter(F.array(*(F.lit(b) for b in used)), lambda b: F.call_function("shiftright", bits, b).bitwiseAND(F.lit(1)) == 1)  # noqa: B023
+            out.append(F.transform(held, lambda b: _place(kind, b)))  # noqa: B023
+    out += always
+    return F.concat(*out).cast(PLACES) if out else nowhere
+
+
+def _place(width: int | Column, bin_: Column) -> Column:
     width = F.lit(width) if isinstance(width, int) else width
-    return F.struct(
-        width.cast("int").alias("width"), bin_.cast("bigint").alias("bin"), salt.cast("int").alias("salt")
-    )
+    return F.struct(width.cast("int").alias("width"), bin_.cast("bigint").alias("bin"))
 
 
-def _waiting(
-    rules: DataFrame, dtype: T.DataType, chunks: int, salts: dict[int, int], hot: list
-) -> DataFrame:
-    """Rules with the places they wait at; ``in`` rules once per listed value."""
-    # the lone NULL keeps rules that list nothing
-    rules = rules.withColumn("__r_value", F.explode(
-        F.when(F.col("kind") == VALUE, F.col("listed")).otherwise(F.array(F.lit(None).cast(dtype)))
-    ))
-    # a listed value needs its list no longer; a copy per value would grow with its square
-    rules = rules.withColumn("listed", F.when(F.col("kind") == SHARED, F.col("listed")))
-    chunk = F.array(F.pmod(F.xxhash64("rule_id"), F.lit(chunks)).cast("bigint"))
-    bins = F.when(F.col("kind") == VALUE, F.array(F.xxhash64("__r_value"))).otherwise(chunk)
+class _Spread:
+    """Salts of the places that many rows visit; of all places in a stream."""
+
+    def __init__(self, rows: DataFrame, visited: Column, keys: Iterable[str], salts: int):
+        self.salts, self.keys, self.hot = salts, list(keys), None
+        if not rows.isStreaming:
+            visits = rows.select(F.explode(visited).alias("at")).select(self._name(F.col("at")).alias("at"))
+            self.hot = find_hot_keys(visits, "at", hot_share(rows.sparkSession))
+
+    @staticmethod
+    def _name(at: Column) -> Column:
+        return F.xxhash64(at["width"], at["bin"])
+
+    def _is_hot(self, at: Column) -> Column:
+        if self.hot is None:
+            return F.lit(True)
+        return self._name(at).isin(*self.hot) if self.hot else F.lit(False)
+
+    def row(self, at: Column) -> Column:
+        dealt = F.pmod(F.xxhash64(*self.keys, "__v"), F.lit(self.salts)).cast("int")
+        return F.when(self._is_hot(at), dealt).otherwise(F.lit(0))
+
+    def rule(self, at: Column) -> Column:
+        return F.when(self._is_hot(at), F.sequence(F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0)))
+
+
+def _waiting(rules: DataFrame, dtype: T.DataType, grid: Grid, order: dict[str, list[int]]) -> DataFrame:
+    """Rules once per place they wait at, as ``__r``; with the value at places of values."""
+    nothing, kind, negated = F.lit(None).cast(dtype), F.col("kind"), F.col("negated")
+    places = F.when(kind == ANYWHERE, F.array(_anywhere(dtype))).when(kind == MASKED, _bits_filed(order))
     if _has_position(dtype):
-        low, high = _position(F.col("lower"), dtype), _position(F.col("upper"), dtype)
+        low, high = (_position(F.col(c), dtype) for c in ("lower", "upper"))
         spanned = F.when(low <= high, F.sequence(_bin(low, F.col("width")), _bin(high, F.col("width"))))
-        bins = F.when(F.col("kind") == BINNED, spanned).otherwise(bins)
-    width = F.when(F.col("kind") == BINNED, F.col("width")).otherwise(F.col("kind"))
-    rare = ~F.col("__r_value").isin(*hot) if hot else F.lit(True)
-    last_salt = (
-        F.when((F.col("kind") == VALUE) & rare, F.lit(0))
-        .when(F.col("kind") == SHARED, F.lit(salts[SHARED] - 1))
-        .when(F.col("kind") == BINNED, F.lit(salts[BINNED] - 1))
-        .otherwise(F.lit(salts[VALUE] - 1))
-    )
-    return (
-        rules.withColumns({"__r_width": width, "__r_bin": F.explode(bins)})
-        .withColumn("__r_salt", F.explode(F.sequence(F.lit(0), last_salt)))
-    )
+        below, above = _ends(dtype)
+        at_low, at_high = (grid.leaf(_scaled(end)) for end in (low, high))
+        nowhere = F.array().cast(PLACES)
+        # a complement holds below the lower end, above the upper one, and where nothing is
+        outside = F.array_distinct(F.concat(
+            F.when(below, grid.beside(at_low, False)).otherwise(nowhere), F.when(above, grid.beside(at_high, True)).otherwise(nowhere),
+            F.array(_place(NONE, F.lit(0)))))
+        inside = F.when(below, grid.beside(at_low, True)).otherwise(grid.beside(at_high, False))
+        places = places.when(kind == BINNED, F.transform(spanned, lambda b: _place(F.col("width"), b)))
+        places = places.when(kind == SIDED, F.when(negated, outside).otherwise(inside))
+    listed = F.transform("listed", lambda v: F.struct(F.lit(VALUE).alias("width"), F.xxhash64(v).alias("bin"), v.alias("value")))
+    others = F.transform(places, lambda at: F.struct(at["width"].alias("width"), at["bin"].alias("bin"), nothing.alias("value")))
+    filed = rules.filter(kind != EXCEPT).withColumn("__r", F.explode(F.when(kind == LISTED, listed).otherwise(others)))
+    # the value a rule waits with is all of its list that is needed there
+    return filed.select("rule_id", "op", "negated", "kind", "lower", "upper", "include_lower", "include_upper", "mask", "__r")
+
+
+def _bits_filed(order: dict[str, list[int]]) -> Column:
+    """``cbit`` rules at the rarest bit of their mask, ``bit`` rules at each; complements
+    the other way round, among the bits that are off."""
+    negated, mask = F.col("negated"), F.col("mask")
+    is_any = (F.col("op") == "bit") != negated
+    place = F.when(negated, F.lit(BIT_OFF)).otherwise(F.lit(BIT_ON))
+
+    def of(bits: Iterable[int]) -> Column:
+        every = F.array(*(F.lit(b) for b in bits)).cast("array<int>")
+        return F.filter(every, lambda b: F.call_function("shiftright", mask, b).bitwiseAND(F.lit(1)) == 1)
+
+    rarest = F.slice(F.when(negated, of(order["off"])).otherwise(of(order["on"])), 1, 1)
+    return F.transform(F.when(is_any, of(range(64))).otherwise(rarest), lambda b: _place(place, b))
+
+
+def _ends(dtype: T.DataType) -> tuple[Column, Column]:
+    """Whether a range really ends below and above; an infinite end that is included does not."""
+    below, above = F.col("lower").isNotNull(), F.col("upper").isNotNull()
+    if isinstance(dtype, FRACTIONAL):
+        below = below & ~((F.col("lower") == float("-inf")) & F.col("include_lower"))
+        above = above & ~((F.col("upper") == float("inf")) & F.col("include_upper"))
+    return below, above
 
 
 def _kind(dtype: T.DataType) -> Column:
-    two_ends = F.col("lower").isNotNull() & F.col("upper").isNotNull() & ~F.col("negated")
-    kind = F.when((F.col("op") == "in") & ~F.col("negated"), F.lit(VALUE))
+    op, negated = F.col("op"), F.col("negated")
+    kind = F.when(op == "in", F.when(negated, F.lit(EXCEPT)).otherwise(F.lit(LISTED)))
+    kind = kind.when(op.isin("bit", "cbit"), F.when(F.col("mask") == 0, F.lit(ANYWHERE)).otherwise(F.lit(MASKED)))
     if _has_position(dtype):
-        # infinite, NaN or astronomic ends cannot be cut into a few bins
+        below, above = _ends(dtype)
+        empty = F.coalesce(F.col("lower") > F.col("upper"), F.lit(False))
+        if isinstance(dtype, FRACTIONAL):
+            empty = empty | F.coalesce(F.isnan("lower"), F.lit(False)) | F.coalesce(F.isnan("upper"), F.lit(False))
+        # infinite or astronomic ends cannot be cut into a few bins
         near = F.greatest(*[F.abs(_position(F.col(c), dtype)) for c in ("lower", "upper")]) < 2.0**LARGEST_BITS
-        kind = kind.when((F.col("op") == "range") & two_ends & near, F.lit(BINNED))
-    return kind.otherwise(F.lit(SHARED))
+        two_ends = F.col("lower").isNotNull() & F.col("upper").isNotNull() & ~negated
+        kind = kind.when(empty | ~(below | above), F.lit(ANYWHERE)).when(two_ends & near, F.lit(BINNED)).otherwise(F.lit(SIDED))
+    return kind.otherwise(F.lit(ANYWHERE)) if not _has_position(dtype) else kind
+
+
+def _anywhere(dtype: T.DataType) -> Column:
+    """The place of rules that hold for every row, for every row with a value or for
+    those without; what holds for none waits there too and is refused by the test."""
+    op, negated = F.col("op"), F.col("negated")
+    if not _has_position(dtype):
+        return F.when((op == "range") & ~negated, _place(VALUED, F.lit(0))).otherwise(_place(EVERY, F.lit(0)))
+    below, above = _ends(dtype)
+    open_ = (op == "range") & ~(below | above)
+    return (
+        F.when(open_ & negated, _place(NONE, F.lit(0))).when((op == "range") & ~negated, _place(VALUED, F.lit(0)))
+        .otherwise(_place(EVERY, F.lit(0)))
+    )
+
+
+def _except_listed(rows: DataFrame, valid: DataFrame, count: int, small: bool, keys: Iterable[str]) -> DataFrame:
+    """Rows with the complements of lists that hold for them: all but those that list the
+    row's value. Rules with one id are still rules of their own."""
+    chunks = math.ceil(count / CHUNK)
+    named = F.struct("__rid", "rule_id").alias("named")
+    rules = valid.filter(F.col("kind") == EXCEPT).select(named, "listed", F.pmod(F.xxhash64("__rid"), F.lit(chunks)).cast("int").alias("__chunk"))
+    whole = rules.groupBy("__chunk").agg(F.collect_list("named").alias("__rules"))
+    out = rules.select(F.explode("listed").alias("__listed"), F.col("__chunk").alias("__out"), "named")
+    out = out.groupBy("__listed", "__out").agg(F.collect_list("named").alias("__less"))
+    met = rows.withColumn("__c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    if small:
+        met = met.join(F.broadcast(whole), F.col("__c") == F.col("__chunk"))
+        out = F.broadcast(out)
+    else:
+        # a row for each chunk and CHUNK of its matches; few chunks, so their rows are dealt out
+        salts = max(SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        met = met.withColumn("__salt", F.pmod(F.xxhash64(*keys, "__v"), F.lit(salts)).cast("int"))
+        whole = whole.withColumn("__w_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        out = out.hint("merge")
+        whole = whole.hint("merge")
+    if small:
+        met = met.join(out, (F.col("__v") == F.col("__listed")) & (F.col("__c") == F.col("__out")), "left")
+    else:
+        met = met.join(out, (F.col("__v") == F.col("__listed")) & (F.col("__c") == F.col("__out")), "left")
+        met = met.join(whole, (F.col("__c") == F.col("__chunk")) & (F.col("__salt") == F.col("__w_salt")))
+    left = F.when(F.col("__less").isNull(), F.col("__rules")).otherwise(F.array_except("__rules", "__less"))
+    return met.select(*keys, F.explode(left).alias("named")).select(*keys, F.col("named.rule_id").alias("rule_id"))
 
 
 def _has_position(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.NumericType, T.TimestampType, T.TimestampNTZType))
+    return isinstance(dtype, (T.NumericType, T.BooleanType, T.TimestampType, T.TimestampNTZType, T.DateType, T.StringType))
 
 
 def _position(value: Column, dtype: T.DataType) -> Column:
@@ -261,9 +465,19 @@ def _position(value: Column, dtype: T.DataType) -> Column:
         value = F.unix_micros(utc_instant(value))
     elif isinstance(dtype, T.TimestampType):
         value = F.unix_micros(value)
+    elif isinstance(dtype, T.DateType):
+        value = F.unix_date(value)
+    elif isinstance(dtype, T.StringType):
+        first = F.rpad(F.substring(F.hex(value.cast("binary")), 1, 2 * TEXT_BYTES), 2 * TEXT_BYTES, "0")
+        value = F.conv(first, 16, 10)
     return value.cast("double")
 
 
+def _scaled(position: Column) -> Column:
+    """The same order on a scale that widely spread ends share out evenly."""
+    return F.signum(position) * F.log1p(F.abs(position))
+
+
 def _width(dtype: T.DataType) -> Column:
     """Exponent of the bin width of a binned rule."""
     if not _has_position(dtype):
@@ -293,16 +507,16 @@ def _in_range(dtype: T.DataType) -> Column:
 
 
 def _fits(dtype: T.DataType) -> Column:
-    v, mask = F.col("__v"), F.col("mask")
-    bits = F.col("__bits").bitwiseAND(mask)
-    fits = (
-        F.when(F.col("op") == "in", F.coalesce(F.array_contains("listed", v), F.lit(False)))
-        .when(F.col("op") == "range", _in_range(dtype))
-        .when(F.col("op") == "bit", bits != 0)
-        .otherwise(bits == mask)
-    )
+    v, mask, bits, negated = F.col("__v"), F.col("mask"), F.col("__bits"), F.col("negated")
+    is_bit, is_range = F.col("op") == "bit", F.col("op") == "range"
+    shared = bits.bitwiseAND(mask)
+    fits = F.when(is_range, _in_range(dtype)).when(is_bit, shared != 0).otherwise(shared == mask)
+    # a rule that waits at several bits counts at the lowest one that decides
+    deciding = F.when(is_bit, shared).otherwise(F.bitwise_not(bits).bitwiseAND(mask))
+    lowest = deciding.bitwiseAND(-deciding) == F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("__r.bin").cast("int"))
+    once = (F.col("kind") != MASKED) | (is_bit == negated) | lowest
     # hashes may collide, so the value itself decides
-    return F.when(F.col("kind") == VALUE, v == F.col("__r_value")).otherwise(fits != F.col("negated"))
+    return F.when(F.col("kind") == LISTED, v == F.col("__r.value")).otherwise((fits != negated) & once)
 
 
 def _plain_zero(column: Column, dtype: T.DataType) -> Column:

@@ -89,6 +89,13 @@ def test_decimals_and_days(spark):
     rules = [(1, "range", "[2.5 TO 10)", False), (2, "in", "(1.25, 2.5, 2.50)", False), (3, "range", "(10 TO *]", True), (4, "bit", "4", False), (5, "in", "(1.25)", True)]
     for got in both_plans(prices, rules, spark):
         assert got == brute(prices, rules) and len(got) > 100
+    for got in both_plans(spark.createDataFrame([(i, i - 5) for i in range(20)] + [(99, None)], "k int, v int"), [
+        (1, "cbit", "0", False), (2, "cbit", "0", True), (3, "bit", "0", False), (4, "bit", "0", True), (5, "range", "[* TO *]", False), (6, "range", "[* TO *]", True),
+        (7, "bit", "0x4000000000000000", False), (8, "cbit", "0x4000000000000001", True), (9, "range", "(3 TO 3)", True), (10, "range", "[5 TO 2]", True), (11, "range", "[5 TO 2]", False),
+        (12, "bit", "(1, 2, 4, 8)", False), (13, "cbit", "(1, 2)", True), (14, "bit", "(1, 2)", True), (15, "in", "(3, 4)", True), (16, "in", "(3, 5)", False),
+    ], spark):
+        assert {i for k, i in got if k == 99} == {1, 4, 6, 8, 9, 10, 13, 14, 15}
+        assert {i for k, i in got if k == 8} >= {12, 16} and len({k for k, i in got if i == 4}) == 21
     days = spark.range(40).selectExpr("cast(id as int) k", "date_add(date'2024-01-01', cast(id as int)) v")
     rules = [(1, "range", "[2024-01-05T00:00:00Z TO 2024-01-05T00:00:00Z+1MONTH)", False), (2, "in", "2024-01-31T00:00:00Z/MONTH", False)]
     for got in both_plans(days, rules, spark):
@@ -138,6 +145,55 @@ def test_one_hot_value_and_many_rules(spark):
     assert got.count() == expected == got.distinct().count()
 
 
+def test_thresholds_meet_what_they_match(spark):
+    """Rows meet one-sided rules, masks and complements about as often as they fit them."""
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, round(rng.uniform(0, 1000), 3)) for i in range(800)], "k int, v double")
+    ends = sorted(rng.uniform(0, 1000) for _ in range(300))
+    rules = [(i, "range", f"[{end} TO *]" if i % 2 else f"(* TO {end})", i % 3 == 0) for i, end in enumerate(ends)]
+    expected = brute(df, rules)
+    for bound in (10_000, 3):
+        found = match_rules(df, "k", "v", spark.createDataFrame(rules, RULES), broadcast_rules=bound)
+        assert sorted(map(tuple, found.collect())) == sorted(expected)
+    # the pairs that meet, before the exact test
+    import sieveframe.operators.rules as own
+
+    kept = own._fits
+    try:
+        own._fits = lambda dtype: F.lit(True)
+        met = match_rules(df, "k", "v", spark.createDataFrame(rules, RULES)).count()
+    finally:
+        own._fits = kept
+    assert len(expected) <= met <= 1.05 * len(expected) < 0.6 * 800 * 300
+
+
+def test_texts_and_days_by_position(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choices("abcé𝄞z", k=rng.randrange(10))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate([*names, None, ""])), "k int, v string")
+    rules = [(i, "range", rng.choice(["[{} TO *]", "(* TO {}]", "[{} TO cc)", "(abc TO {}]"]).format(n), rng.random() < 0.4) for i, n in enumerate(names[:60]) if n]
+    for got in both_plans(df, rules, spark):
+        assert got == brute(df, rules)
+
+
+def test_only_hot_places_are_copied(spark):
+    """Beyond a broadcast, a rule is copied where many rows come by and nowhere else."""
+    df = spark.range(4000).selectExpr("id AS k", "cast(if(id % 3 = 0, 7, id) as int) AS v")
+    rules = spark.range(500).selectExpr("cast(id as int) rule_id", "'range' op", "concat('[', id * 8, ' TO ', id * 8 + 1, ']') value_text", "false as not")
+    found = match_rules(df, "k", "v", rules, broadcast_rules=10)
+    assert found.count() == df.crossJoin(rules).filter("v between rule_id * 8 and rule_id * 8 + 1").count()
+    spread = plan_of(found)
+    assert "SortMergeJoin" in spread and "NestedLoop" not in spread
+
+
+def test_many_complements_of_lists(spark):
+    df = spark.createDataFrame([(i, i % 9 if i % 10 else None) for i in range(200)], "k int, v int")
+    rules = [(i // 2, "in", f"({i % 9}, {i % 5})", True) for i in range(2500)]  # ids repeat, over several chunks
+    brute_count = sum(v is None or v not in (i % 9, i % 5) for _, v in df.collect() for i in range(2500))
+    for bound in (10_000, 3):
+        assert match_rules(df, "k", "v", spark.createDataFrame(rules, RULES), broadcast_rules=bound).count() == brute_count
+
+
 def test_decimals_are_read_at_full_precision(spark):
     df = spark.createDataFrame([(1, "10.35"), (2, "10.34")], "id int, t string").selectExpr("id", "cast(t as decimal(10,2)) AS v")
     rules = spark.createDataFrame([
