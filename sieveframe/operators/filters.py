@@ -205,7 +205,8 @@ def filter_in(
     ones, and lists held in the first column of a DataFrame, become a semi join
     (anti join for the complement); items are read the same way in either form.
     Spark broadcasts the list only if it is small enough by its own measure;
-    otherwise frequent and missing values of ``df`` are spread over many tasks.
+    otherwise frequent and missing values of ``df`` are spread over many tasks. The least
+    and the greatest value of a longer list reach the scan in front of the semi join.
     In a DataFrame, what is missing, unreadable or not a value of the column's
     type equals nothing."""
     if not isinstance(values, DataFrame):
@@ -222,10 +223,23 @@ def filter_in(
         listed = listed.filter(F.col("__listed").isNotNull()).distinct()
     else:
         listed = _list_rows(df.sparkSession, items, dtype)
+        if not not_:
+            df = df.filter(_between_listed(column, items, dtype))
     how = "left_anti" if not_ else "left_semi"
     return keyed_join(df.withColumn("__value", column), "__value", listed, "__listed", how, AUTO).drop("__value")
 
 
+def _between_listed(column: Column, items: list, dtype: T.DataType) -> Column:
+    """A range that holds every listed value, for the scan: files and row groups beyond
+    it are not read."""
+    if isinstance(dtype, (*INSTANT, T.DateType, T.BooleanType)):
+        return column.isNotNull()
+    values = [value for item in items if (value := list_value(item, dtype)) is not None]
+    if not values or any(value != value for value in values):  # NaN lies beyond every end
+        return column.isNotNull()
+    return (column >= F.lit(min(values)).cast(dtype)) & (column <= F.lit(max(values)).cast(dtype))
+
+
 def _list_rows(spark: SparkSession, items: list, dtype: T.DataType) -> DataFrame:
     """``__listed``: the distinct values of a list."""
     schema = T.StructType().add("__listed", dtype)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -165,23 +164,32 @@ def parse_request_log(df: DataFrame, col: str) -> DataFrame:
     # parameter values may hold braces and blanks, so the fields are looked for
     # in front of the first brace and behind the last one only
     brace = F.instr(F.col(col), "{")
-    text = df.withColumns({
-        "__head": F.when(brace > 0, F.substring_index(F.col(col), "{", 1)).otherwise(F.col(col)),
-        "__tail": F.when(brace > 0, F.substring_index(F.col(col), "}", -1)).otherwise(F.col(col)),
-    })
-
-    def pick(source: str, pattern: str, kind: str = "string") -> Column:
-        return F.nullif(F.regexp_extract(F.col(source), pattern, 1), F.lit("")).try_cast(kind)
-
-    def labelled(source: str, label: str, kind: str) -> Column:
-        return pick(source, rf"(?:^| ){re.escape(label)}=(\S+)", kind)
-
+    head = F.when(brace > 0, F.substring_index(F.col(col), "{", 1)).otherwise(F.col(col))
+    tail = F.when(brace > 0, F.substring_index(F.col(col), "}", -1)).otherwise(F.col(col))
+    tokens = df.withColumns({"__head": F.split(head, " "), "__tail": F.split(tail, " ")})
+    pairs = tokens.withColumns({f"{side}_pairs": F.transform(side, _pair) for side in ("__head", "__tail")})
+    named = pairs.withColumns({f"{side}_names": F.col(f"{side}_pairs.name") for side in ("__head", "__tail")})
+
+    def labelled(side: str, label: str, kind: str) -> Column:
+        place = F.array_position(f"{side}_names", label).cast("int")
+        return F.get(f"{side}_pairs.value", place - 1).try_cast(kind)
+
+    time, thread = F.get("__head", F.lit(0)), F.get("__head", F.lit(1))
+    timed = time.rlike(r"^[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}$") & thread.isNotNull()
     out = {
-        "time": pick("__head", r"^([0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}) "),
-        "thread": pick("__head", r"^\S+ \[([^\]]*)\]"),
+        "time": F.when(timed, time),
+        # a thread's name may hold blanks
+        "thread": F.when(thread.startswith("["), F.nullif(F.regexp_extract(head, r"^\S+ \[([^\]]*)\]", 1), F.lit(""))),
         **{name: labelled("__head", *field) for name, field in REQUEST_FIELDS.items()},
         "tip": labelled("__head", "tip", "string"),
-        "params": pick(col, r"params=\{(.*)\}"),
+        "params": F.when(F.contains(F.col(col), F.lit("params={")), F.nullif(F.regexp_extract(F.col(col), r"params=\{(.*)\}", 1), F.lit(""))),
         **{name: labelled("__tail", *field) for name, field in RESULT_FIELDS.items()},
     }
-    return text.withColumns(out).drop("__head", "__tail")
+    return named.withColumns(out).drop(*(f"{side}{part}" for side in ("__head", "__tail") for part in ("", "_pairs", "_names")))
+
+
+def _pair(token: Column) -> Column:
+    """``name=value`` as a struct; no name where there is no value. A value ends at white space."""
+    value = F.split_part(F.translate(F.substring(token, F.instr(token, "=") + 1, F.length(token)), "\t\x0b\f\r", "\n\n\n\n"), F.lit("\n"), F.lit(1))
+    name = F.when((F.instr(token, "=") > 0) & (value != ""), F.substring_index(token, "=", 1))
+    return F.struct(name.alias("name"), value.alias("value"))

@@ -75,6 +75,10 @@ def lookup(
     ``spread_by``
         Columns of ``main`` that tell the rows of one key apart, such as its own
         unique key. Without it the whole row is used.
+    A stream's ``target``, unless it is a stream itself or ``unique``, is reduced to one
+    row per key and stored when the stream is set up; its micro-batches read that. A
+    changed target is taken up when the stream is set up again.
+
     ``may_broadcast``
         ``False`` keeps a small ``target`` from being broadcast.
     """
@@ -95,6 +99,11 @@ def lookup(
         if new in main.columns:
             raise ValueError(f"there is a column {new!r} already; give the result a name")
     found = _first_values(main, target, key, fields, mode, target_key, order, unique)
+    if main.isStreaming and not target.isStreaming and not unique:
+        from ..sources.shared import materialize  # the catalog there needs this module
+
+        # once a stream, not once a micro-batch
+        found = materialize(found)
     joined = keyed_join(main, key, found, _KEY, "left", hot_keys, spread_by, may_broadcast)
     hit = F.col(_HIT).isNotNull()
     values = {}

@@ -16,6 +16,7 @@ from ..functions.resolve import Expr
 from ..functions.values import typed_literal
 from .filters import ValueFilter, bind, complement, filter_in
 from .lookup import first_per_key
+from .skew import fits_broadcast
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -33,14 +34,15 @@ def upsert_latest(
 
     With ``current_unique=True`` (the normal state of a collection: one row per
     key) only rows that change are compared. ``incoming`` is reduced to one row
-    per key, then two anti joins drop what it replaces and what is already newer.
-    When the change set is small Spark broadcasts it, and ``current`` is read
-    without being shuffled.
+    per key. When it is small enough for Spark to broadcast it, two anti joins drop
+    what it replaces and what is already newer, and ``current`` is read without being
+    shuffled. Otherwise one full outer join settles every key: each side is read and
+    exchanged once, by the key under which the changes were reduced.
 
-    Otherwise both sides are ranked together, with one row per key and task
+    Without it both sides are ranked together, with one row per key and task
     kept before the shuffle.
 
-    In either form rows of equal order are replaced by incoming ones, the content
+    In every form rows of equal order are replaced by incoming ones, the content
     of the rows settles ties within one side, and a missing key is one key.
     """
     keys, orders = _keys(key), _keys(order)
@@ -48,6 +50,8 @@ def upsert_latest(
     if not current_unique:
         both = current.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)), allowMissingColumns=True)
         return first_per_key(both, keys, [*latest_first, F.desc("__new"), *content_order(both)]).drop("__new")
+    if not fits_broadcast(incoming):
+        return _merged(current, incoming, keys, orders)
     changes = first_per_key(incoming, keys, [*latest_first, *content_order(incoming)])
     stamp = F.struct(*[F.col(c) for c in orders])
     change_stamps = changes.select(*keys, stamp.alias("__stamp"))
@@ -59,6 +63,27 @@ def upsert_latest(
     return kept.unionByName(added, allowMissingColumns=True)
 
 
+def _merged(current: DataFrame, incoming: DataFrame, keys: list[str], orders: list[str]) -> DataFrame:
+    """Current rows with the changes, by one full outer join. Both sides are keyed by a
+    struct, which is never NULL and equal where all its parts are, so that the changes
+    need no second exchange after they were reduced to one row per key."""
+    shape = current.limit(0).unionByName(incoming.limit(0), allowMissingColumns=True).schema
+    types = {f.name: f.dataType for f in shape}
+    own = F.struct(*[F.col(k).cast(types[k]) for k in keys])
+    latest = [F.col(c).desc_nulls_last() for c in orders]
+    changes = first_per_key(incoming.withColumn("__new_key", own), "__new_key", [*latest, *content_order(incoming)])
+
+    def side(df: DataFrame, name: str, key: Column) -> DataFrame:
+        row = F.struct(*[(F.col(f"`{f}`") if f in df.columns else F.lit(None)).cast(t).alias(f) for f, t in types.items()])
+        stamp = F.struct(*[F.col(c).cast(types[c]) for c in orders])
+        return df.select(key.alias(f"__{name}_key"), row.alias(f"__{name}"), stamp.alias(f"__{name}_stamp"))
+
+    old, new = side(current, "old", own), side(changes, "new", F.col("__new_key"))
+    both = old.join(new.hint("merge"), F.col("__old_key") == F.col("__new_key"), "full_outer")
+    newer = F.col("__old").isNull() | (F.col("__new").isNotNull() & (F.col("__new_stamp") >= F.col("__old_stamp")))
+    return both.select(F.when(newer, F.col("__new")).otherwise(F.col("__old")).alias("__row")).select("__row.*")
+
+
 def _anti(rows: DataFrame, stamps: DataFrame, keys: list[str], older: str) -> DataFrame:
     renamed = stamps.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)], "__stamp")
     return rows.join(renamed, [*_same(keys), F.expr(older)], "left_anti").drop("__mine")

@@ -369,8 +369,7 @@ def o_page(spark, d):
 @query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 100 offset 7000")
 def o_deep_page(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    order = [*sort_columns(orders, ["o_totalprice desc"]), F.col("o_orderkey").asc()]
-    return deep_page(orders, order, 7000, 100)
+    return deep_page(orders, ["o_totalprice desc", "o_orderkey"], 7000, 100)
 
 
 @query("select c_custkey as id, c_mktsegment as segment from customer union all select s_suppkey, null from supplier"

@@ -9,23 +9,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.resolve import Expr, resolve, type_of
 from ..operators.filters import ValueFilter, apply_filters, with_constant_score
 from ..sources.shared import materialize
+from .ranks import COMPARED, Order, OrderKey, page
 
 # The default page.
 DEFAULT_START = 0
 DEFAULT_ROWS = 10
 
-#: Pages that end beyond this row are cut from a distributed sort, not a top-k: each
-#: scan task sends up to that many rows to one task.
+#: Rows in front of a page's end that a top-k may hold: each scan task sends up to that
+#: many rows to one task. Of longer orders the part around the page is found by counting.
 TOP_K_LIMIT = 10_000
-#: Row numbers inside one partition, in the layout of monotonically_increasing_id.
-ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -52,12 +51,18 @@ def _sort_key(item: SortKey | Expr) -> SortKey:
     return SortKey(item)
 
 
-def _directed(column: Column, dtype: T.DataType, descending: bool) -> Column:
+def _order_key(name: str, dtype: T.DataType, descending: bool) -> OrderKey:
     """Missing strings and booleans sort last both ways; missing numbers and
     dates come first ascending and last descending."""
-    if isinstance(dtype, (T.StringType, T.BooleanType)):
-        return column.desc_nulls_last() if descending else column.asc_nulls_last()
-    return column.desc_nulls_last() if descending else column.asc_nulls_first()
+    last = descending or isinstance(dtype, (T.StringType, T.BooleanType))
+    return OrderKey(name, dtype, descending, not last)
+
+
+def _directed(column: Column, dtype: T.DataType, descending: bool) -> Column:
+    first = _order_key("", dtype, descending).missing_first
+    if descending:
+        return column.desc_nulls_last()
+    return column.asc_nulls_first() if first else column.asc_nulls_last()
 
 
 def sort_columns(df: DataFrame, order: Sequence[SortKey | Expr]) -> list[Column]:
@@ -96,12 +101,13 @@ def select(
         hits = with_constant_score(hits)
     # sort expressions become columns first: a random sort key must be drawn once
     # per row, and the returned sort values must be those that were sorted by
-    added, sorting = {}, []
+    added, sort_keys = {}, []
     for i, item in enumerate(map(_sort_key, order)):
         column = resolve(hits, item.expr)
         name = f"__sort_{i}"
         added[name] = column
-        sorting.append(_directed(F.col(name), type_of(hits, column), item.descending))
+        sort_keys.append(_order_key(name, type_of(hits, column), item.descending))
+    sorting = [k.column() for k in sort_keys]
     keyed = hits.withColumns(added) if added else hits
     out = _project(keyed, hits.columns, fields)
     if return_sort_values:
@@ -115,11 +121,11 @@ def select(
     if rows is not None and start + rows <= TOP_K_LIMIT:
         ordered = keyed.orderBy(*sorting, *[F.col(k).asc() for k in keys])
         return (ordered.offset(start) if start else ordered).limit(rows).select(*out)
-    # a deep page is stored on the way, so it carries nothing but fields and sort keys
+    # what is searched carries nothing but fields and sort keys
     ends = {f"__key_{i}": F.col(k) for i, k in enumerate(keys)}
     carried = keyed.select(*out, *added, *[c.alias(n) for n, c in ends.items()])
-    sorting += [F.col(n).asc() for n in ends]
-    return deep_page(carried, sorting, start, rows).drop(*added, *ends)
+    sort_keys += [OrderKey(n, carried.schema[n].dataType, missing_first=True) for n in ends]
+    return _deep(carried, sort_keys, start, rows).drop(*added, *ends)
 
 
 def _project(df: DataFrame, columns: list[str], fields) -> list[Column]:
@@ -136,29 +142,25 @@ def _project(df: DataFrame, columns: list[str], fields) -> list[Column]:
     return out
 
 
-def deep_page(df: DataFrame, sorting: list[Column], start: int, rows: int | None) -> DataFrame:
-    """A page far down the order. The sort is range-partitioned and stored; the
-    partitions' row counts then give each row its place, so no task ever holds
-    the rows in front of the page."""
-    place = "__place"
-    stored = materialize(df.orderBy(*sorting).withColumn(place, F.monotonically_increasing_id()))
-    part = F.shiftright(F.col(place), ROW_BITS).alias("__part")
-    # one row per partition: bounded by the partition count, so one task and a broadcast will do
-    counts = stored.groupBy(part).agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(
-        Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__before"))
-    inside = F.col(place).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    position = F.col("__before") + inside
-    wanted = position >= start if rows is None else (position >= start) & (position < start + rows)
-    return (
-        stored.withColumn("__part", F.shiftright(F.col(place), ROW_BITS))
-        .join(F.broadcast(offsets), "__part")
-        .filter(wanted)
-        .orderBy(place)
-        .drop("__part", "__before", place)
-    )
+def deep_page(df: DataFrame, order: Sequence[SortKey | Expr], start: int, rows: int | None) -> DataFrame:
+    """A page far down the order, which must tell all rows apart. Where it begins and
+    ends is found by counting, so nothing in front of it is sorted or moved."""
+    added, sort_keys = {}, []
+    for i, item in enumerate(map(_sort_key, order)):
+        column = resolve(df, item.expr)
+        added[f"__sort_{i}"] = column
+        sort_keys.append(_order_key(f"__sort_{i}", type_of(df, column), item.descending))
+    return _deep(df.withColumns(added), sort_keys, start, rows).drop(*added)
+
+
+def _deep(df: DataFrame, keys: list[OrderKey], start: int, rows: int | None) -> DataFrame:
+    # what differs from one reading to the next is read once
+    if not df._jdf.queryExecution().analyzed().deterministic():
+        df = materialize(df)
+    if all(isinstance(key.dtype, COMPARED) for key in keys):
+        return page(Order(df, keys), start, rows, TOP_K_LIMIT)
+    ordered = df.orderBy(*[key.column() for key in keys]).offset(start)
+    return ordered if rows is None else ordered.limit(rows)
 
 
 def num_found(

@@ -74,8 +74,29 @@ def test_deep_pages(spark, items, monkeypatch):
     narrow = select(items, fields=["s", ("m", F.col("n") + 1)], order=["n desc"], start=150, rows=17, key="id", return_sort_values=True)
     assert narrow.columns == ["s", "m", "sort_1"]
     assert [r.m for r in narrow.collect()] == [None if r.sort_1 is None else r.sort_1 + 1 for r in narrow.collect()]
-    stored = [p for p in narrow.inputFiles()]
-    assert stored and "id" not in spark.read.parquet(*stored).columns
+
+
+def test_deep_pages_by_counting(spark, items, monkeypatch, tmp_path):
+    """Nothing is stored or moved to find the page; what is read is cut by the leading sort column."""
+    path = str(tmp_path / "rows")
+    spark.range(5000).selectExpr("id", "id % 700 AS n", "if(id % 9 = 0, null, concat('s', id % 40)) AS s", "cast(id % 11 / 3 as float) AS f",
+                                 "timestamp_micros(id % 50 * 1000001) AS t").write.parquet(path)
+    rows = spark.read.parquet(path)
+    monkeypatch.setattr(request, "TOP_K_LIMIT", 60)
+    for order, pages in ((["s", "n"], ((3000, 25), (0, 100))), (["t desc", "f"], ((4990, 30), (4700, None))), ([], ((5000, 5),))):
+        expected = [r.id for r in rows.orderBy(*sort_columns(rows, order), "id").select("id").collect()]
+        for start, count in pages:
+            got = [r.id for r in select(rows, fields=["id"], order=order, start=start, rows=count, key="id").collect()]
+            assert got == expected[start:None if count is None else start + count]
+    page = select(rows, fields=["id"], order=["n desc"], start=3000, rows=25, key="id")
+    assert page.inputFiles() and all(path in f for f in page.inputFiles())
+    plan = plan_of(page)
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan and "GreaterThanOrEqual(n," in plan and "LessThanOrEqual(n," in plan
+    monkeypatch.setattr(request, "TOP_K_LIMIT", 10)
+    same = select(rows.selectExpr("1 AS one", "id"), fields=["one"], start=100, rows=7, key="one")  # no key tells these apart
+    assert same.count() == 7
+    drawn = select(rows, fields=["id"], order=[desc(rand_int(1000))], key="id", start=2000, rows=50, return_sort_values=True).collect()
+    assert [r.sort_1 for r in drawn] == sorted((r.sort_1 for r in drawn), reverse=True) and len(drawn) == 50
 
 
 def test_plan_of_a_page(spark, tmp_path):

@@ -6,7 +6,7 @@ from conftest import ids
 from pyspark.sql import functions as F
 
 from sieveframe import (
-    Catalog, ReadOnlyError, delete_by_ids, delete_by_query, export_sorted, in_filter, num_found,
+    Catalog, ReadOnlyError, delete_by_ids, delete_by_query, export_sorted, filter_in, in_filter, num_found,
     copy_field, get_by_ids, schema_for, sort_columns, terms_doc_freq, upsert_latest, with_defaults,
 )
 
@@ -175,3 +175,36 @@ def test_now_is_taken_once(spark):
     first = catalog.table("c").first().at
     time.sleep(1.1)
     assert catalog.table("c").first().at == first
+
+
+def test_large_change_set_meets_the_collection_once(spark, current, incoming, tmp_path):
+    """One full outer join: each side is read once and exchanged once, NULL keys are one key."""
+    wide = current.selectExpr("*", "id * 2 AS extra").union(spark.createDataFrame([(None, 3, "none", 1)], f"{SCHEMA}, extra int"))
+    more = incoming.union(spark.createDataFrame([(None, 2, "older"), (None, 3, "none2"), (9, None, "n"), (9, None, "m")], SCHEMA))
+    wide.write.parquet(str(tmp_path / "state"))
+    more.write.parquet(str(tmp_path / "changes"))
+    state, changes = (spark.read.parquet(str(tmp_path / name)) for name in ("state", "changes"))
+    small = upsert_latest(state, changes, "id", "ts", current_unique=True).collect()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        merged = upsert_latest(state, changes, "id", "ts", current_unique=True)
+        rows = merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(str, rows)) == sorted(map(str, small)) and len(rows) == 7
+    assert merged.columns == state.columns
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 2
+
+
+def test_long_list_reaches_the_scan(spark, tmp_path):
+    spark.range(5000).selectExpr("id", "concat('k', id) AS s", "cast(id as double) AS d").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    listed = [str(i) for i in range(1000, 2500)] + [None]
+    found = filter_in(rows, "id", listed)
+    assert found.count() == 1500
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,1000)" in plan and "LessThanOrEqual(id,2499)" in plan
+    assert filter_in(rows, "s", [f"k{i}" for i in range(1500)]).count() == 1500
+    assert filter_in(rows, "d", ["NaN", *listed]).count() == 1500
