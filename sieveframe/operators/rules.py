@@ -185,7 +185,7 @@ def match_rules(
         visited = F.transform(visited, lambda at: F.struct(at["width"].alias("width"), at["bin"].alias("bin"), spread.row(at).alias("salt")))
     visits = rows.withColumn("__at", F.explode(visited))
 
-    waiting = _waiting(valid, dtype, grid, order)
+    waiting = _waiting(valid, dtype, grid, order, seen["sided"] > 0)
     parts = ["width", "bin"]
     if small:
         waiting = F.broadcast(waiting)  # by the count above; Spark's own estimate does not see the places
@@ -204,18 +204,11 @@ def match_rules(
 
 
 def _stored(rules: DataFrame, dtype: T.DataType, most: int) -> tuple[DataFrame, bool]:
-    """The rules that can be read, and whether they are few. Few texts, counted first,
-    become part of the plan; others are parsed once and stored."""
-    given = rules.select("rule_id", "op", "value_text", *(["not"] if "not" in rules.columns else []))
-    plain = isinstance(rules.schema["rule_id"].dataType, (T.IntegralType, T.StringType))
-    size = given.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("value_text")), F.lit(0)).alias("bytes"), F.max(F.contains("value_text", F.lit("NOW"))).alias("now")).first()
-    few = size["n"] <= most and size["bytes"] <= BROADCAST_TEXT_BYTES
-    # NOW must not move between reading and matching
-    if few and plain and not size["now"]:
-        given = rules.sparkSession.createDataFrame(given.collect(), given.schema)
-    valid = parse_rules(given, dtype).valid.withColumn("__rid", F.monotonically_increasing_id())
-    valid = valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype))
-    return (valid if few and plain and not size["now"] else materialize(valid)), few
+    """The rules that can be read, parsed once and stored, and whether they are few."""
+    valid = parse_rules(rules, dtype).valid.withColumn("__rid", F.monotonically_increasing_id())
+    valid = materialize(valid.withColumn("kind", _kind(dtype)).withColumn("width", _width(dtype)))
+    size = valid.agg(F.count("*").alias("n"), F.coalesce(F.sum("text_size"), F.lit(0)).alias("bytes")).first()
+    return valid, size["n"] <= most and size["bytes"] <= BROADCAST_TEXT_BYTES
 
 
 def _summary(valid: DataFrame, dtype: T.DataType) -> dict:
@@ -268,13 +261,16 @@ class Grid:
 
     def beside(self, leaf: Column, above: bool) -> Column:
         """Nodes that cover the leaf and all above it, or all below it; none twice."""
-        digits, nodes = F.array(*(F.lit(d).cast("bigint") for d in range(2**NODE_BITS))), [F.array(_place(NODE, leaf))]
-        for k in range(self.levels):
-            at = F.shiftright(leaf, NODE_BITS * k)
+        digits = F.sequence(F.lit(0).cast("bigint"), F.lit(2**NODE_BITS - 1).cast("bigint"))
+
+        def level(k: Column) -> Column:
+            at = F.call_function("shiftright", leaf, k * NODE_BITS)
             own = at.bitwiseAND(F.lit(2**NODE_BITS - 1))
-            further = F.filter(digits, lambda d: d > own if above else d < own)  # noqa: B023
-            nodes.append(F.transform(further, lambda d: _place(NODE - k, at - own + d)))  # noqa: B023
-        return F.concat(*nodes).cast(PLACES)
+            further = F.filter(digits, lambda d: d > own if above else d < own)
+            return F.transform(further, lambda d: _place(F.lit(NODE) - k, at - own + d))
+
+        nodes = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(self.levels - 1)), level))
+        return F.concat(F.array(_place(NODE, leaf)).cast(PLACES), nodes.cast(PLACES))
 
 
 def _bit_order(rows: DataFrame, mask: int, on: str) -> list[int]:
@@ -348,13 +344,15 @@ class _Spread:
         return F.when(self._is_hot(at), F.sequence(F.lit(0), F.lit(self.salts - 1))).otherwise(F.array(F.lit(0)))
 
 
-def _waiting(rules: DataFrame, dtype: T.DataType, grid: Grid, order: dict[str, list[int]]) -> DataFrame:
+def _waiting(rules: DataFrame, dtype: T.DataType, grid: Grid, order: dict[str, list[int]], sided: bool) -> DataFrame:
     """Rules once per place they wait at, as ``__r``; with the value at places of values."""
     nothing, kind, negated = F.lit(None).cast(dtype), F.col("kind"), F.col("negated")
     places = F.when(kind == ANYWHERE, F.array(_anywhere(dtype))).when(kind == MASKED, _bits_filed(order))
     if _has_position(dtype):
         low, high = (_position(F.col(c), dtype) for c in ("lower", "upper"))
         spanned = F.when(low <= high, F.sequence(_bin(low, F.col("width")), _bin(high, F.col("width"))))
+        places = places.when(kind == BINNED, F.transform(spanned, lambda b: _place(F.col("width"), b)))
+    if sided:
         below, above = _ends(dtype)
         at_low, at_high = (grid.leaf(_scaled(end)) for end in (low, high))
         nowhere = F.array().cast(PLACES)
@@ -363,7 +361,6 @@ def _waiting(rules: DataFrame, dtype: T.DataType, grid: Grid, order: dict[str, l
             F.when(below, grid.beside(at_low, False)).otherwise(nowhere), F.when(above, grid.beside(at_high, True)).otherwise(nowhere),
             F.array(_place(NONE, F.lit(0)))))
         inside = F.when(below, grid.beside(at_low, True)).otherwise(grid.beside(at_high, False))
-        places = places.when(kind == BINNED, F.transform(spanned, lambda b: _place(F.col("width"), b)))
         places = places.when(kind == SIDED, F.when(negated, outside).otherwise(inside))
     listed = F.transform("listed", lambda v: F.struct(F.lit(VALUE).alias("width"), F.xxhash64(v).alias("bin"), v.alias("value")))
     others = F.transform(places, lambda at: F.struct(at["width"].alias("width"), at["bin"].alias("bin"), nothing.alias("value")))
@@ -379,12 +376,12 @@ def _bits_filed(order: dict[str, list[int]]) -> Column:
     is_any = (F.col("op") == "bit") != negated
     place = F.when(negated, F.lit(BIT_OFF)).otherwise(F.lit(BIT_ON))
 
-    def of(bits: Iterable[int]) -> Column:
-        every = F.array(*(F.lit(b) for b in bits)).cast("array<int>")
-        return F.filter(every, lambda b: F.call_function("shiftright", mask, b).bitwiseAND(F.lit(1)) == 1)
+    def of(bits: Column) -> Column:
+        return F.filter(bits, lambda b: F.call_function("shiftright", mask, b).bitwiseAND(F.lit(1)) == 1)
 
-    rarest = F.slice(F.when(negated, of(order["off"])).otherwise(of(order["on"])), 1, 1)
-    return F.transform(F.when(is_any, of(range(64))).otherwise(rarest), lambda b: _place(place, b))
+    known = {on: F.array(*map(F.lit, bits)).cast("array<int>") for on, bits in order.items()}
+    rarest = F.slice(F.when(negated, of(known["off"])).otherwise(of(known["on"])), 1, 1)
+    return F.transform(F.when(is_any, of(F.sequence(F.lit(0), F.lit(63)))).otherwise(rarest), lambda b: _place(place, b))
 
 
 def _ends(dtype: T.DataType) -> tuple[Column, Column]:
