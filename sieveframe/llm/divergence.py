@@ -39,6 +39,10 @@ LEAST_COMPARED = 60
 CHAR_LIMIT = 0.25
 WORD_LIMIT = 0.42
 SYMBOLS = "#*$%&|<>"
+#: A letter of one byte for each place among the common words.
+LETTERS = [chr(ord("!") + place) for place in range(COMMON)]
+#: Common words are looked up by their hash modulo this.
+BUCKETS = 1024
 #: Classes of characters; what is in none of them is the last class.
 CLASSES = (r"\p{Ll}", r"\p{Lu}", r"\p{Nd}", rf"[{SPACE}]", r"[.,;:!?]", rf"[{SYMBOLS}]")
 
@@ -73,7 +77,7 @@ def _removed(text: str, pattern: str) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """From ``text``, ``lang`` and ``common`` to the base measures and both histograms."""
+    """From ``text``, ``lang``, ``common`` and its ``buckets`` to the base measures and both histograms."""
     read = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("w", words(F.col("text")))
     n = F.size("w")
     # each class is taken out of what the classes before it left
@@ -90,14 +94,22 @@ def features(docs: DataFrame) -> DataFrame:
         doubled = F.zip_with(f"h{half}", F.slice(f"h{half}", half + 1, F.greatest(n, F.lit(1))), lambda a, b: F.xxhash64(a, b))
         read = read.withColumn(f"h{2 * half}", doubled)
     read = read.withColumn("windows", F.slice("h8", 1, F.greatest(n - WINDOW + 1, F.lit(0))))
-    read = with_repeated_words(read).withColumn("shared", F.filter("w", lambda word: F.array_contains("common", word)))
-    own = F.transform("common", lambda word: F.size("shared") - F.size(F.array_remove("shared", word)))
+    # a text's common words as letters, so that a count is what they lose with a letter; read twice,
+    # or Spark would move their making into the lambda
+    letter = F.array(*map(F.lit, LETTERS))
+    found = F.transform("h1", lambda h: F.get("buckets", F.pmod(h, F.lit(BUCKETS)).cast("int")))
+    read = with_repeated_words(read).withColumn("found", found)
+    one = F.zip_with("w", "found", lambda word, places: F.get(letter, F.get(F.filter(places, lambda p: F.get("common", p) == word), F.lit(0))))
+    read = read.withColumn("letters", F.array_join(one, ""))
+    known = F.length("letters")
+    own = F.transform(F.slice(letter, F.lit(1), F.size("common")), lambda one: known - F.length(F.replace(F.col("letters"), one, F.lit(""))))
+    counts = F.concat(own, F.array(n - known))
     return read.select(
         "id", "lang", n.cast("long").alias("n_words"), (F.length("text") - F.col("classes")[3]).cast("long").alias("word_chars"),
         F.col("classes")[5].cast("long").alias("n_symbols"), (F.size("lines") - _distinct(F.col("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         _shares(F.col("classes"), F.length("text")).alias("chars"),
-        _shares(F.concat(own, F.array(n - F.size("shared"))), n).alias("words"),
+        _shares(counts, n).alias("words"),
     )
 
 
@@ -116,7 +128,8 @@ def distance(p: Column, q: Column) -> Column:
 
 def common_words(docs: DataFrame, count: int = COMMON) -> DataFrame:
     """(ref_lang, common): the most widespread words of each language, in that order."""
-    each = docs.filter(F.size(words(F.col("text"))) >= LEAST_WORDS).select("lang", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    split = docs.select("lang", words(F.col("text")).alias("w"))
+    each = split.select("lang", F.explode(F.when(F.size("w") >= LEAST_WORDS, F.array_distinct("w"))).alias("word"))
     spread = each.groupBy("lang", "word").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = spread.withColumn("place", place).filter(F.col("place") <= count)
@@ -124,13 +137,21 @@ def common_words(docs: DataFrame, count: int = COMMON) -> DataFrame:
     return listed.select(F.col("lang").alias("ref_lang"), F.col("top.word").alias("common"))
 
 
+def buckets(common: Column) -> Column:
+    """Of each remainder of a word's hash, the places in ``common`` of the words that have it."""
+    at = F.sequence(F.lit(0), F.size(common) - 1)
+    return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.filter(at, lambda p: F.pmod(F.xxhash64(F.get(common, p)), F.lit(BUCKETS)) == b))
+
+
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """id, measures, base_failed, both distances and kept of every document."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     # stored, so that Spark knows how small they are
-    common = materialize(common_words(own))
+    common = materialize(common_words(own).withColumn("buckets", buckets(F.col("common"))))
     listed = own.join(common, F.col("lang").eqNullSafe(F.col("ref_lang")), "left").drop("ref_lang")
-    measured = materialize(features(listed.withColumn("common", F.coalesce("common", F.array().cast("array<string>")))))
+    for column, kind in (("common", "string"), ("buckets", "array<int>")):
+        listed = listed.withColumn(column, F.coalesce(column, F.array().cast(f"array<{kind}>")))
+    measured = materialize(features(listed))
     judged = measured.filter(F.col("n_words") >= LEAST_WORDS)
     bins = [F.avg(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES) + 1)]
     bins += [F.avg(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(COMMON + 1)]
