@@ -4,9 +4,11 @@ A page becomes a tree: end tags that HTML lets authors omit are implied (``p``,
 ``li``, ``dt``, ``dd``, ``tr``, ``td``, ``option`` ...), and so are ``tr`` around loose
 cells and the end of ``head``; stray end tags are dropped. What a browser would not
 show is left out: scripts, styles, templates, ``hidden`` elements, closed ``details``
-but for their summary, MathML annotations, what svg only describes or defines, and
+but for their summary, closed dialogs, MathML annotations, what svg only describes or defines, and
 what inline styles or the page's own simple style rules (``tag``, ``.class``,
-``#id``) set to ``display: none`` or ``visibility: hidden``. Rules are read with
+``#id``) set to ``display: none`` or ``visibility: hidden`` (a part set to visible
+within an invisible one is shown). A tag is read by its attributes, each part of a
+page once; a tag that nothing ends is text. Rules are read with
 their nesting, those of media other than a screen ``SCREEN`` pixels wide are left
 out, and the cascade decides: importance, inline style, id, class, tag, then order.
 
@@ -42,6 +44,8 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes plainte
 UNSEEN = frozenset(
     "head script style template noscript title iframe noembed noframes object audio video canvas datalist annotation annotation-xml".split()
 )
+#: Types of input that show their value.
+BUTTONS = frozenset("submit button reset".split())
 #: Unseen within svg.
 SVG_UNSEEN = frozenset("desc defs metadata".split())
 HEAD = frozenset("base link meta title style script template noscript".split())
@@ -70,11 +74,12 @@ IMPLIED: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
 BARRIERS = frozenset(("table", "td", "th", "caption", "button", "template"))
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.S,
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)", re.S,
 )
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# A quote opens a value only after "="; without an end it is part of a name.
+_ATTRIBUTE = re.compile(r"""[\s/]*+(=?[^\s/>=]++|=)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(?!["'])([^\s>]*+)))?+""")
+_ATTRIBUTES = re.compile(rf"((?:{_ATTRIBUTE.pattern.replace('(=?', '(?:=?').replace('([^', '(?:[^')})*+[\s/]*+)>")
+_TO_END = re.compile(r"([^>]*+)>")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _CSS = re.compile(r"""((?:[^{};"']|"[^"]*"|'[^']*'|["'])*+)([{};]|\Z)""")
@@ -106,22 +111,31 @@ class _Builder:
         self.count: Counter[str] = Counter()
 
     def build(self, page: str) -> Node:
-        at = 0
+        at, last = 0, page.rfind(">")
+        tail = _ATTRIBUTES
         while match := _TOKEN.search(page, at):
             self.text(page[at:match.start()])
             at = match.end()
-            close, name, rest = match.group(1, 2, 3) if match.group(2) else match.group(4, 5, 6)
+            close, name = match.groups()
             if not name:
                 if match.group().startswith("<![CDATA["):
                     self.text(match.group()[9:].removesuffix("]]>"), plain=True)
                 continue
+            if at > last:  # nothing ends this tag
+                self.text(match.group())
+                continue
+            ended = tail.match(page, at)
+            if not ended:  # only values hold a ">": from here on the next one ends a tag, so no text is read twice
+                tail = _TO_END
+                ended = tail.match(page, at)
+            at, rest = ended.end(), ended.group(1)
             name = name.lower()
             if close:
                 self.end(name)
                 continue
             self.start(name, rest)
             if name in RAW and self.open[-1].tag == name:
-                close_at = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+                close_at = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*+(?:>|\Z)", re.I).search(page, at)
                 raw = page[at:close_at.start() if close_at else len(page)]
                 self.text(raw, plain=name not in ("textarea", "title"))
                 at = close_at.end() if close_at else len(page)
@@ -152,8 +166,10 @@ class _Builder:
             self.push(Node("tr", {}))
         attributes = {}
         if rest and not rest.isspace():
-            for key, *values in _ATTRIBUTE.findall(rest):
-                attributes.setdefault(key.lower(), unescape(next(filter(None, values), "")))
+            at = 0
+            while found := _ATTRIBUTE.match(rest, at):
+                at = found.end()
+                attributes.setdefault(found[1].lower(), unescape(next(filter(None, found.groups()[1:]), "")))
         node = Node(name, attributes)
         foreign = self.count["svg"] or self.count["math"] or name in ("svg", "math")
         if self.count["svg"]:
@@ -300,14 +316,15 @@ def _add(rules: Rules, selectors: str, found: dict[str, tuple[bool, bool]], orde
                 own[name] = (weight, hides)
 
 
-def is_hidden(node: Node, rules: Rules) -> bool:
-    if node.tag in UNSEEN or node.hidden:
-        return True
+def concealment(node: Node, rules: Rules) -> tuple[bool, bool | None]:
+    """Whether a node has no box at all, and whether what it holds is invisible (None: as around it)."""
     own = node.attributes
+    if node.tag in UNSEEN or node.hidden or node.tag == "dialog" and "open" not in own:
+        return True, None
+    if node.tag == "input" and own.get("type", "").lower() not in BUTTONS:
+        return True, None
     if not own and not rules:
-        return False
-    if node.tag == "input" or node.tag == "dialog" and "open" not in own:
-        return True
+        return False, None
     best = {"display": ((False, -1, 0), "hidden" in own)}
     keys = [("tag", node.tag), ("id", own.get("id", "")), *(("class", name) for name in own.get("class", "").split())]
     for found in [rules[key] for key in keys if key in rules] if rules else ():
@@ -317,7 +334,7 @@ def is_hidden(node: Node, rules: Rules) -> bool:
         for name, (important, hides) in declared(own["style"]).items():
             value = ((important, 3, 0), hides)
             best[name] = max(best.get(name, value), value)
-    return any(hides for _, hides in best.values())
+    return best["display"][1], best["visibility"][1] if "visibility" in best else None
 
 
 class _Flow:
@@ -392,23 +409,27 @@ def render(root: Node) -> str:
     tables: list[list[list[list[str]]]] = []  # rows of cells of the open tables
     counters: list[int | None] = []  # of the open lists
     kept = 0
-    stack: list[tuple[Node | str, bool]] = [(root, False)]
+    stack: list[tuple[Node | str, bool, bool]] = [(root, False, False)]
     while stack:
-        node, leaving = stack.pop()
+        node, leaving, invisible = stack.pop()
         if isinstance(node, str):
-            (flow.kept if kept else flow.words)(node)
+            if not invisible:
+                (flow.kept if kept else flow.words)(node)
             continue
         tag = node.tag
         if not leaving:
-            if is_hidden(node, rules):
+            gone, own = concealment(node, rules)
+            if gone:
                 continue
+            invisible = invisible if own is None else own
             if tag == "br":
-                flow.line_break()
+                if not invisible:
+                    flow.line_break()
                 continue
             if node.block:
                 flow.end(2 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and counters) else 1)
-            stack.append((node, True))
-            children = node.children
+            stack.append((node, True, invisible))
+            children = [node.attributes.get("value", "")] if tag == "input" else node.children
             if tag == "details" and "open" not in node.attributes:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             if tag == "pre" and children and isinstance(children[0], str):
@@ -433,7 +454,7 @@ def render(root: Node) -> str:
             elif tag in CELLS and tables:
                 flows.append(flow)
                 flow = _Flow()
-            stack.extend((child, False) for child in reversed(children))
+            stack.extend((child, False, invisible) for child in reversed(children))
             continue
         if tag in ("ul", "ol", "menu", "dir"):
             counters.pop()

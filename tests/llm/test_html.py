@@ -1,5 +1,8 @@
+import time
 from html.parser import HTMLParser
 
+import pytest
+
 from sieveframe.llm.html import extract_pages, visible_text
 
 
@@ -101,3 +104,28 @@ def test_formulas_and_text_in_svg_are_kept():
         "<svg><title>t</title><desc>d</desc><defs/><defs><text>u</text></defs><style/><text>one</text><text>two</text></svg>"
     )
     assert visible_text(page) == "so x=2 holds\none\ntwo"
+
+
+def test_quotes_open_values_only():
+    assert visible_text("<p class=it's>text don't lose</p><p>next</p>") == "text don't lose\n\nnext"
+    assert visible_text("<a title='a>b' href=\"x>y\">link</a>") == "link"
+    assert visible_text('<a x="open>text</a> more') == "text more"
+    assert visible_text("a < b and x <b y") == "a < b and x <b y"
+
+
+def test_dialogs_buttons_and_nested_visibility():
+    assert visible_text("<dialog>secret</dialog><dialog open>said</dialog>") == "said"
+    assert visible_text("<input type=submit value='Go now'><input value=x>") == "Go now"
+    page = "<style>.s{visibility:visible}</style><div style='visibility:hidden'>a <b class=s>b <i>c</i></b> d</div>e"
+    assert visible_text(page) == "b c\ne"
+    assert visible_text("<div style='display:none'>a <b style='visibility:visible'>b</b></div>c") == "c"
+
+
+@pytest.mark.parametrize("page", [
+    '<a x=" ' * 150_000, '<a x=" ' * 150_001 + ">", '<a x=">" ' * 110_000 + '<a x="', "<script>" + "</script " * 100_000,
+    "<a x='>\" " * 100_000, "<a b" + " " * 1_000_000 + ">t", "<a " + "= " * 400_000 + ">t", "<p a='" * 150_001 + ">",
+])
+def test_broken_tags_take_linear_time(page):
+    start = time.process_time()
+    visible_text(page)
+    assert time.process_time() - start < 5
